@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType
 
 from ..functions.numbers import below, parse_float, parse_whole, within
 from ..functions.text import strip
@@ -25,13 +26,21 @@ def classify_responses(responses: DataFrame) -> DataFrame:
     """Add ``status``, ``detail``, the parsed ``raw`` struct and its ``keys``.
 
     The keys tell a field that is absent from one that is present but null.
+    The response is parsed as the one element of an array, since text after a
+    complete object would otherwise go unnoticed.
     """
     missing = F.array_sort(F.array_except(F.array(*map(F.lit, REQUIRED_RAW_FIELDS)), c("keys")))
-    parsed = responses.withColumns(
-        {
-            "raw": F.from_json("response", RAW, {"mode": "PERMISSIVE"}),
-            "keys": F.json_object_keys("response"),
-        }
+    alone = F.from_json(F.concat(F.lit("["), "response", F.lit("]")), ArrayType(RAW))
+    # The second way also reads the NaN and Infinity literals.
+    keys = F.coalesce(
+        F.json_object_keys("response"),
+        F.map_keys(F.from_json("response", MapType(StringType(), StringType()))),
+    )
+    parsed = (
+        responses.withColumn("_alone", alone)
+        .withColumn("raw", F.when(F.size("_alone") == 1, c("_alone")[0]))
+        .withColumn("keys", F.when(c("raw").isNotNull(), keys))
+        .drop("_alone")
     )
     is_error = c("raw.status") == "error"
     status = (
@@ -58,17 +67,22 @@ def _text(field: str, default: str | None = None) -> Column:
     return F.when(F.array_contains("keys", field), value).otherwise(default)
 
 
+def _number(field: str, parse=parse_float) -> Column:
+    """A field as a number; the non-finite literals arrive in quotes."""
+    return parse(F.regexp_replace(c(f"raw.{field}"), r'^"(NaN|-?Infinity)"$', "$1"))
+
+
 def standardize_quotes(classified: DataFrame) -> DataFrame:
     """Add the 15 quote columns; unusable numbers turn the row invalid."""
     numbers = {
-        "price": parse_float(c("raw.close")),
-        "open_price": parse_float(c("raw.open")),
-        "high_price": parse_float(c("raw.high")),
-        "low_price": parse_float(c("raw.low")),
-        "previous_close": parse_float(c("raw.previous_close")),
-        "change": parse_float(c("raw.change")),
-        "change_percent": parse_float(c("raw.percent_change")),
-        "volume": parse_whole(c("raw.volume")),
+        "price": _number("close"),
+        "open_price": _number("open"),
+        "high_price": _number("high"),
+        "low_price": _number("low"),
+        "previous_close": _number("previous_close"),
+        "change": _number("change"),
+        "change_percent": _number("percent_change"),
+        "volume": _number("volume", parse_whole),
     }
     texts = {
         "symbol": F.upper(strip(_text("symbol"))),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import run_parts
@@ -24,10 +24,13 @@ from ..schemas import (
     STANDARDIZED,
 )
 
-_FILE = F.col("_metadata.file_path")
 _RUN_ID = r"(\d{8}T\d{6}Z)"
 
 
+def _file() -> Column:
+    return F.col("_metadata.file_path")
+
+
 def _between(rows: DataFrame, first: date | None, last: date | None) -> DataFrame:
     """Keep partitions of the given dates; the condition prunes the scan."""
     day = F.make_date(*(F.col(n).cast("int") for n in PARTITION_COLUMNS))
@@ -44,9 +47,9 @@ def scan_raw(
     """Raw response lines, byte for byte, with their run and file."""
     lines = spark.read.text(path)
     return _between(lines, first, last).select(
-        F.regexp_extract(_FILE, _RUN_ID, 1).alias("run_id"),
+        F.regexp_extract(_file(), _RUN_ID, 1).alias("run_id"),
         F.col("value").alias("response"),
-        _FILE.alias("source_file"),
+        _file().alias("source_file"),
     )
 
 
@@ -71,7 +74,7 @@ def scan_standardized(
     rows = spark.read.schema(STANDARDIZED).json(path)
     if first is not None or last is not None:
         rows = _between(rows, first, last)
-    return rows.select(*QUOTE_COLUMNS, _FILE.alias("source_file"))
+    return rows.select(*QUOTE_COLUMNS, _file().alias("source_file"))
 
 
 def scan_curated(spark: SparkSession, path: str) -> DataFrame:
