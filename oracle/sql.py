@@ -141,7 +141,7 @@ _STEPS: dict[str, str] = {
           FROM curated_quotes) WHERE rn = 1""",
     # -- raw responses -----------------------------------------------------
     "raw0": f"""
-        SELECT date_trunc('hour', ts) AS run_timestamp, event_id AS position,
+        SELECT time_bucket(interval 6 hour, ts) AS run_timestamp, event_id AS position,
           'S' || id3 AS requested_symbol,
           CASE WHEN event_id % 157 = 0 THEN NULL ELSE 's' || id3 END AS symbol,
           'Company ' || id3 AS name,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
 from ..functions.numbers import below, parse_float, parse_whole, within
+from ..functions.plans import with_settled
 from ..functions.text import strip
 from ..functions.times import run_id
 from ..schemas import QUOTE_COLUMNS, RAW, REQUIRED_RAW_FIELDS, SOURCE_NAME
@@ -37,10 +38,10 @@ def classify_responses(responses: DataFrame) -> DataFrame:
         F.map_keys(F.from_json("response", MapType(StringType(), StringType()))),
     )
     parsed = (
-        responses.withColumn("_alone", alone)
+        with_settled(responses, {"_alone": alone, "_keys": keys})
         .withColumn("raw", F.when(F.size("_alone") == 1, c("_alone")[0]))
-        .withColumn("keys", F.when(c("raw").isNotNull(), keys))
-        .drop("_alone")
+        .withColumn("keys", F.when(c("raw").isNotNull(), c("_keys")))
+        .drop("_alone", "_keys")
     )
     is_error = c("raw.status") == "error"
     status = (
@@ -95,7 +96,7 @@ def standardize_quotes(classified: DataFrame) -> DataFrame:
         ),
         "source": F.lit(SOURCE_NAME),
     }
-    quotes = classified.withColumns({**texts, **numbers})
+    quotes = with_settled(classified, {**texts, **numbers})
     usable = c("volume").isNotNull()
     for name in numbers:
         usable = usable & c(name).isNotNull()

@@ -145,7 +145,7 @@ def faulty_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw responses, one per event; a run is an hour of events."""
+    """Raw responses, one per event; a run is six hours of events."""
     e = F.expr
     fields = {
         "symbol": F.when(_every(157), None).otherwise(e("'s' || id3")),
@@ -178,7 +178,7 @@ def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(full)
     )
     return _clean_quotes(spark, sf_dir).select(
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("run_timestamp"),
+        F.window("ts", "6 hours")["start"].alias("run_timestamp"),
         c("event_id").alias("position"),
         e("'S' || id3").alias("requested_symbol"),
         response.alias("response"),
