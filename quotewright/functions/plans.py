@@ -16,3 +16,13 @@ def with_settled(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     once = F.array(F.struct(*(column.alias(name) for name, column in columns.items())))
     return rows.select("*", F.inline(once))
+
+
+def in_order(rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """Sort rows that may hold many with equal keys.
+
+    A sort places rows by range, and equal rows cannot be parted. The number
+    of the partition a row comes from, as a last key, lets them be.
+    """
+    placed = rows.withColumn("_from", F.spark_partition_id())
+    return placed.orderBy(*keys, "_from").drop("_from")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_mean, rounded
+from ..functions.plans import in_order
 from ..functions.times import whole_units
 from ..schemas import PARTITION_COLUMNS, QUOTE_COLUMNS
 
@@ -87,23 +88,21 @@ def price_range(quotes: DataFrame) -> DataFrame:
     """High minus low of each quote, absolute and in percent of the low."""
     high, low = F.col("high_price"), F.col("low_price")
     percent = F.try_divide(high - low, low) * 100
-    return (
-        quotes.filter(high.isNotNull() & low.isNotNull())
-        .select(
-            "symbol",
-            "company_name",
-            "price",
-            "high_price",
-            "low_price",
-            (high - low).alias("price_range"),
-            rounded(percent, 2).alias("price_range_percent"),
-            "market_timestamp",
-        )
-        .orderBy(
-            F.col("price_range_percent").desc_nulls_last(),
-            F.desc("market_timestamp"),
-            "symbol",
-        )
+    ranges = quotes.filter(high.isNotNull() & low.isNotNull()).select(
+        "symbol",
+        "company_name",
+        "price",
+        "high_price",
+        "low_price",
+        (high - low).alias("price_range"),
+        rounded(percent, 2).alias("price_range_percent"),
+        "market_timestamp",
+    )
+    return in_order(
+        ranges,
+        F.col("price_range_percent").desc_nulls_last(),
+        F.desc("market_timestamp"),
+        "symbol",
     )
 
 
@@ -205,16 +204,13 @@ def moving_average(
 
 def moving_avg_7(quotes: DataFrame) -> DataFrame:
     """Mean price over seven observations, by symbol and time."""
-    return (
-        moving_average(quotes, 7)
-        .select(
-            "symbol",
-            "market_timestamp",
-            "price",
-            rounded(F.col("_mean"), 2).alias("seven_observation_moving_average"),
-        )
-        .orderBy("symbol", "market_timestamp")
+    means = moving_average(quotes, 7).select(
+        "symbol",
+        "market_timestamp",
+        "price",
+        rounded(F.col("_mean"), 2).alias("seven_observation_moving_average"),
     )
+    return in_order(means, "symbol", "market_timestamp")
 
 
 def day_over_day(quotes: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import rounded
+from ..functions.plans import in_order
 from ..functions.skew import join_counted_keys
 from ..functions.text import normal_lower, normal_upper
 from ..functions.times import date_parts, whole_units
@@ -145,9 +146,8 @@ def duplicate_rows(quotes: DataFrame, **limits: int) -> DataFrame:
     """All rows of the business keys held by more than one row."""
     keys = duplicate_keys(quotes).dropna(subset=list(BUSINESS_KEY))
     found = join_counted_keys(quotes, keys, BUSINESS_KEY, "duplicate_count", **limits)
-    return found.select(*QUOTE_COLUMNS, *PARTITION_COLUMNS).orderBy(
-        *BUSINESS_KEY, "ingestion_timestamp"
-    )
+    rows = found.select(*QUOTE_COLUMNS, *PARTITION_COLUMNS)
+    return in_order(rows, *BUSINESS_KEY, "ingestion_timestamp")
 
 
 def symbol_normalized(quotes: DataFrame) -> DataFrame:
@@ -189,15 +189,14 @@ def market_ahead(quotes: DataFrame) -> DataFrame:
 
 def ingest_delay(quotes: DataFrame) -> DataFrame:
     """Ingested more than 24 whole hours after market time, longest first."""
-    return (
-        quotes.filter(_delay_hours() > MAX_DELAY_HOURS)
-        .select(
-            "symbol",
-            "market_timestamp",
-            "ingestion_timestamp",
-            _delay_hours().alias("ingestion_delay_hours"),
-        )
-        .orderBy(F.desc("ingestion_delay_hours"), *BUSINESS_KEY, "ingestion_timestamp")
+    late = quotes.filter(_delay_hours() > MAX_DELAY_HOURS).select(
+        "symbol",
+        "market_timestamp",
+        "ingestion_timestamp",
+        _delay_hours().alias("ingestion_delay_hours"),
+    )
+    return in_order(
+        late, F.desc("ingestion_delay_hours"), *BUSINESS_KEY, "ingestion_timestamp"
     )
 
 

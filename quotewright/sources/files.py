@@ -118,14 +118,22 @@ def write_standardized(quotes: DataFrame, path: str) -> None:
     ).option("ignoreNullFields", "false").partitionBy(*columns).json(path)
 
 
-def write_curated(quotes: DataFrame, path: str, mode: str = "append", **options: str) -> None:
-    """Write curated quotes by market date, sorted by key within a file."""
+def write_curated(
+    quotes: DataFrame,
+    path: str,
+    mode: str = "append",
+    partitions: Sequence[str] = PARTITION_COLUMNS,
+) -> None:
+    """Write curated quotes by market date, sorted by key within a file.
+
+    Mode ``overwrite`` replaces the partitions the rows fall into, no others.
+    """
     rows = _by_partition(quotes, PARTITION_COLUMNS).sortWithinPartitions(
-        *PARTITION_COLUMNS, *BUSINESS_KEY
+        *partitions, *BUSINESS_KEY
     )
-    rows.write.mode(mode).options(compression="snappy", **options).partitionBy(
-        *PARTITION_COLUMNS
-    ).parquet(path)
+    rows.write.mode(mode).option("compression", "snappy").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*partitions).parquet(path)
 
 
 def write_rejected(rows: DataFrame, path: str, mode: str = "append") -> None:

@@ -1,18 +1,19 @@
 """Incremental curation: only new standardized files are read.
 
-Each micro-batch leaves its valid rows in a folder of its own below
-``log_path`` and its rejected rows likewise, both replaced as a whole if the
-batch is run again. The curated partitions a batch touches are then rebuilt
-from the log, keeping the latest row per key over all batches. The log and
-not the curated table is the source of that step, so a crash in the middle
-of it loses nothing: the batch runs again from the checkpoint.
+Each micro-batch leaves its valid rows in the log, in partitions of its own
+below the market dates, and its rejected rows in a folder of its own; both
+are replaced if the batch is run again. The curated partitions a batch
+touches are then rebuilt from the log, keeping the latest row per key over
+all batches. The log and not the curated table is the source of that step,
+so a crash in the middle of it loses nothing: the batch runs again from the
+checkpoint.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.curate import (
@@ -29,24 +30,21 @@ from ..sources.files import write_curated, write_rejected
 MAX_LISTED_DAYS = 10_000
 
 
-def _day() -> Column:
-    return F.concat_ws("-", *PARTITION_COLUMNS)
+def publish(spark: SparkSession, log_path: str, curated_path: str, days: DataFrame) -> None:
+    """Rebuild the curated partitions of the given days from the log.
 
-
-def publish(spark: SparkSession, log_path: str, curated_path: str, batch: str) -> None:
-    """Rebuild the curated partitions that a batch of the log touches."""
-    days = spark.read.schema(CURATED).parquet(f"{log_path}/{batch}").select(_day()).distinct()
-    touched = [row[0] for row in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    log = spark.read.schema(CURATED).parquet(log_path)
+    Only the folders of those days are listed and read.
+    """
+    touched = days.select(*PARTITION_COLUMNS).distinct().limit(MAX_LISTED_DAYS + 1).collect()
+    paths = [log_path]
     if len(touched) <= MAX_LISTED_DAYS:
-        log = log.filter(_day().isin(touched))
+        paths = [
+            "/".join([log_path, *(f"{name}={row[name]}" for name in PARTITION_COLUMNS)])
+            for row in touched
+        ]
+    log = spark.read.schema(CURATED).option("basePath", log_path).parquet(*paths)
     latest = keep_latest(log.select(*QUOTE_COLUMNS))
-    write_curated(
-        with_market_date(latest),
-        curated_path,
-        mode="overwrite",
-        partitionOverwriteMode="dynamic",
-    )
+    write_curated(with_market_date(latest), curated_path, mode="overwrite")
 
 
 def run_incremental(
@@ -62,17 +60,21 @@ def run_incremental(
     """Curate the files that came since the last call, then return."""
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        folder = f"batch={batch_id}"
+        # The query's id lives in its checkpoint: a new checkpoint counts its
+        # batches from zero again and must not replace those of the old one.
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        name = f"{stream}-{batch_id}"
         assessed = assess(batch).persist()
         try:
             rejected = rejected_quotes(assessed, run_timestamp)
             if not rejected.isEmpty():
-                write_rejected(rejected, f"{rejected_path}/{folder}", mode="overwrite")
+                write_rejected(rejected, f"{rejected_path}/batch={name}", mode="overwrite")
             valid = valid_quotes(assessed)
             if not valid.isEmpty():
-                latest = with_market_date(keep_latest(valid))
-                write_curated(latest, f"{log_path}/{folder}", mode="overwrite")
-                publish(batch.sparkSession, log_path, curated_path, folder)
+                latest = with_market_date(keep_latest(valid)).withColumn("batch", F.lit(name))
+                partitions = [*PARTITION_COLUMNS, "batch"]
+                write_curated(latest, log_path, mode="overwrite", partitions=partitions)
+                publish(spark, log_path, curated_path, with_market_date(valid))
         finally:
             assessed.unpersist()
 
