@@ -8,8 +8,17 @@ from pyspark.sql import functions as F
 # Wide enough for money with nine decimals, narrow enough for sums to grow.
 _EXACT = "decimal(28,9)"
 
+# The usual form, tried first.
+_PLAIN = r"^-?[0-9]+\.?[0-9]*$"
+
 # A decimal literal without Spark's type suffixes ("1.5d"), or a special value.
-_FLOAT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
+# The non-finite JSON literals arrive in quotes.
+_DIGITS = r"\d+(?:_\d+)*"
+_FLOAT = (
+    rf"(?i)^\s*(?:[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    r'|nan|inf|infinity)|"(?:nan|-?infinity)")\s*$'
+)
+_FILLERS = '_" \t\n\r\x0b\x0c'
 
 
 def rounded(value: Column, places: int) -> Column:
@@ -35,8 +44,9 @@ def exact_mean(value: Column) -> Column:
 
 def parse_float(text: Column) -> Column:
     """Text to double where a plain float literal stands, else NULL."""
-    digits = F.regexp_replace(F.trim(text), r"(?<=\d)_(?=\d)", "")
-    return F.when(digits.rlike(_FLOAT), digits.try_cast("double"))
+    plain = F.when(text.rlike(_PLAIN), text.try_cast("double"))
+    other = F.when(text.rlike(_FLOAT), F.translate(text, _FILLERS, "").try_cast("double"))
+    return F.coalesce(plain, other)
 
 
 def parse_whole(text: Column) -> Column:
@@ -46,7 +56,9 @@ def parse_whole(text: Column) -> Column:
 
 def whole_text(value: Column) -> Column:
     """Whole-number text to bigint; a fraction is cut off, exponents are NULL."""
-    return F.regexp_replace(F.trim(value.cast("string")), r"\.\d*$", "").try_cast("bigint")
+    text = F.trim(value.cast("string"))
+    cut = F.regexp_replace(text, r"\.\d*$", "")
+    return F.coalesce(text.try_cast("bigint"), cut.try_cast("bigint"))
 
 
 def below(left: Column, right: Column) -> Column:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def with_settled(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add costly columns so that each is worked out once per row.
+def settle(rows: DataFrame, columns: dict[str, Column], keep: Sequence[str] = ()) -> DataFrame:
+    """Select ``keep`` and costly columns, each worked out once per row.
 
     A filter on a plain column is pushed below it and carries a copy of its
-    expression for every mention; rules stacked on parsed JSON would parse a
-    row hundreds of times. Filters do not pass a generator, so the columns
-    come out of one that yields a single row.
+    expression for every mention: casts would run twice, and rules stacked on
+    parsed JSON would parse a row hundreds of times. Filters do not pass a
+    generator, so the columns come out of one that yields a single row.
     """
     once = F.array(F.struct(*(column.alias(name) for name, column in columns.items())))
-    return rows.select("*", F.inline(once))
+    return rows.select(*keep, F.inline(once))
 
 
 def in_order(rows: DataFrame, *keys: str | Column) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import whole_text
+from ..functions.plans import settle
 from ..functions.text import normal_lower, normal_upper
 from ..functions.times import date_parts, parse_time, utc_literal
 from ..schemas import BUSINESS_KEY, QUOTE_COLUMNS
@@ -43,9 +44,9 @@ def typed_quotes(standardized: DataFrame, keep: Sequence[str] = ()) -> DataFrame
         "ingestion_timestamp": parse_time(F.col("ingestion_timestamp")),
         "source": normal_lower(F.col("source")),
     }
-    known = "source_file" in standardized.columns
-    columns["source_file"] = F.col("source_file") if known else F.input_file_name()
-    return standardized.select(*(c.alias(n) for n, c in columns.items()), *keep)
+    if "source_file" not in standardized.columns:
+        standardized = standardized.withColumn("source_file", F.input_file_name())
+    return settle(standardized, columns, keep=["source_file", *keep])
 
 
 def rejection_reason() -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
 from ..functions.numbers import below, parse_float, parse_whole, within
-from ..functions.plans import with_settled
+from ..functions.plans import settle
 from ..functions.text import strip
 from ..functions.times import run_id
 from ..schemas import QUOTE_COLUMNS, RAW, REQUIRED_RAW_FIELDS, SOURCE_NAME
@@ -38,7 +38,7 @@ def classify_responses(responses: DataFrame) -> DataFrame:
         F.map_keys(F.from_json("response", MapType(StringType(), StringType()))),
     )
     parsed = (
-        with_settled(responses, {"_alone": alone, "_keys": keys})
+        settle(responses, {"_alone": alone, "_keys": keys}, keep=["*"])
         .withColumn("raw", F.when(F.size("_alone") == 1, c("_alone")[0]))
         .withColumn("keys", F.when(c("raw").isNotNull(), c("_keys")))
         .drop("_alone", "_keys")
@@ -68,22 +68,17 @@ def _text(field: str, default: str | None = None) -> Column:
     return F.when(F.array_contains("keys", field), value).otherwise(default)
 
 
-def _number(field: str, parse=parse_float) -> Column:
-    """A field as a number; the non-finite literals arrive in quotes."""
-    return parse(F.regexp_replace(c(f"raw.{field}"), r'^"(NaN|-?Infinity)"$', "$1"))
-
-
 def standardize_quotes(classified: DataFrame) -> DataFrame:
     """Add the 15 quote columns; unusable numbers turn the row invalid."""
     numbers = {
-        "price": _number("close"),
-        "open_price": _number("open"),
-        "high_price": _number("high"),
-        "low_price": _number("low"),
-        "previous_close": _number("previous_close"),
-        "change": _number("change"),
-        "change_percent": _number("percent_change"),
-        "volume": _number("volume", parse_whole),
+        "price": parse_float(c("raw.close")),
+        "open_price": parse_float(c("raw.open")),
+        "high_price": parse_float(c("raw.high")),
+        "low_price": parse_float(c("raw.low")),
+        "previous_close": parse_float(c("raw.previous_close")),
+        "change": parse_float(c("raw.change")),
+        "change_percent": parse_float(c("raw.percent_change")),
+        "volume": parse_whole(c("raw.volume")),
     }
     texts = {
         "symbol": F.upper(strip(_text("symbol"))),
@@ -96,7 +91,7 @@ def standardize_quotes(classified: DataFrame) -> DataFrame:
         ),
         "source": F.lit(SOURCE_NAME),
     }
-    quotes = with_settled(classified, {**texts, **numbers})
+    quotes = settle(classified, {**texts, **numbers}, keep=["*"])
     usable = c("volume").isNotNull()
     for name in numbers:
         usable = usable & c(name).isNotNull()

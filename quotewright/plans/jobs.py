@@ -19,6 +19,7 @@ from ..operators.curate import (
     with_market_date,
 )
 from ..operators.standardize import (
+    failed_symbols,
     ingest,
     ingest_summary,
     raw_zone,
@@ -31,9 +32,18 @@ Writer = Callable[[DataFrame], str]
 
 @dataclass(frozen=True)
 class IngestResult:
-    """What a run did. The locations are None where there was nothing to write."""
+    """What a run did.
 
-    summary: DataFrame
+    The failed symbols are in request order, None if there are too many to
+    list; ``failures`` has all of them as rows. The locations are None where
+    there was nothing to write.
+    """
+
+    requested_count: int
+    successful_count: int
+    failed_count: int
+    failed_symbols: tuple[str, ...] | None
+    failures: DataFrame
     raw_location: str | None
     standardized_location: str | None
 
@@ -47,16 +57,28 @@ def run_ingestion(
     """Ingest a run's responses and hand each zone's rows to its writer.
 
     ``responses`` has ``position``, ``requested_symbol`` and ``response``. A
-    bad response stops no other.
+    bad response stops no other. The parsed rows of the run are kept while
+    its outputs are written, so each response is parsed once.
     """
     rows = ingest(responses.withColumn("run_timestamp", utc_literal(run_timestamp)))
-    raw, standardized = raw_zone(rows), standardized_zone(rows)
+    rows = rows.drop("raw", "keys").persist()
+    try:
+        counts = ingest_summary(rows).first()
+        raw, standardized = raw_zone(rows), standardized_zone(rows)
+        raw_location = None if raw.isEmpty() else raw_writer(raw)
+        any_good = counts is not None and counts["successful_count"] > 0
+        standardized_location = standardized_writer(standardized) if any_good else None
+    finally:
+        rows.unpersist()
+    listed = counts["failed_symbols"] if counts else []
     return IngestResult(
-        summary=ingest_summary(rows),
-        raw_location=None if raw.isEmpty() else raw_writer(raw),
-        standardized_location=(
-            None if standardized.isEmpty() else standardized_writer(standardized)
-        ),
+        requested_count=counts["requested_count"] if counts else 0,
+        successful_count=counts["successful_count"] if counts else 0,
+        failed_count=counts["failed_count"] if counts else 0,
+        failed_symbols=None if listed is None else tuple(listed),
+        failures=failed_symbols(rows),
+        raw_location=raw_location,
+        standardized_location=standardized_location,
     )
 
 

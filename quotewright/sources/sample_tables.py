@@ -197,7 +197,7 @@ def requests_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standardized rows from the largest table, for timing."""
-    part = "'P' || lpad(cast(l_partkey as string), 9, '0')"
+    part = "'P' || cast(l_partkey as string)"
     price = "l_extendedprice / l_quantity"
     columns = {
         "symbol": part,
