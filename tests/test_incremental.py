@@ -1,0 +1,153 @@
+"""The incremental job ends where one batch over all files would."""
+
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from quotewright.operators.curate import assess, curated_quotes, rejected_quotes
+from quotewright.schemas import CURATED, QUOTE_COLUMNS
+from quotewright.sources import files
+from quotewright.streaming import incremental
+from tests.builders import standardized
+
+RUN_TIME = datetime(2026, 7, 12, 8)
+
+
+class Zone:
+    def __init__(self, spark, root):
+        self.spark = spark
+        names = ("standardized", "curated", "rejected", "log", "checkpoint")
+        self.path = {name: str(root / name) for name in names}
+
+    def arrive(self, rows):
+        rows.coalesce(1).write.mode("append").json(self.path["standardized"])
+
+    def run(self, max_files=None, checkpoint="checkpoint"):
+        p = self.path
+        incremental.run_incremental(
+            self.spark,
+            p["standardized"],
+            p["curated"],
+            p["rejected"],
+            p["log"],
+            p.get(checkpoint, checkpoint),
+            RUN_TIME,
+            max_files,
+        )
+
+    def curated(self):
+        names = [f.name for f in CURATED]
+        frame = files.scan_curated(self.spark, self.path["curated"]).select(*names)
+        return sorted(frame.collect(), key=str)
+
+    def rejected(self):
+        return files.scan_rejected(self.spark, self.path["rejected"]).count()
+
+
+def samples(spark, seed, rows=120):
+    rng = random.Random(seed)
+    changes = [
+        {
+            "symbol": rng.choice(["A", "B", "C", " "]),
+            "price": str(rng.choice([-1, 10, 20, 30])),
+            "market_timestamp": f"2026-07-0{rng.randrange(1, 6)} 10:00:00",
+            "ingestion_timestamp": f"2026-07-10 10:{rng.randrange(60):02d}:00",
+            "volume": rng.choice([None, "5", "7"]),
+        }
+        for _ in range(rows)
+    ]
+    return standardized(spark, *changes), rng
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_split_ends_as_one_batch(spark, tmp_path, seed):
+    rows, rng = samples(spark, seed)
+    zone = Zone(spark, tmp_path)
+    collected = rows.collect()
+    rng.shuffle(collected)
+    parts = rng.randrange(3, 6)
+    for i in range(parts):
+        zone.arrive(spark.createDataFrame(collected[i::parts], rows.schema))
+        if rng.random() < 0.5:
+            zone.run(max_files=rng.choice([None, 1]))
+    zone.run(max_files=1)
+    assert zone.curated() == sorted(curated_quotes(rows).collect(), key=str)
+    assert zone.rejected() == rejected_quotes(assess(rows), RUN_TIME).count()
+    before = zone.curated()
+    zone.run()
+    assert zone.curated() == before
+
+
+def test_a_late_older_row_does_not_win(spark, tmp_path):
+    zone = Zone(spark, tmp_path)
+    for price, minute in (("20", 30), ("10", 10)):
+        stamp = f"2026-07-10 10:{minute}:00"
+        zone.arrive(standardized(spark, {"price": price, "ingestion_timestamp": stamp}))
+        zone.run()
+    assert [r["price"] for r in zone.curated()] == [20.0]
+
+
+def test_other_days_are_not_touched(spark, tmp_path):
+    zone = Zone(spark, tmp_path)
+    zone.arrive(standardized(spark, {"market_timestamp": "2026-07-01"}))
+    zone.run()
+    day = tmp_path / "curated" / "year=2026" / "month=07" / "day=01"
+    before = {f.name for f in day.iterdir()}
+    zone.arrive(standardized(spark, {"market_timestamp": "2026-07-02"}))
+    zone.run()
+    assert {f.name for f in day.iterdir()} == before
+    assert len(zone.curated()) == 2
+
+
+def test_a_crash_while_publishing_loses_nothing(spark, tmp_path, monkeypatch):
+    zone = Zone(spark, tmp_path)
+    zone.arrive(standardized(spark, {"price": "20"}, {"price": "-1"}))
+    zone.run()
+    zone.arrive(standardized(spark, {"price": "30", "ingestion_timestamp": "2026-07-11"}))
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "publish", crash)
+        with pytest.raises(Exception, match="lost"):
+            zone.run()
+    zone.run()
+    assert [r["price"] for r in zone.curated()] == [30.0]
+    assert zone.rejected() == 1
+    log = spark.read.schema(CURATED).parquet(zone.path["log"])
+    assert log.count() == 2
+
+
+def test_a_new_checkpoint_keeps_the_old_log(spark, tmp_path):
+    zone = Zone(spark, tmp_path)
+    zone.arrive(standardized(spark, {"symbol": "A"}))
+    zone.run()
+    old = list((tmp_path / "standardized").glob("part-*"))
+    hidden = tmp_path / "standardized" / "_old"
+    hidden.mkdir()
+    for file in old:
+        file.rename(hidden / file.name)
+    zone.arrive(standardized(spark, {"symbol": "B"}))
+    zone.run(checkpoint=str(tmp_path / "another"))
+    assert [r["symbol"] for r in zone.curated()] == ["A", "B"]
+
+
+def test_many_touched_days_read_the_whole_log(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "MAX_LISTED_DAYS", 1)
+    rows, _ = samples(spark, 3, rows=40)
+    zone = Zone(spark, tmp_path)
+    zone.arrive(rows)
+    zone.run()
+    assert zone.curated() == sorted(curated_quotes(rows).collect(), key=str)
+
+
+def test_source_file_of_rejected_rows(spark, tmp_path):
+    zone = Zone(spark, tmp_path)
+    zone.arrive(standardized(spark, {"price": "0"}))
+    zone.run()
+    rejected = files.scan_rejected(spark, zone.path["rejected"])
+    assert rejected.filter(F.col("source_file").endswith(".json")).count() == 1
+    assert set(QUOTE_COLUMNS) < set(rejected.columns)
