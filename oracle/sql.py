@@ -25,7 +25,9 @@ def _round(x: str, places: int) -> str:
     return f"cast(round(cast({x} as decimal(28,9)), {places}) as double)"
 
 
-_PERCENT = "cast(cast(chg * cast(100 as decimal(5,0)) / pc as decimal(18,4)) as varchar)"
+# Rounded half up in whole numbers: a division of decimals gives a double here.
+_TEN_THOUSANDTHS = "sign(chg) * ((abs(chg) * 2000000 + pc) // (2 * pc))"
+_PERCENT = f"cast(cast({_TEN_THOUSANDTHS} / 10000 as decimal(18,4)) as varchar)"
 
 _STEPS: dict[str, str] = {
     # -- quote texts from the events table ---------------------------------
