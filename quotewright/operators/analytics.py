@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -163,43 +162,69 @@ def market_breadth(quotes: DataFrame) -> DataFrame:
     )
 
 
+# A day of a symbol with more quotes than this is cut into minutes.
+DAY_ROWS = 1_000_000
+HOT_DAYS = 100_000
+
+
+def _frames(rows: DataFrame, span: list[Column], before: int) -> tuple[DataFrame, DataFrame]:
+    """Means within spans of rows, and the rows a wider span still needs.
+
+    In a span, all but the first rows have their predecessors at hand. The
+    first ones, and the last ones that rows of a later span look back to, are
+    needed again; ``_done`` tells which of them have their mean already.
+    """
+    local = Window.partitionBy("symbol", *span).orderBy(*_IN_TIME)
+    framed = rows.withColumns(
+        {
+            "_mean": F.avg("price").over(local.rowsBetween(-before, 0)),
+            "_place": F.row_number().over(local),
+            "_last": F.lead(F.lit(1), before).over(local).isNull(),
+        }
+    )
+    full = F.col("_place") > before
+    means = framed.filter(full & ~F.col("_done")).select("symbol", *_IN_TIME, "_mean")
+    rest = framed.filter(~full | F.col("_last")).withColumn("_done", F.col("_done") | full)
+    return means, rest.drop("_mean", "_place", "_last")
+
+
+_IN_TIME = ("market_timestamp", "ingestion_timestamp", "price")
+
+
 def moving_average(
-    quotes: DataFrame, observations: int = 7, spans: Sequence[str] = ("minute", "day")
+    quotes: DataFrame, observations: int = 7, day_rows: int = DAY_ROWS
 ) -> DataFrame:
     """Mean price over each quote and the ones before it, per symbol.
 
     A window over a whole symbol would put a symbol with a third of all rows
-    into one task. So the frame is first taken within a short span of time,
-    where all but the first few rows have their predecessors at hand. Only
-    those rows and the last few of each span, which they look back to, go on
-    to the next, wider span, and the rest to the whole symbol. A symbol has one
-    quote per microsecond at most, so a minute is bounded, and so are the few
-    rows that remain of each minute of a day and of each day.
+    into one task. So the frame is taken within a day of a symbol first, and
+    only the few rows at the ends of each day go on to the whole symbol. Days
+    are counted beforehand: one with too many rows is cut into minutes, whose
+    ends meet in the day. There are at most rows / ``day_rows`` such days, so
+    they can be broadcast, and a minute is bounded by one quote per
+    microsecond.
     """
     before = observations - 1
-    order = ("market_timestamp", "ingestion_timestamp", "price")
-    result = None
-    rest = quotes.select("symbol", *order).withColumn("_done", F.lit(False))
-    for span in spans:
-        start = F.date_trunc(span, "market_timestamp")
-        local = Window.partitionBy("symbol", start).orderBy(*order)
-        framed = rest.withColumns(
-            {
-                "_mean": F.avg("price").over(local.rowsBetween(-before, 0)),
-                "_place": F.row_number().over(local),
-                "_last": F.lead(F.lit(1), before).over(local).isNull(),
-            }
-        )
-        settled = (F.col("_place") > before) & ~F.col("_done")
-        done = framed.filter(settled).select("symbol", *order, "_mean")
-        result = done if result is None else result.unionByName(done)
-        rest = framed.filter((F.col("_place") <= before) | F.col("_last")).select(
-            "symbol", *order, (F.col("_done") | (F.col("_place") > before)).alias("_done")
-        )
-    overall = Window.partitionBy("symbol").orderBy(*order).rowsBetween(-before, 0)
-    last = rest.withColumn("_mean", F.avg("price").over(overall)).filter(~F.col("_done"))
-    last = last.select("symbol", *order, "_mean")
-    return last if result is None else result.unionByName(last)
+    day = F.date_trunc("day", "market_timestamp")
+    rows = quotes.select("symbol", *_IN_TIME, day.alias("_day"), F.lit(False).alias("_done"))
+    counts = rows.groupBy("symbol", "_day").agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.max("_rows").alias("most"), F.sum("_rows").alias("all")).first()
+    parts = []
+    if (total["most"] or 0) > day_rows:
+        limit = max(day_rows, total["all"] // HOT_DAYS)
+        hot = counts.filter(F.col("_rows") > limit).select("symbol", "_day", F.lit(True).alias("_hot"))
+        rows = rows.join(F.broadcast(hot), ["symbol", "_day"], "left")
+        minute = F.date_trunc("minute", "market_timestamp")
+        means, rows = _frames(rows, [F.when(F.col("_hot"), minute).otherwise(F.col("_day"))], before)
+        parts.append(means)
+    means, rows = _frames(rows, [F.col("_day")], before)
+    parts.append(means)
+    overall = Window.partitionBy("symbol").orderBy(*_IN_TIME).rowsBetween(-before, 0)
+    ends = rows.withColumn("_mean", F.avg("price").over(overall)).filter(~F.col("_done"))
+    result = ends.select("symbol", *_IN_TIME, "_mean")
+    for means in parts:
+        result = result.unionByName(means)
+    return result
 
 
 def moving_avg_7(quotes: DataFrame) -> DataFrame:

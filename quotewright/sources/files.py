@@ -139,10 +139,10 @@ def write_curated(
 def write_rejected(rows: DataFrame, path: str, mode: str = "append") -> None:
     """Write rejected rows by rejection date.
 
-    A run has one rejection date: its rows keep the layout of the scan and
-    need no shuffle.
+    They are few among many tasks' rows and of one date: spreading them evenly
+    lets AQE choose how many files to write.
     """
-    rows.write.mode(mode).option("compression", "snappy").partitionBy(
+    rows.hint("rebalance").write.mode(mode).option("compression", "snappy").partitionBy(
         *PARTITION_COLUMNS
     ).parquet(path)
 

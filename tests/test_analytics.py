@@ -41,9 +41,9 @@ def by_symbol(frame):
     return groups
 
 
-@pytest.mark.parametrize("spans", [(), ("minute",), ("day",), ("minute", "day"), ("hour",)])
+@pytest.mark.parametrize("day_rows", [1, 20, 10**9])
 @pytest.mark.parametrize("observations", [1, 2, 7])
-def test_moving_average_against_brute_force(spark, spans, observations):
+def test_moving_average_against_brute_force(spark, day_rows, observations):
     frame = random_quotes(spark, 1)
     expected = {}
     for symbol, rows in by_symbol(frame).items():
@@ -55,7 +55,7 @@ def test_moving_average_against_brute_force(spark, spans, observations):
             ]
             mean = sum(known) / len(known) if known else None
             expected[symbol, row["market_timestamp"]] = mean
-    result = an.moving_average(frame, observations, spans).collect()
+    result = an.moving_average(frame, observations, day_rows).collect()
     assert len(result) == len(expected)
     for row in result:
         want = expected[row["symbol"], row["market_timestamp"]]
@@ -63,9 +63,12 @@ def test_moving_average_against_brute_force(spark, spans, observations):
         assert want is None or row["_mean"] == pytest.approx(want, rel=1e-12)
 
 
-def test_moving_average_settles_bursts_in_short_spans(spark):
-    plan = plan_of(an.moving_avg_7(random_quotes(spark, 1)))
-    assert "date_trunc(minute" in plan and "date_trunc(day" in plan
+def test_crowded_days_are_cut_into_minutes(spark):
+    frame = random_quotes(spark, 1)
+    few = plan_of(an.moving_average(frame))
+    assert "date_trunc(day" in few and "date_trunc(minute" not in few
+    many = plan_of(an.moving_average(frame, day_rows=20))
+    assert "date_trunc(minute" in many and "BroadcastHashJoin" in many
 
 
 def test_latest_quote_of_each_symbol(spark):
