@@ -57,8 +57,10 @@ def run(frame: DataFrame) -> None:
 
 
 def timed(work) -> float:
-    began = time.perf_counter()
-    work()
+    """Seconds of the second run; the first compiles the generated code."""
+    for _ in range(2):
+        began = time.perf_counter()
+        work()
     return round(time.perf_counter() - began, 3)
 
 
@@ -87,9 +89,14 @@ def main() -> None:
         rows.repartition(spread).write.json(f"{folder}/{name}")
     responses = spark.read.schema(zones["responses"].schema).json(f"{folder}/responses")
 
+    curated: list[str] = []
+
     def curate_zone(name: str) -> None:
-        source, target = f"{folder}/{name}", f"{folder}/curated-{name}"
-        curate(spark, source, target, f"{folder}/rejected-{name}", sample.RUN_TIME)
+        zones = tempfile.mkdtemp(prefix=f"{name}-", dir=folder)
+        curate(
+            spark, f"{folder}/{name}", f"{zones}/curated", f"{zones}/rejected", sample.RUN_TIME
+        )
+        curated.append(f"{zones}/curated")
 
     ingested = standardize.ingest(responses)
     seconds = {
@@ -101,7 +108,7 @@ def main() -> None:
         "ingest_summary": timed(lambda: run(standardize.ingest_summary(ingested))),
         "replay_from_raw": timed(lambda: run(replay(responses))),
     }
-    quotes = files.scan_curated(spark, f"{folder}/curated-events")
+    quotes = files.scan_curated(spark, curated[-1])
     for name, report in REPORTS.items():
         seconds[name] = timed(lambda: run(report(quotes)))
     print(
