@@ -7,7 +7,6 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Times carry no zone in this data; a UTC session makes every cast a no-op.
-# AQE sizes shuffles at run time, so no partition count is fixed here.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,10 +16,32 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the library's session settings to a running session."""
+MIB = 1024 * 1024
+SPLIT_BYTES = 128 * MIB
+PARTITION_BYTES = 256 * MIB
+MAX_SPLITS = 100_000
+MAX_PARTITIONS = 50_000
+
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply the library's session settings to a running session.
+
+    Shuffles of windows and aggregations cannot be split at run time, only
+    merged. So they start with a partition per core at least, and with one per
+    256 MB if the size of the input is given; AQE merges what is small. A
+    shuffle has a block per scan task and partition: for very large inputs
+    both grow in size (and spill) rather than in number.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+        min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS),
+    )
+    split = max(SPLIT_BYTES, input_bytes // MAX_SPLITS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return spark
 
 

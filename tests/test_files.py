@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from quotewright.operators import standardize as st
 from quotewright.plans.jobs import curate, replay, run_ingestion
 from quotewright.schemas import CURATED, DEFAULT_WATCHLIST, QUOTE_COLUMNS
-from quotewright.session import shared_dir
+from quotewright.session import configure, shared_dir
 from quotewright.sources import catalog, files
 from tests.builders import RUN_TIME, plan_of, quote, quotes, response, responses, standardized
 
@@ -251,6 +251,32 @@ def test_symbol_lists(spark):
         files.requested_symbols(spark, ["", "   "])
 
 
+def test_shuffles_are_sized_by_the_input(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    configure(spark)
+    assert spark.conf.get(name) == "4"
+    configure(spark, input_bytes=10**14)
+    try:
+        assert spark.conf.get(name) == "50000"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000"
+    finally:
+        configure(spark)
+
+
+def test_curation_of_a_typed_table(spark, tmp_path):
+    """A standardized zone read with inferred types, as a catalog has it."""
+    source = str(tmp_path / "standardized")
+    rows = standardized(spark, {}, {"price": "-1"})
+    numbers = {n: F.col(n).cast("double") for n in ("price", "high_price", "low_price")}
+    rows.withColumns({**numbers, "volume": F.col("volume").cast("bigint")}).write.json(source)
+    out, rejected = str(tmp_path / "curated"), str(tmp_path / "rejected")
+    curate(spark, spark.read.json(source), out, rejected, RUN_TIME)
+    row = files.scan_curated(spark, out).first()
+    assert (row["price"], row["volume"], row["day"]) == (210.5, 48_500_000, "10")
+    row = files.scan_rejected(spark, rejected).first()
+    assert row["rejection_reason"] == "INVALID_PRICE" and row["source_file"].endswith(".json")
+
+
 def test_shared_folder_is_below_the_checkpoint_dir(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = shared_dir(spark, "x")
