@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from oracle.sql import QUERIES as ORACLE
 from quotewright.functions.times import run_id
-from quotewright.operators import analytics, operations, quality, standardize
+from quotewright.operators import analytics, operations, standardize
 from quotewright.operators.curate import rejected_quotes, typed_quotes
 from quotewright.plans.jobs import replay
+from quotewright.plans.reports import CHECKS, REPORTS
 from quotewright.schemas import PARTITION_COLUMNS, QUOTE_COLUMNS
 from quotewright.session import configure, shared_dir
 from quotewright.sources import files
@@ -236,48 +237,15 @@ def queries() -> dict[str, Query]:
         "rejected_quotes": _rejected,
         "curated_quotes": _on_curated(lambda quotes: quotes),
         # reports
-        "preview": _on_curated(analytics.preview),
-        "latest_quote": _on_curated(analytics.latest_quote),
-        "gainers": _on_curated(analytics.gainers),
-        "losers": _on_curated(analytics.losers),
-        "top_volume": _on_curated(analytics.top_volume),
-        "price_range": _on_curated(analytics.price_range),
-        "daily_summary": _on_curated(analytics.daily_summary),
-        "exchange_summary": _on_curated(analytics.exchange_summary),
-        "market_breadth": _on_curated(analytics.market_breadth),
-        "moving_avg_7": _on_curated(analytics.moving_avg_7),
-        "day_over_day": _on_curated(analytics.day_over_day),
-        "volatility": _on_curated(analytics.volatility),
-        "freshness": _on_curated(analytics.freshness),
-        "partition_summary": _on_curated(analytics.partition_summary),
+        **{name: _on_curated(report) for name, report in REPORTS.items()},
         "quotes_between": _on_curated(
             lambda quotes: analytics.quotes_between(quotes, date(2024, 1, 8), date(2024, 1, 19))
         ),
         # quality checks
-        "dq_required": _on_faulty(quality.required),
-        "dq_price": _on_faulty(quality.price),
-        "dq_volume": _on_faulty(quality.volume),
-        "dq_high_low": _on_faulty(quality.high_low),
-        "dq_price_range": _on_faulty(quality.price_in_range),
-        "dq_dup_keys": _on_valid(quality.duplicate_keys),
-        "dq_dup_rows": _on_valid(quality.duplicate_rows),
-        "dq_symbol_norm": _on_faulty(quality.symbol_normalized),
-        "dq_exchange_norm": _on_faulty(quality.exchange_normalized),
-        "dq_currency_norm": _on_faulty(quality.currency_normalized),
-        "dq_source_norm": _on_faulty(quality.source_normalized),
-        "dq_future": _on_faulty(quality.market_ahead),
-        "dq_delay": _on_faulty(quality.ingest_delay),
-        "dq_partition_match": _on_faulty(quality.partition_match),
-        "dq_partition_format": _on_faulty(quality.partition_format),
-        "dq_change": _on_faulty(quality.change_consistent),
-        "dq_change_pct": _on_faulty(quality.percent_consistent),
-        "dq_ohlc": _on_faulty(quality.ohlc),
-        "dq_partition_counts": _on_faulty(quality.partition_counts),
-        "dq_symbol_counts": _on_faulty(quality.symbol_counts),
-        "dq_null_profile": _on_faulty(quality.null_profile),
-        "dq_scorecard": _on_faulty(quality.scorecard),
-        "dq_report": _on_faulty(quality.report),
-        "dq_report_curated": _on_curated(quality.report),
+        **{name: _on_faulty(check) for name, check in CHECKS.items()},
+        "dq_dup_keys": _on_valid(CHECKS["dq_dup_keys"]),
+        "dq_dup_rows": _on_valid(CHECKS["dq_dup_rows"]),
+        "dq_report_curated": _on_curated(CHECKS["dq_report"]),
         # operations
         "incremental_curated": _incremental,
         "replay_from_raw": _on_responses(replay),

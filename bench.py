@@ -14,9 +14,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotewright.operators import analytics, operations, quality, standardize
+from quotewright.operators import analytics, operations, standardize
 from quotewright.operators.curate import curated_quotes
 from quotewright.plans.jobs import curate, replay
+from quotewright.plans.reports import CHECKS, REPORTS
 from quotewright.session import SETTINGS
 from quotewright.sources import files
 from quotewright.sources import sample_tables as sample
@@ -24,29 +25,10 @@ from quotewright.sources import sample_tables as sample
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
-REPORTS = {
-    "preview": analytics.preview,
-    "latest_quote": analytics.latest_quote,
-    "gainers": analytics.gainers,
-    "losers": analytics.losers,
-    "top_volume": analytics.top_volume,
-    "price_range": analytics.price_range,
-    "daily_summary": analytics.daily_summary,
-    "exchange_summary": analytics.exchange_summary,
-    "market_breadth": analytics.market_breadth,
-    "moving_avg_7": analytics.moving_avg_7,
-    "day_over_day": analytics.day_over_day,
-    "volatility": analytics.volatility,
-    "freshness": analytics.freshness,
-    "partition_summary": analytics.partition_summary,
+TIMED = {
+    **REPORTS,
     "quotes_between": lambda q: analytics.quotes_between(q, date(2024, 1, 8), date(2024, 1, 9)),
-    "dq_required": quality.required,
-    "dq_dup_rows": quality.duplicate_rows,
-    "dq_change_pct": quality.percent_consistent,
-    "dq_symbol_counts": quality.symbol_counts,
-    "dq_null_profile": quality.null_profile,
-    "dq_scorecard": quality.scorecard,
-    "dq_report": quality.report,
+    **CHECKS,
     "missing_slots": operations.missing_slots,
 }
 
@@ -109,7 +91,7 @@ def main() -> None:
         "replay_from_raw": timed(lambda: run(replay(responses))),
     }
     quotes = files.scan_curated(spark, curated[-1])
-    for name, report in REPORTS.items():
+    for name, report in TIMED.items():
         seconds[name] = timed(lambda: run(report(quotes)))
     print(
         json.dumps(

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from quotewright.operators import standardize as st
 from quotewright.plans.jobs import curate, replay, run_ingestion
+from quotewright.plans.reports import write_reports
 from quotewright.schemas import CURATED, DEFAULT_WATCHLIST, QUOTE_COLUMNS
 from quotewright.session import configure, shared_dir
 from quotewright.sources import catalog, files
@@ -223,6 +224,14 @@ def test_results_as_csv(spark, tmp_path):
     assert spark.read.option("header", True).csv(path).count() == 3
 
 
+def test_reports_by_name(spark, curated, tmp_path):
+    folders = write_reports(curated, str(tmp_path), ["gainers", "dq_scorecard", "dq_price"])
+    read = {n: spark.read.option("header", True).csv(f) for n, f in folders.items()}
+    assert read["gainers"].count() <= 10 and "change_percent" in read["gainers"].columns
+    assert read["dq_scorecard"].first()["invalid_price_rows"] == "0"
+    assert read["dq_price"].count() == 0
+
+
 def test_partition_strings_need_no_session_setting(spark, tmp_path):
     path = str(tmp_path / "curated")
     files.write_curated(quotes(spark, quote()), path)
