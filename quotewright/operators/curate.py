@@ -51,6 +51,7 @@ def typed_quotes(standardized: DataFrame, keep: Sequence[str] = ()) -> DataFrame
 
 def rejection_reason() -> Column:
     """The first rule a typed row breaks, or NULL."""
+    # The reasons and their order.
     c = F.col
     return (
         F.when(c("symbol").isNull() | (F.length("symbol") == 0), "MISSING_SYMBOL")

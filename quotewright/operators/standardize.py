@@ -18,6 +18,8 @@ from ..functions.times import run_id
 from ..schemas import QUOTE_COLUMNS, RAW, REQUIRED_RAW_FIELDS, SOURCE_NAME
 
 OK = "OK"
+
+# Fixed value: the message of an error response that brings none.
 DEFAULT_API_MESSAGE = "Unknown Twelve Data API error."
 
 c = F.col
@@ -103,6 +105,7 @@ def standardize_quotes(classified: DataFrame) -> DataFrame:
 def validation_errors() -> Column:
     """The messages of all rules a standardized quote breaks, in fixed order."""
     low, high = c("low_price"), c("high_price")
+    # The messages and their order.
     broken = {
         "symbol cannot be blank": strip(c("symbol")) == "",
         "price must be greater than zero": c("price") <= 0,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -14,12 +16,13 @@ def register_table(
     path: str,
     schema: StructType,
     file_format: str = "parquet",
+    partitions: Sequence[str] = PARTITION_COLUMNS,
 ) -> None:
     """Register a partitioned folder, or find new partitions of a known table."""
     if not spark.catalog.tableExists(name):
         spark.sql(
             f"CREATE TABLE {name} ({schema.toDDL()}) USING {file_format} "
-            f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{path}'"
+            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
         )
     spark.catalog.recoverPartitions(name)
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from quotewright.operators import standardize as st
 from quotewright.plans.jobs import curate, replay, run_ingestion
 from quotewright.plans.reports import write_reports
-from quotewright.schemas import CURATED, DEFAULT_WATCHLIST, QUOTE_COLUMNS
+from quotewright.schemas import CURATED, DEFAULT_WATCHLIST, QUOTE_COLUMNS, STANDARDIZED
 from quotewright.session import configure, shared_dir
 from quotewright.sources import catalog, files
 from tests.builders import RUN_TIME, plan_of, quote, quotes, response, responses, standardized
@@ -209,6 +209,23 @@ def test_tables_find_new_partitions_and_columns(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS curated_zone")
 
 
+def test_standardized_zone_as_a_table(spark, tmp_path):
+    path = str(tmp_path / "standardized")
+    files.write_standardized(st.standardized_zone(st.ingest(responses(spark, response()))), path)
+    partitions = ["year", "month", "day", "run_id"]
+    fields = [StructField(n, StringType()) for n in partitions]
+    schema = StructType([*STANDARDIZED.fields, *fields])
+    catalog.register_table(spark, "standardized_zone", path, schema, "json", partitions)
+    try:
+        row = spark.table("standardized_zone").first()
+        assert (row["symbol"], row["day"], row["run_id"]) == ("AAPL", "11", "20260711T153045Z")
+        out = str(tmp_path / "curated")
+        curate(spark, spark.table("standardized_zone"), out, str(tmp_path / "r"), RUN_TIME)
+        assert files.scan_curated(spark, out).count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS standardized_zone")
+
+
 def test_sql_text_on_the_view(spark, curated):
     catalog.register_view(curated)
     rows = spark.sql(
