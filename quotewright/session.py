@@ -16,6 +16,7 @@ SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 MIB = 1024 * 1024
 SPLIT_BYTES = 128 * MIB
 PARTITION_BYTES = 256 * MIB
@@ -30,7 +31,8 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     merged. So they start with a partition per core at least, and with one per
     256 MB if the size of the input is given; AQE merges what is small. A
     shuffle has a block per scan task and partition: for very large inputs
-    both grow in size (and spill) rather than in number.
+    both grow in size (and spill) rather than in number. Sizes the session
+    has already are kept if none is given here.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -39,9 +41,11 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
         spark.sparkContext.defaultParallelism,
         min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS),
     )
-    split = max(SPLIT_BYTES, input_bytes // MAX_SPLITS)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    if input_bytes or spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    if input_bytes:
+        split = max(SPLIT_BYTES, input_bytes // MAX_SPLITS)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return spark
 
 

@@ -12,7 +12,7 @@ from quotewright.operators import standardize as st
 from quotewright.plans.jobs import curate, replay, run_ingestion
 from quotewright.plans.reports import write_reports
 from quotewright.schemas import CURATED, DEFAULT_WATCHLIST, QUOTE_COLUMNS, STANDARDIZED
-from quotewright.session import configure, shared_dir
+from quotewright.session import INITIAL_PARTITIONS, configure, shared_dir
 from quotewright.sources import catalog, files
 from tests.builders import RUN_TIME, plan_of, quote, quotes, response, responses, standardized
 
@@ -278,15 +278,19 @@ def test_symbol_lists(spark):
 
 
 def test_shuffles_are_sized_by_the_input(spark):
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    splits = "spark.sql.files.maxPartitionBytes"
+    spark.conf.unset(INITIAL_PARTITIONS)
     configure(spark)
-    assert spark.conf.get(name) == "4"
-    configure(spark, input_bytes=10**14)
+    assert spark.conf.get(INITIAL_PARTITIONS) == "4"
     try:
-        assert spark.conf.get(name) == "50000"
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000"
-    finally:
+        configure(spark, input_bytes=10**14)
+        assert spark.conf.get(INITIAL_PARTITIONS) == "50000"
+        assert spark.conf.get(splits) == "1000000000"
         configure(spark)
+        assert spark.conf.get(INITIAL_PARTITIONS) == "50000"
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+        spark.conf.unset(splits)
 
 
 def test_curation_of_a_typed_table(spark, tmp_path):
