@@ -24,6 +24,14 @@ from quotewright.sources import files
 from quotewright.sources import sample_tables as sample
 from quotewright.streaming.incremental import run_incremental
 
+try:  # the corpus operators may be left out
+    import corpus_pipeline
+    from quotewright.llm import queries as corpus
+except ModuleNotFoundError as error:
+    if (error.name or "") not in ("corpus_pipeline", "quotewright.llm"):
+        raise
+    corpus = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 Operator = Callable[[DataFrame], DataFrame]
 
@@ -215,7 +223,8 @@ def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Each operator as a function of a session and a folder of sample tables."""
     standardized = sample.standardized_from_events
-    return {
+    extra = corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {}
+    return extra | {
         # sources and sinks
         "scan_standardized": _scan_standardized,
         "scan_raw": _scan_raw,
@@ -261,4 +270,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results as DuckDB SQL over the sample tables."""
-    return dict(ORACLE)
+    extra = corpus.oracle_sql() if corpus else {}
+    if corpus and corpus_pipeline.ORACLE_SQL:
+        extra["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return extra | ORACLE
