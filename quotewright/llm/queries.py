@@ -7,13 +7,41 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotewright.llm import mix, urls, warc
-from quotewright.llm.common import table
+from quotewright.llm import language, licenses, mix, neighbours, packing, pii, quality, urls, warc
+from quotewright.llm.common import settle, table
 from quotewright.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = settle(quality.with_statistics(table(spark, sf_dir, "documents")), "statistics")
+    model = quality.fit_quality(measured, table(spark, sf_dir, "labels"))
+    return quality.judge_quality(measured, model).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", "score"
+    )
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.predict_language(documents, language.fit_language(documents))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pii.find_pii(documents, pii.fit_pii(documents))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "llm", f"archive-{uuid4().hex}")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -29,11 +57,25 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_pack": op1_pack,
+        "op2_quality": op2_quality,
+        "op3_language": op3_language,
+        "op4_pii": op4_pii,
         "op6_warc": op6_warc,
         "op7_mix": op7_mix,
         "op8_url_filter": op8_url_filter,
+        "op9_nearest": op9_nearest,
+        "op10_license": op10_license,
     }
 
 
