@@ -71,8 +71,9 @@ class Grams:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        for word in set(words) - known.keys():
-            known[word] = xxhash.xxh64_intdigest(word)
+        for word in set(words):
+            if word not in known:
+                known[word] = xxhash.xxh64_intdigest(word)
         own = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
         out = own[: len(own) - GRAM + 1].copy()
         for offset in range(1, GRAM):

@@ -85,7 +85,7 @@ class TokenBytes:
         return b"".join(parts)
 
     def _learn(self, words: list[str]) -> None:
-        unseen = list(set(words) - self.cache.keys())
+        unseen = [word for word in set(words) if word not in self.cache]
         if len(self.cache) + len(unseen) > CACHE_WORDS:
             self.cache.clear()
             unseen = list(set(words))

@@ -21,13 +21,13 @@ MOST_REPEATED = 50  # percent of the words
 
 SPACES = " \t\n\v\f\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-OTHERS = ("n_lines", "n_upper", "n_marks", "n_digits", "n_distinct")
+OTHERS = ("n_lines", "n_upper", "n_marks")
 STATISTICS = ", ".join(f"{name} long" for name in COUNTS + OTHERS)
 MARKS = b"!\"'()+,-./:;=?@[\\]^_`{}~"
 
 # Bounds of the fit, which needs no more rows however many there are.
 LABELLED_ROWS = 20_000
-TREES, SAMPLE = 100, 256
+TREES, SAMPLE = 200, 256
 FALSE_REJECTS = 0.002
 SEED = 7
 
@@ -48,8 +48,6 @@ def statistics(text: str | None) -> tuple[int, ...]:
         len(lines),
         len(raw) - len(raw.translate(None, UPPER.encode())),
         len(raw) - len(raw.translate(None, MARKS)),
-        len(raw) - len(raw.translate(None, b"0123456789")),
-        len(set(words)),
     )
 
 
@@ -72,21 +70,20 @@ def base_failed(n_words, n_repeat_words):
 
 
 def features(counts: np.ndarray) -> np.ndarray:
-    """Rates that do not grow with the text, a row per document."""
-    n_words, word_chars, n_symbols, n_dup, n_repeat, n_lines, n_upper, n_marks, n_digits, n_distinct = (
-        counts.astype(float).T
-    )
+    """Rates that do not grow with the text, a row per document.
+
+    Repetition is squared: the base rules reject the worst of it, and some
+    repeated lines are common in good texts.
+    """
+    n_words, word_chars, n_symbols, n_dup, n_repeat, n_lines, n_upper, n_marks = counts.astype(float).T
     words, chars, lines = np.maximum(n_words, 1), np.maximum(word_chars, 1), np.maximum(n_lines, 1)
     return np.column_stack(
         [
             word_chars / words,
             np.log1p(100 * n_symbols / chars),
-            n_dup / lines,
-            n_repeat / words,
+            np.maximum(n_dup / lines, n_repeat / words) ** 2,
             np.log1p(100 * n_upper / chars),
             np.log1p(100 * n_marks / chars),
-            np.log1p(100 * n_digits / chars),
-            np.log(words) - np.log(np.maximum(n_distinct, 1)),
         ]
     )
 
@@ -124,8 +121,15 @@ class Forest:
         return 2.0 ** (-total / (len(self.feature) * self.normal))
 
 
-def grow_forest(rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> Forest:
-    """Trees of random splits, each over a random sample of the rows."""
+def grow_forest(
+    rows: np.ndarray, box: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
+) -> Forest:
+    """Trees of random splits, each over a random sample of the rows.
+
+    A node splits its part of the ``box`` (least and largest value per feature)
+    at random, not the range its rows fill. So a stretch without rows is cut
+    off early, and what falls there has a short path.
+    """
     random = np.random.default_rng(seed)
     sample = min(sample, len(rows))
     levels = max(1, math.ceil(math.log2(max(sample, 2))))
@@ -134,20 +138,21 @@ def grow_forest(rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed
     cut, depth = np.zeros((trees, size)), np.zeros((trees, size))
     left = np.zeros((trees, size), dtype=np.int32)
     for tree in range(trees):
-        waiting = [(0, 0, rows[random.choice(len(rows), sample, replace=False)])]
+        waiting = [(0, 0, rows[random.choice(len(rows), sample, replace=False)], box)]
         used = 1
         while waiting:
-            node, level, own = waiting.pop()
-            spread = own.max(axis=0) > own.min(axis=0) if len(own) else np.zeros(rows.shape[1], bool)
-            if level == levels or len(own) <= 1 or not spread.any():
+            node, level, own, part = waiting.pop()
+            wide = np.flatnonzero(part[1] > part[0])
+            if level == levels or len(own) <= 1 or not len(wide):
                 depth[tree, node] = level + _mean_path(len(own))
                 continue
-            column = random.choice(np.flatnonzero(spread))
-            low, high = own[:, column].min(), own[:, column].max()
-            at = random.uniform(low, high) or high
+            column = random.choice(wide)
+            at = random.uniform(*part[:, column])
             feature[tree, node], cut[tree, node], left[tree, node] = column, at, used
             right = own[:, column] >= at
-            waiting += [(used, level + 1, own[~right]), (used + 1, level + 1, own[right])]
+            low, high = part.copy(), part.copy()
+            low[1, column] = high[0, column] = at
+            waiting += [(used, level + 1, own[~right], low), (used + 1, level + 1, own[right], high)]
             used += 2
     return Forest(feature, cut, left, depth, levels, max(_mean_path(sample), 1.0))
 
@@ -237,7 +242,7 @@ def fit_quality(
     if good.sum() < 32:
         return QualityModel(None, math.inf)
     rates = features(counts)
-    forest = grow_forest(rates[good])
+    forest = grow_forest(rates[good], np.stack([rates.min(axis=0), rates.max(axis=0)]))
     return QualityModel(forest, calibrate(forest.score(rates), good))
 
 

@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotewright.llm import language, licenses, mix, neighbours, packing, pii, quality, urls, warc
+from quotewright.llm import jaccard, language, licenses, mix, neighbours, packing, pii, quality, urls, warc
 from quotewright.llm.common import settle, table
 from quotewright.session import shared_dir
 
@@ -42,6 +42,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents, pii.fit_pii(documents))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "llm", f"archive-{uuid4().hex}")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -71,6 +75,7 @@ def queries() -> dict[str, Query]:
         "op2_quality": op2_quality,
         "op3_language": op3_language,
         "op4_pii": op4_pii,
+        "op5_jaccard": op5_jaccard,
         "op6_warc": op6_warc,
         "op7_mix": op7_mix,
         "op8_url_filter": op8_url_filter,
