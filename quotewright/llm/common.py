@@ -83,3 +83,15 @@ def map_batches(
             )
 
     return frame.mapInArrow(run, schema)
+
+
+def spare_names(frame: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that a frame has not."""
+    taken = {name.lower() for name in frame.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import settle
+from quotewright.llm.common import WORD, row_key, settle, spare_names
 
 SHINGLE, PERCENT = 5, 75
 KEYS = 6
@@ -102,7 +102,7 @@ def _arrow(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-MEASURED = "doc_id long, n long, digest binary, keys array<long>, part int, counts binary"
+MEASURED = "doc_id long, text_hash long, n long, digest binary, keys array<long>, part int, counts binary"
 
 
 def _measured(rows: DataFrame, size: int) -> DataFrame:
@@ -123,7 +123,7 @@ def _measured(rows: DataFrame, size: int) -> DataFrame:
                     np.add.at(counts[row], counters, 1)
             empty = pa.nulls(batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
+                [batch["doc_id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
                 + [pa.array(keys, pa.list_(pa.int64())), empty.cast(pa.int32()), empty.cast(pa.binary())],
                 schema=kinds,
             )
@@ -131,7 +131,7 @@ def _measured(rows: DataFrame, size: int) -> DataFrame:
             parts = counts.reshape(SKETCH_PARTS, -1)
             none = pa.nulls(SKETCH_PARTS)
             yield pa.RecordBatch.from_arrays(
-                [none.cast(kinds.field(i).type) for i in range(4)]
+                [none.cast(kinds.field(i).type) for i in range(5)]
                 + [pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([_pack(part) for part in parts], pa.binary())],
                 schema=kinds,
             )
@@ -440,7 +440,41 @@ def jaccard_components(
     already, nor for tokens that only one group has; each pass over the texts
     keeps a task's state of bounded size.
     """
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _components(documents, id_col, text_col, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(
+    documents: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """One document of each component, the one of the smallest id, with its own columns.
+
+    Of rows of one id and text, one stays; texts without words all stay.
+    """
+    key, place = spare_names(documents, "key", "place")
+    hashed = F.xxhash64(text_col)
+    found = _components(documents, id_col, text_col, size, percent).filter("root is not null")
+    kept = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("doc_id"), F.col("kept.text_hash").alias("text_hash"))
+    kept = kept.select(row_key("doc_id", "text_hash").alias(key))
+    worded = F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))
+    keyed = documents.filter(worded).withColumn(place, hashed).withColumn(key, row_key(id_col, place))
+    among = Window.partitionBy(key).orderBy(F.xxhash64(*documents.columns))
+    first = (
+        keyed.join(kept, key, "left_semi").withColumn(place, F.row_number().over(among)).filter(F.col(place) == 1)
+    )
+    return first.select(documents.columns).unionByName(documents.filter(~worded))
+
+
+def _components(documents: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and root, which names the component."""
+    rows = documents.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")
+    )
     measured = settle(_measured(rows, size), "measured")
     sketch = _sketch(measured)
     texts = measured.filter(F.col("part").isNull())
@@ -461,7 +495,9 @@ def jaccard_components(
     roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(outer))
     labelled = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_digest = labelled.join(smallest, "root").select("digest", "component_id")
-    full = texts.filter("n > 0").join(by_digest, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = texts.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty)
+    by_digest = labelled.join(smallest, "root").select("digest", "component_id", "root")
+    names = ("doc_id", "text_hash", "n_shingles", "component_id", "root")
+    texts = texts.withColumnRenamed("n", "n_shingles").drop("keys", "part", "counts")
+    full = texts.filter("n_shingles > 0").join(by_digest, "digest").select(*names)
+    empty = texts.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    return full.unionByName(empty.withColumn("root", F.lit(None).cast("long")).select(*names))

@@ -43,7 +43,7 @@ TEMPLATES = (
 
 GRAM = 3
 # Diagonals this near are one; a span counts from this share of a template's k-grams.
-NEAR, COVERED = 3, 0.75
+NEAR, COVERED = 3, 0.8
 CACHE_WORDS = 300_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 

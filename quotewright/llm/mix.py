@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import row_key, settle, word_count
+from quotewright.llm.common import WORD, row_key, settle, spare_names, word_count
 
 # Weights by rank of the source, and the most passes over a source.
 WEIGHTS = (1, 2, 3)
@@ -67,30 +67,8 @@ def due_time(share: Column, start: Column, end: Column) -> Column:
     return F.when(slope == 0, share).otherwise(root)
 
 
-def mix_sources(
-    documents: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    source_col: str = "source",
-    text_col: str = "text",
-) -> DataFrame:
-    """What the mix takes of each document, sorted by its first training position.
-
-    Returns doc_id, copy, size, source, source_size, target, taken, before (the
-    source's words ahead of it), passes (whole passes over the source), rest
-    (words of the pass after them), position (0 to 1; null if nothing is taken).
-
-    Documents of a source stand in the order of the MD5 of their id. Whole
-    passes take each document whole; the last one stops at the target, inside
-    a document if need be, so a source gives its target's whole words. Null
-    text has no words; a null source is a source of its own; null ids share
-    one place in the order and follow by size. Rows equal in id, source and
-    size are counted first and numbered by ``copy``. Nothing to mix gives
-    targets of 0. Other columns are not looked at.
-
-    A source is dealt into buckets by hash: sums go over buckets first, then
-    within each, so no task holds a source.
-    """
+def mixed_rows(documents: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """The rows of ``mix_sources`` before they are sorted."""
     sized = settle(
         documents.select(
             F.col(id_col).alias("doc_id"),
@@ -148,11 +126,39 @@ def mix_sources(
     return result.select(
         "doc_id", "copy", "size", "source", "source_size", "target", "taken",
         "before", "passes", "rest", "quota", "weight", "position",
-    ).orderBy(F.col("position").asc_nulls_last(), "doc_id", "copy")
+    )
+
+
+def mix_sources(
+    documents: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    text_col: str = "text",
+) -> DataFrame:
+    """What the mix takes of each document, sorted by its first training position.
+
+    Returns doc_id, copy, size, source, source_size, target, taken, before (the
+    source's words ahead of it), passes (whole passes over the source), rest
+    (words of the pass after them), position (0 to 1; null if nothing is taken).
+
+    Documents of a source stand in the order of the MD5 of their id. Whole
+    passes take each document whole; the last one stops at the target, inside
+    a document if need be, so a source gives its target's whole words. Null
+    text has no words; a null source is a source of its own; null ids share
+    one place in the order and follow by size. Rows equal in id, source and
+    size are counted first and numbered by ``copy``. Nothing to mix gives
+    targets of 0. Other columns are not looked at.
+
+    A source is dealt into buckets by hash: sums go over buckets first, then
+    within each, so no task holds a source.
+    """
+    mixed = mixed_rows(documents, id_col, source_col, text_col)
+    return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id", "copy")
 
 
 def placements(mixed: DataFrame) -> DataFrame:
-    """A row per document and pass that takes words of it, range-sorted by position.
+    """A row per document and pass that takes words of it.
 
     Adds pass_no, words (taken in that pass) and the position of their first word.
     """
@@ -167,5 +173,40 @@ def placements(mixed: DataFrame) -> DataFrame:
         .withColumn("words", words)
         .filter(F.col("words") > 0)
         .withColumn("position", due_time(share, F.lit(1.0), F.col("weight").cast("double")))
-        .orderBy("position", "doc_id", "copy", "pass_no")
     )
+
+
+def mixed_documents(
+    documents: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    text_col: str = "text",
+    length_col: str | None = None,
+) -> DataFrame:
+    """The documents of the mix with their own columns, range-sorted by training position.
+
+    A document stands there once for each pass that takes it, and not at all
+    if none does. The one a source stops in gives its first words, parted by
+    spaces; ``length_col`` then gets their code points. Rows equal in id,
+    source and size are told apart by the hash of all their columns.
+    """
+    names = spare_names(documents, "key", "copy", "words", "pass_no", "position")
+    key, copy, words, pass_no, position = names
+    size = word_count(F.col(text_col)).alias(words)
+    keyed = documents.select("*", size).withColumn(key, row_key(id_col, source_col, words)).drop(words)
+    among = Window.partitionBy(key).orderBy(F.xxhash64(*documents.columns))
+    numbered = keyed.withColumn(copy, (F.row_number().over(among) - 1).cast("long"))
+    placed = placements(mixed_rows(documents, id_col, source_col, text_col)).select(
+        row_key("doc_id", "source", "size").alias(key),
+        F.col("copy").alias(copy),
+        F.when(F.col("words") < F.col("size"), F.col("words").cast("int")).alias(words),
+        F.col("pass_no").alias(pass_no),
+        F.col("position").alias(position),
+    )
+    whole = F.col(words).isNull()
+    first = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.coalesce(words, F.lit(0))), " ")
+    joined = numbered.join(placed, [key, copy]).withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(first))
+    if length_col:
+        joined = joined.withColumn(length_col, F.when(whole, F.col(length_col)).otherwise(F.length(text_col)))
+    return joined.orderBy(position, key, copy, pass_no).select(documents.columns)

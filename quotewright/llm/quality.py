@@ -209,25 +209,29 @@ def with_statistics(documents: DataFrame, id_col: str = "doc_id", text_col: str
     return map_batches(rows, start, f"doc_id long, {STATISTICS}")
 
 
+def labelled_ids(labels: DataFrame, label_col: str = "quality", rows: int = LABELLED_ROWS) -> DataFrame:
+    """doc_id and label of at most ``rows`` labelled ids, the first by a hash."""
+    return (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label"))
+        .dropna()
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(rows)
+    )
+
+
 def fit_quality(
     measured: DataFrame, labels: DataFrame, *, label_col: str = "quality", rows: int = LABELLED_ROWS
 ) -> QualityModel:
     """Grow the forest and set its threshold on labelled documents the base rules pass.
 
-    At most ``rows`` labelled ids, the first by a hash, are taken; null ids and
-    values fall away, and of several labels or documents of an id the smallest
+    At most ``rows`` labelled ids are taken; null ids and values fall away, and of several labels or documents of an id the smallest
     counts. Trees isolate good rows; the threshold is where bad ones part from
     them. With fewer than 32 good rows there is no forest and the base rules
     decide.
     """
-    chosen = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label"))
-        .dropna()
-        .groupBy("doc_id")
-        .agg(F.min("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
+    chosen = labelled_ids(labels, label_col, rows)
     # At most ``rows`` ids: they go to the statistics, which are not shuffled.
     labelled = (
         measured.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))

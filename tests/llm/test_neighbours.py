@@ -1,0 +1,74 @@
+from collections import defaultdict
+
+import numpy as np
+
+from quotewright.llm import neighbours
+from quotewright.llm.common import table
+
+SCHEMA = "vec_id long, embedding array<float>, label int, klass string, leaf string, vector string"
+
+
+def by_rule(ids, vectors, count=20, every=20):
+    out = {}
+    for i, own in enumerate(ids):
+        if own % every == 0:
+            scores = (vectors * vectors[i]).sum(axis=1)
+            order = sorted((-s, v) for s, v in zip(scores, ids) if v != own)
+            out[own] = [(v, -s) for s, v in order[:count]]
+    return out
+
+
+def test_recall_and_scores(spark):
+    frame = table(spark, "/root/testdata/sf0.1", "embeddings")
+    rows = frame.collect()
+    ids, vectors = [r["vec_id"] for r in rows], np.array([r["embedding"] for r in rows], dtype=float)
+    expected = by_rule(ids, vectors)
+    found = defaultdict(list)
+    for row in neighbours.nearest_neighbours(frame).collect():
+        found[row["query_id"]].append((row["rank"], row["vec_id"], row["score"]))
+    assert set(found) == set(expected)
+    hits, place = 0, {v: i for i, v in enumerate(ids)}
+    for query, own in found.items():
+        own.sort()
+        assert [rank for rank, _, _ in own] == list(range(1, 21))
+        assert own == sorted(own, key=lambda e: (-e[2], e[1]))
+        for _, vec_id, score in own:
+            assert abs(score - vectors[place[vec_id]] @ vectors[place[query]]) < 1e-12
+        hits += len({v for _, v, _ in own} & {v for v, _ in expected[query]})
+    assert hits / sum(map(len, expected.values())) >= 0.9
+
+
+def test_edge_rows_ties_and_copies(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(1, 60)]
+    rows += [(100 + i, [1.0, 0.0, 0.0, 0.0]) for i in range(70)] + [(100, [1.0, 0.0, 0.0, 0.0])] * 30
+    rows += [(200, None), (201, [0.0] * 4), (220, [1.0, None, 0.0, 0.0]), (240, [float("nan"), 1.0, 1.0, 1.0]), (260, [float("inf"), 1.0, 1.0, 1.0]), (280, [1.0, 2.0]), (None, [1.0, 1.0, 1.0, 1.0])]
+    frame = spark.createDataFrame([(*row, 1, "clash", "clash", "clash") for row in rows], SCHEMA)
+    valid = {i: np.array(v, dtype=np.float32).astype(float) for i, v in rows if i is not None and i < 200}
+    expected = by_rule(list(valid), np.array(list(valid.values())))
+    found = defaultdict(list)
+    for row in neighbours.nearest_neighbours(frame, recall=1.0).collect():
+        found[row["query_id"]].append((row["rank"], row["vec_id"]))
+    assert set(found) == set(expected) == {20, 40, 100, 120, 140, 160}
+    for query in (100, 120, 140, 160):  # ties of all copies, by id
+        assert [v for _, v in sorted(found[query])] == [v for v, _ in expected[query]]
+    assert all(len(own) == 20 for own in found.values())
+
+
+def test_few_and_no_rows(spark):
+    frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    rows = neighbours.nearest_neighbours(frame).orderBy("rank").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in rows] == [(0, 1, 1, 0.5), (0, 2, 2, 0.0)]
+    assert neighbours.nearest_neighbours(frame.limit(0)).count() == 0
+    assert neighbours.nearest_neighbours(frame.filter("vec_id = 0")).count() == 0
+
+
+def test_best_bin_first_order():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(0, 1, (500, 6))
+    tree = neighbours.grow_tree(rows, 20)
+    leaves = tree.place(rows)
+    assert set(leaves) == set(range(tree.leaves)) and tree.leaves > 10
+    for order in tree.visits(rows[:5], tree.leaves):
+        assert sorted(order) == list(range(tree.leaves))
+    assert [order[:3] for order in tree.visits(rows[:5], tree.leaves)] == tree.visits(rows[:5], 3)
