@@ -272,5 +272,5 @@ def oracle_sql() -> dict[str, str]:
     """The same results as DuckDB SQL over the sample tables."""
     extra = corpus.oracle_sql() if corpus else {}
     if corpus and corpus_pipeline.ORACLE_SQL:
-        extra["pipeline"] = corpus_pipeline.ORACLE_SQL
+        extra = extra | {"pipeline": corpus_pipeline.ORACLE_SQL}
     return extra | ORACLE
