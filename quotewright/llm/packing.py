@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from functools import reduce
 from itertools import combinations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +22,56 @@ ROUNDS = 8
 # Limits of the search, not of the rows: places looked at for a swap, documents
 # of a bin taken in pairs, passes over the underfull bins.
 LOOKS, PAIRED, PASSES = 48, 12, 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 SLICE_CHARS = 1_000_000
+# Marks that are units of their own after letters.
+MARKS = (".", ",")
+
+
+class Visible(dict):
+    """Characters as the vocabulary writes their bytes, by code point."""
+
+    def __init__(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.level = ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, code: int) -> str:
+        self[code] = self.level.pre_tokenize_str(chr(code))[0][0]
+        return self[code]
+
+
+class WordIds(dict):
+    """Token ids, as bytes, of words with the one space or line end before them.
+
+    A run of letters is one unit of the vocabulary's merges and so is a mark
+    after it; those go to the model straight. Other words take the whole way.
+    """
+
+    def __init__(self, tokenizer_path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.model, self.visible = self.tokenizer.model, Visible()
+
+    def unit(self, text: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(text.translate(self.visible))]).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():
+            ids = self.unit(f" {word}")
+        elif word[-1:] in MARKS and word[:-1].isalpha():
+            ids = self[word[:-1]] + self.unit(word[-1])
+        elif word[:1] == "\n":
+            ids = self.unit("\n") + self.unit(word[1:]) if word[1:].isalpha() else self.whole(word)
+        else:
+            ids = self.whole(f" {word}")
+        self[word] = ids
+        return ids
 
 
 class TokenBytes:
@@ -36,15 +84,7 @@ class TokenBytes:
     """
 
     def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(each.ids, dtype="<u4").tobytes() for each in found]
+        self.words = WordIds(tokenizer_path)
 
     @staticmethod
     def _plain(text: str) -> bool:
@@ -55,43 +95,24 @@ class TokenBytes:
             return False
         return not ODD_SPACE.search(text)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """A batch's ids. Long texts are looked up in slices that end before a space."""
-        plain = [self._plain(text) for text in texts]
-        out: list[bytes] = [b""] * len(texts)
-        odd = [i for i, each in enumerate(plain) if not each and texts[i]]
-        for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
-            out[i] = ids
-        for i, each in enumerate(plain):
-            if each:
-                out[i] = self._by_word(texts[i])
-        return out
-
-    def _by_word(self, text: str) -> bytes:
-        parts, start, first = [], 0, True
+    def encode(self, text: str) -> bytes:
+        """Long texts are looked up in slices that end before a space."""
+        if not self._plain(text):
+            return self.words.whole(text) if text else b""
+        parts, start = [], 0
         while start < len(text):
             end = text.find(" ", start + SLICE_CHARS)
             end = len(text) if end < 0 else end
             words = text[start:end].replace("\n", " \n").split(" ")
-            if first:  # no space stands before the first word
-                parts += self._encode([words[0]])
-                words, first = words[1:], False
-            try:
-                parts.append(b"".join(map(self.cache.__getitem__, words)))
-            except KeyError:
-                self._learn(words)
-                parts.append(b"".join(map(self.cache.__getitem__, words)))
+            if not start:  # no space stands before the first word
+                parts.append(self.words.whole(words[0]))
+                words = words[1:]
+            if len(self.words) > CACHE_WORDS:
+                self.words.clear()
+            parts.append(b"".join(map(self.words.__getitem__, words)))
             start = end + 1
         return b"".join(parts)
 
-    def _learn(self, words: list[str]) -> None:
-        unseen = [word for word in set(words) if word not in self.cache]
-        if len(self.cache) + len(unseen) > CACHE_WORDS:
-            self.cache.clear()
-            unseen = list(set(words))
-        spaced = [word if word[:1] == "\n" else f" {word}" for word in unseen]
-        self.cache.update(zip(unseen, self._encode(spaced)))
-
 
 # White space other than a space or line end.
 ODD_SPACE = re.compile(r"[^\S \n]")
@@ -119,8 +140,8 @@ def token_pieces(
 
         def pieces(batch: pa.RecordBatch) -> dict:
             places, numbers, starts, lengths, sums = [], [], [], [], []
-            for place, ids in enumerate(tokens.encode(batch["text"].to_pylist())):
-                ids += b"\0\0\0\0"
+            for place, text in enumerate(batch["text"].to_pylist()):
+                ids = tokens.encode(text) + b"\0\0\0\0"
                 for number, (begin, length) in enumerate(cut(len(ids) // 4, capacity)):
                     places.append(place)
                     numbers.append(number)
