@@ -160,8 +160,19 @@ def _ingest_split(responses: DataFrame) -> DataFrame:
 
 
 def _ingest_summary(responses: DataFrame) -> DataFrame:
-    summary = standardize.ingest_summary(standardize.ingest(responses))
-    return summary.withColumn("failed_symbols", F.array_join("failed_symbols", ","))
+    return standardize.ingest_summary(standardize.ingest(responses))
+
+
+def _failed_symbols(responses: DataFrame) -> DataFrame:
+    return standardize.failed_symbols(standardize.ingest(responses))
+
+
+def _replay_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses through the files of the raw zone to curated quotes."""
+    path = _folder(spark, sf_dir, f"replay-{uuid4().hex}")
+    rows = standardize.ingest(sample.responses_from_events(spark, sf_dir))
+    files.write_raw(standardize.raw_zone(rows), path)
+    return replay(files.replayable(files.scan_raw(spark, path)))
 
 
 # --- curation -----------------------------------------------------------------
@@ -240,6 +251,7 @@ def queries() -> dict[str, Query]:
         "validate_quotes": _on_responses(_validated),
         "ingest_split": _on_responses(_ingest_split),
         "ingest_summary": _on_responses(_ingest_summary),
+        "failed_symbols": _on_responses(_failed_symbols),
         # curation
         "typed_quotes": _on(standardized, _typed),
         "rejection_reasons": _on(sample.assessed_from_events, _reasons),
@@ -257,7 +269,7 @@ def queries() -> dict[str, Query]:
         "dq_report_curated": _on_curated(CHECKS["dq_report"]),
         # operations
         "incremental_curated": _incremental,
-        "replay_from_raw": _on_responses(replay),
+        "replay_from_raw": _replay_from_raw,
         "missing_slots": _on_curated(operations.missing_slots),
         "health_windows": _health,
         "expired_partitions": _on(

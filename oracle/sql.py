@@ -111,10 +111,15 @@ _STEPS: dict[str, str] = {
           company_name,
           CASE WHEN event_id % 137 = 0 THEN ' ' || lower(exchange) ELSE exchange END AS exchange,
           CASE WHEN event_id % 137 = 0 THEN ' ' || lower(currency) ELSE currency END AS currency,
-          CASE WHEN event_id % 131 = 0 THEN high_price + 1 ELSE price END AS price,
-          open_price, high_price, low_price, previous_close,
+          CASE WHEN event_id % 131 = 0 THEN high_price + 1
+               WHEN event_id % 191 = 0 THEN 'nan'::double ELSE price END AS price,
+          open_price,
+          CASE WHEN event_id % 173 = 0 THEN 'nan'::double ELSE high_price END AS high_price,
+          CASE WHEN event_id % 179 = 0 THEN 'nan'::double ELSE low_price END AS low_price,
+          previous_close,
           CASE WHEN event_id % 163 = 0 THEN change + 0.05::double ELSE change END AS change,
           CASE WHEN event_id % 167 = 0 THEN change_percent + 0.1::double
+               WHEN event_id % 181 = 0 THEN 'nan'::double
                ELSE change_percent END AS change_percent,
           volume, market_timestamp,
           CASE WHEN event_id % 139 = 0 THEN market_timestamp - interval 1 day
@@ -166,13 +171,15 @@ _STEPS: dict[str, str] = {
                  'change', change, 'percent_change', percent_change, 'volume', volume,
                  'datetime', datetime) as varchar)
                WHEN position % 139 = 0 THEN 'not json'
-               ELSE cast(json_object(
+               WHEN position % 83 = 0
+               THEN replace(full_response, ',"', ',' || chr(13) || chr(10) || '  "')
+               ELSE full_response END AS response
+        FROM (SELECT *, cast(json_object(
                  'symbol', symbol, 'name', name, 'exchange', exchange, 'currency', 'USD',
                  'close', "close", 'open', "open", 'high', high, 'low', low,
                  'previous_close', "open", 'change', change,
                  'percent_change', percent_change, 'volume', volume,
-                 'datetime', datetime) as varchar) END AS response
-        FROM raw0""",
+                 'datetime', datetime) as varchar) AS full_response FROM raw0)""",
     "parsed": """
         SELECT *, CASE WHEN json_valid(response) THEN cast(response as json) END AS j,
           CASE WHEN json_valid(response) THEN json_keys(response) END AS keys
@@ -307,18 +314,27 @@ _REQUIRED = (
     "(symbol IS NULL OR trim(symbol) = '' OR price IS NULL OR market_timestamp IS NULL "
     "OR ingestion_timestamp IS NULL)"
 )
-_OUT_OF_RANGE = "(price > high_price OR price < low_price)"
+
+
+def _less(low: str, high: str) -> str:
+    """``low < high`` where NaN compares with nothing."""
+    return f"({low} < {high} AND NOT isnan({low}) AND NOT isnan({high}))"
+
+
+_OUT_OF_RANGE = f"({_less('high_price', 'price')} OR {_less('price', 'low_price')})"
 _RANGE = f"(high_price IS NOT NULL AND low_price IS NOT NULL AND {_OUT_OF_RANGE})"
 _OHLC = (
-    "(coalesce(high_price < open_price, false) OR coalesce(high_price < price, false) "
-    "OR coalesce(low_price > open_price, false) OR coalesce(low_price > price, false))"
+    f"(coalesce({_less('high_price', 'open_price')}, false) "
+    f"OR coalesce({_less('high_price', 'price')}, false) "
+    f"OR coalesce({_less('open_price', 'low_price')}, false) "
+    f"OR coalesce({_less('price', 'low_price')}, false))"
 )
 
 _ROW_CHECKS = {
     "dq_required": (_REQUIRED, "no_rows"),
     "dq_price": ("price <= 0", "no_rows"),
     "dq_volume": ("volume < 0", "no_rows"),
-    "dq_high_low": ("high_price < low_price", "no_rows"),
+    "dq_high_low": (_less("high_price", "low_price"), "no_rows"),
     "dq_price_range": (_RANGE, "no_rows"),
     "dq_symbol_norm": ("symbol <> upper(trim(symbol))", "no_rows"),
     "dq_exchange_norm": ("exchange <> upper(trim(exchange))", "no_rows"),
@@ -328,8 +344,8 @@ _ROW_CHECKS = {
     "dq_delay": (f"{_DELAY} > 24", "review"),
     "dq_partition_match": (_WRONG_PARTITION, "no_rows"),
     "dq_partition_format": (_BAD_FORMAT, "no_rows"),
-    "dq_change": (f"{_GAP} > 0.02", "no_rows_but_rounding"),
-    "dq_change_pct": (f"{_PERCENT_GAP} > 0.05", "no_rows_but_rounding"),
+    "dq_change": (_less("0.02::double", _GAP), "no_rows_but_rounding"),
+    "dq_change_pct": (_less("0.05::double", _PERCENT_GAP), "no_rows_but_rounding"),
     "dq_ohlc": (_OHLC, "no_rows"),
 }
 
@@ -371,7 +387,7 @@ _SCORECARD = {
     "invalid_market_timestamp_rows": "market_timestamp IS NULL",
     "invalid_ingestion_timestamp_rows": "ingestion_timestamp IS NULL",
     "negative_volume_rows": "volume < 0",
-    "invalid_high_low_rows": "high_price < low_price",
+    "invalid_high_low_rows": _less("high_price", "low_price"),
     "future_market_timestamp_rows": "market_timestamp > ingestion_timestamp",
     "partition_mismatch_rows": _WRONG_PARTITION,
 }
@@ -400,10 +416,10 @@ _SLOTS = """
     FROM (SELECT symbol, min(cast(ingestion_timestamp as date)) AS first_date,
                  max(cast(ingestion_timestamp as date)) AS last_date
           FROM curated_quotes GROUP BY 1) s,
-      LATERAL (SELECT unnest(generate_series(cast(s.first_date as timestamp),
-                 cast(s.last_date as timestamp), interval 1 day)) AS day) d,
+      (SELECT DISTINCT cast(cast(ingestion_timestamp as date) as timestamp) AS day
+       FROM curated_quotes) d,
       LATERAL (SELECT unnest(range(570, 961, 5)) AS minute) m
-    WHERE isodow(d.day) < 6"""
+    WHERE isodow(d.day) < 6 AND d.day BETWEEN s.first_date AND s.last_date"""
 
 _ZONES = """
     SELECT DISTINCT zone, strftime(t, '%Y') AS year, strftime(t, '%m') AS month,
@@ -425,7 +441,7 @@ _UNIVERSE = """
 QUERIES: dict[str, str] = {
     # sources and sinks
     "scan_standardized": _with("std", f"SELECT {COLUMNS} FROM std"),
-    "scan_raw": _with("raw", "SELECT run_id, response FROM raw"),
+    "scan_raw": _with("raw", "SELECT run_id, translate(response, chr(13) || chr(10), '  ') AS response FROM raw"),
     "to_jsonl": _with(
         "std",
         "SELECT cast(json_object("
@@ -467,11 +483,14 @@ QUERIES: dict[str, str] = {
         "ingested",
         """SELECT run_id, count(*) AS requested_count,
              count(*) FILTER (status = 'OK') AS successful_count,
-             count(*) FILTER (status <> 'OK') AS failed_count,
-             coalesce(string_agg(requested_symbol, ',' ORDER BY position)
-               FILTER (status <> 'OK'), '') AS failed_symbols
+             count(*) FILTER (status <> 'OK') AS failed_count
            FROM ingested GROUP BY 1""",
     ),
+    "failed_symbols": _with(
+        "ingested",
+        """SELECT run_id, position, requested_symbol, status, detail
+           FROM ingested WHERE status <> 'OK' ORDER BY 1, 2""",
+    ),
     # curation
     "typed_quotes": _with("typed", f"SELECT {COLUMNS} FROM typed"),
     "rejection_reasons": _with(
@@ -554,8 +573,8 @@ QUERIES: dict[str, str] = {
     "volatility": _curated(
         f"""SELECT symbol, company_name, count(*) AS observation_count,
               {_round(_mean("price"), 2)} AS average_price,
-              {_round("min(price)", 2)} AS minimum_price,
-              {_round("max(price)", 2)} AS maximum_price,
+              round(min(price), 2) AS minimum_price,
+              round(max(price), 2) AS maximum_price,
               {_round("stddev_samp(price)", 2)} AS price_standard_deviation,
               {_round("stddev_samp(change_percent)", 2)} AS change_percent_standard_deviation
             FROM curated_quotes GROUP BY 1, 2 HAVING count(*) > 1"""
@@ -582,7 +601,7 @@ QUERIES: dict[str, str] = {
     "dq_volume": _faulty("SELECT symbol, volume, market_timestamp FROM faulty WHERE volume < 0"),
     "dq_high_low": _faulty(
         "SELECT symbol, high_price, low_price, market_timestamp FROM faulty "
-        "WHERE high_price < low_price"
+        f"WHERE {_less('high_price', 'low_price')}"
     ),
     "dq_price_range": _faulty(
         "SELECT symbol, price, high_price, low_price, market_timestamp FROM faulty "
@@ -632,13 +651,13 @@ QUERIES: dict[str, str] = {
     "dq_change": _faulty(
         f"""SELECT symbol, price, previous_close, change,
               price - previous_close AS calculated_change, {_GAP} AS difference, market_timestamp
-            FROM faulty WHERE {_GAP} > 0.02"""
+            FROM faulty WHERE {_less('0.02::double', _GAP)}"""
     ),
     "dq_change_pct": _faulty(
         f"""SELECT symbol, previous_close, change, change_percent,
               {_round(_CALC_PERCENT, 4)} AS calculated_change_percent,
               {_PERCENT_GAP} AS difference, market_timestamp
-            FROM faulty WHERE {_PERCENT_GAP} > 0.05"""
+            FROM faulty WHERE {_less('0.05::double', _PERCENT_GAP)}"""
     ),
     "dq_ohlc": _faulty(
         "SELECT symbol, open_price, high_price, low_price, price, market_timestamp FROM faulty "

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Wide enough for money with nine decimals, narrow enough for sums to grow.
 _EXACT = "decimal(28,9)"
 
+# Twice the relative distance of neighbouring doubles.
+_DOUBLE_STEP = 2.0**-51
+
 # The usual form, tried first.
 _PLAIN = r"^-?[0-9]+\.?[0-9]*$"
 
@@ -35,9 +38,12 @@ def exact_mean(value: Column) -> Column:
     """Mean of a double column that does not depend on the summation order.
 
     Doubles added in shuffle order differ in the last digits from run to run;
-    decimals do not. If any value has no decimal form the plain mean is used.
+    decimals do not. If any value has no decimal form, or one that is not the
+    value (more than nine decimals matter), the plain mean is used.
     """
-    exact = value.try_cast(_EXACT)
+    decimal = value.try_cast(_EXACT)
+    same = F.abs(decimal.cast("double") - value) <= F.abs(value) * _DOUBLE_STEP
+    exact = F.when(same, decimal)
     mean = F.try_divide(F.sum(exact).cast("double"), F.count(value))
     return F.when(F.count(exact) == F.count(value), mean).otherwise(F.avg(value))
 
@@ -66,6 +72,11 @@ def below(left: Column, right: Column) -> Column:
     return (left < right) & ~F.isnan(left) & ~F.isnan(right)
 
 
+def above(left: Column, right: Column) -> Column:
+    """``left > right`` where NaN compares with nothing."""
+    return below(right, left)
+
+
 def within(value: Column, low: Column, high: Column) -> Column:
     """``low <= value <= high``; false as soon as one of the three is NaN."""
     any_nan = F.isnan(value) | F.isnan(low) | F.isnan(high)

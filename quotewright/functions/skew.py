@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 BROADCAST_ROWS = 200_000
 SLICE_ROWS = 1_000_000
 HOT_KEYS = 100_000
-SLICES = 1_000
 
 
 def join_counted_keys(
@@ -31,7 +33,7 @@ def join_counted_keys(
     for that number at most (rows / slice), which the slice size bounds.
     """
     on = list(on)
-    keys = keys.select(*on, count).persist()
+    keys = _stored(keys.select(*on, count))
     total = keys.agg(F.count("*").alias("keys"), F.sum(count).alias("rows")).first()
     if total["keys"] <= broadcast_rows:
         return rows.join(F.broadcast(keys.select(*on)), on, "left_semi")
@@ -58,18 +60,25 @@ def join_distinct_keys(
     on: Sequence[str],
     *,
     broadcast_rows: int = BROADCAST_ROWS,
-    slices: int = SLICES,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """The rows of ``rows`` whose key is in ``keys``, which may repeat keys.
 
-    Few distinct keys are broadcast. Otherwise each is joined in slices, which
-    spread the rows of a key over as many tasks.
+    Few distinct keys are broadcast. Otherwise the rows of each are counted,
+    and only keys with more than a slice of rows are cut.
     """
     on = list(on)
     keys = keys.select(*on).distinct()
     if keys.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return rows.join(F.broadcast(keys), on, "left_semi")
-    placed = rows.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-    sliced = keys.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    joined = placed.join(sliced.hint("shuffle_merge"), [*on, "_slice"], "left_semi")
-    return joined.select(*rows.columns)
+    counted = rows.groupBy(*on).agg(F.count("*").alias("_count")).join(keys, on, "left_semi")
+    return join_counted_keys(
+        rows, counted, on, "_count", broadcast_rows=broadcast_rows, slice_rows=slice_rows
+    )
+
+
+def _stored(keys: DataFrame) -> DataFrame:
+    """Keys written to the shared folder, so that they are counted once and held by no cache."""
+    path = shared_dir(keys.sparkSession, "keys", uuid4().hex)
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)

@@ -7,6 +7,8 @@ from datetime import UTC, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..schemas import PARTITION_COLUMNS
+
 # A time of day alone would be read as today's; a value must start with a year.
 _HAS_YEAR = r"^\s*[+-]?\d{4}"
 
@@ -38,6 +40,12 @@ def date_parts(moment: Column) -> dict[str, Column]:
     }
 
 
+def day_key() -> Column:
+    """The day partition as text that orders by date, whatever its columns hold."""
+    year, month, day = (F.col(name).cast("string") for name in PARTITION_COLUMNS)
+    return F.concat(year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+
+
 def run_parts(moment: Column, *, hourly: bool) -> dict[str, Column]:
     """Partition columns of an ingest run: date, maybe hour, and the run's id."""
     parts = date_parts(moment)

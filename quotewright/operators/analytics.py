@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_mean, rounded
+from ..functions.numbers import above, exact_mean, rounded
 from ..functions.plans import in_order
-from ..functions.times import whole_units
+from ..functions.times import day_key, whole_units
 from ..schemas import PARTITION_COLUMNS, QUOTE_COLUMNS
 
 
@@ -18,8 +18,7 @@ def quotes_between(quotes: DataFrame, first: date, last: date) -> DataFrame:
 
     The condition uses partition columns only, so other days are not read.
     """
-    day = F.concat(*PARTITION_COLUMNS)
-    return quotes.filter(day.between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
+    return quotes.filter(day_key().between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
 
 
 def preview(quotes: DataFrame, rows: int = 50) -> DataFrame:
@@ -52,6 +51,7 @@ def latest_quote(quotes: DataFrame) -> DataFrame:
     return latest_quotes(quotes).orderBy("symbol")
 
 
+# The result columns of the reports and their order.
 _TOP_LIST = (
     "symbol",
     "company_name",
@@ -66,7 +66,7 @@ _TOP_LIST = (
 
 def gainers(quotes: DataFrame, rows: int = 10) -> DataFrame:
     """Symbols whose newest quote rose most, in percent."""
-    rose = latest_quotes(quotes).filter(F.col("change_percent") > 0)
+    rose = latest_quotes(quotes).filter(above(F.col("change_percent"), F.lit(0.0)))
     return rose.select(*_TOP_LIST).orderBy(F.desc("change_percent"), "symbol").limit(rows)
 
 
@@ -153,7 +153,7 @@ def market_breadth(quotes: DataFrame) -> DataFrame:
         .groupBy("market_date")
         .agg(
             F.count("*").alias("symbol_count"),
-            symbols(change > 0).alias("gaining_symbols"),
+            symbols(above(change, F.lit(0.0))).alias("gaining_symbols"),
             symbols(change < 0).alias("losing_symbols"),
             symbols(change == 0).alias("unchanged_symbols"),
             rounded(exact_mean(change), 2).alias("average_change_percent"),
@@ -270,8 +270,8 @@ def volatility(quotes: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("observation_count"),
             rounded(exact_mean(price), 2).alias("average_price"),
-            rounded(F.min(price), 2).alias("minimum_price"),
-            rounded(F.max(price), 2).alias("maximum_price"),
+            F.round(F.min(price), 2).alias("minimum_price"),
+            F.round(F.max(price), 2).alias("maximum_price"),
             rounded(F.stddev_samp(price), 2).alias("price_standard_deviation"),
             rounded(F.stddev_samp(change), 2).alias("change_percent_standard_deviation"),
         )

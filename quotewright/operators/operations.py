@@ -24,19 +24,29 @@ RETENTION_DAYS = {"raw": 90, "standardized": 365, "rejected": 90, "results": 30}
 c = F.col
 
 
-def expected_slots(spans: DataFrame) -> DataFrame:
-    """All run slots (UTC) of each symbol from ``first_date`` to ``last_date``.
+def expected_slots(spans: DataFrame, days: DataFrame) -> DataFrame:
+    """All run slots (UTC) of each symbol on the weekdays of ``days`` in its span.
 
-    Slots are laid out in exchange time, so a change of the clock moves them.
+    ``spans`` has ``symbol``, ``first_date`` and ``last_date``, ``days`` distinct
+    days. They meet by year, so a span of thousands of years is as many rows,
+    and the days of the calendar bound what is broadcast. Slots are laid out in
+    exchange time, so a change of the clock moves them.
     """
-    days = spans.select("symbol", F.explode(F.sequence("first_date", "last_date")).alias("day"))
+    years = F.sequence(F.year("first_date"), F.year("last_date"))
+    by_year = days.filter(F.weekday("day") < 5).withColumn("_year", F.year("day"))
+    inside = c("day").between(c("first_date"), c("last_date"))
+    open_days = (
+        spans.withColumn("_year", F.explode(years))
+        .join(F.broadcast(by_year), "_year")
+        .filter(inside)
+        .select("symbol", "day")
+        .hint("rebalance")
+    )
     minutes = F.sequence(F.lit(FIRST_SLOT_MINUTE), F.lit(LAST_SLOT_MINUTE), F.lit(SLOT_MINUTES))
     local = c("day").cast("timestamp_ntz") + F.make_dt_interval(mins=c("minute"))
     utc = F.convert_timezone(F.lit(EXCHANGE_ZONE), F.lit("UTC"), local)
-    return (
-        days.filter(F.weekday("day") < 5)
-        .select("symbol", "day", F.explode(minutes).alias("minute"))
-        .select("symbol", utc.alias("slot"))
+    return open_days.select("symbol", "day", F.explode(minutes).alias("minute")).select(
+        "symbol", utc.alias("slot")
     )
 
 
@@ -46,13 +56,27 @@ def observed_slots(quotes: DataFrame) -> DataFrame:
     return quotes.select("symbol", slot.alias("slot")).distinct()
 
 
-def missing_slots(quotes: DataFrame) -> DataFrame:
-    """Expected slots of a symbol, between its first and last day, without a quote."""
+def missing_slots(
+    quotes: DataFrame, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """Expected slots of a symbol, between its first and last day, without a quote.
+
+    With ``first`` and ``last`` every weekday between them is expected, else
+    the weekdays on which any symbol was ingested.
+    """
     day = F.to_date("ingestion_timestamp")
-    spans = quotes.groupBy("symbol").agg(
-        F.min(day).alias("first_date"), F.max(day).alias("last_date")
+    dated = quotes.select("symbol", day.alias("day")).filter(c("day").isNotNull())
+    if first is not None and last is not None:
+        span = F.sequence(F.lit(first), F.lit(last))
+        days = quotes.sparkSession.range(1).select(F.explode(span).alias("day"))
+        dated = dated.filter(c("day").between(F.lit(first), F.lit(last)))
+    else:
+        days = dated.select("day").distinct()
+    spans = dated.groupBy("symbol").agg(
+        F.min("day").alias("first_date"), F.max("day").alias("last_date")
     )
-    return expected_slots(spans).join(observed_slots(quotes), ["symbol", "slot"], "left_anti")
+    expected = expected_slots(spans, days)
+    return expected.join(observed_slots(quotes), ["symbol", "slot"], "left_anti")
 
 
 def health_windows(

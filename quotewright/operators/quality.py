@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import rounded
+from ..functions.numbers import above, below, rounded
 from ..functions.plans import in_order
 from ..functions.skew import join_counted_keys
 from ..functions.text import normal_lower, normal_upper
@@ -50,12 +50,12 @@ def _required_missing() -> Column:
 
 
 def _high_below_low() -> Column:
-    return c("high_price") < c("low_price")
+    return below(c("high_price"), c("low_price"))
 
 
 def _price_out_of_range() -> Column:
     known = c("high_price").isNotNull() & c("low_price").isNotNull()
-    return known & ((c("price") > c("high_price")) | (c("price") < c("low_price")))
+    return known & (above(c("price"), c("high_price")) | below(c("price"), c("low_price")))
 
 
 def _not_upper(name: str) -> Column:
@@ -95,10 +95,10 @@ def _percent_gap() -> Column:
 
 def _broken_ohlc() -> Column:
     return _any(
-        c("high_price") < c("open_price"),
-        c("high_price") < c("price"),
-        c("low_price") > c("open_price"),
-        c("low_price") > c("price"),
+        below(c("high_price"), c("open_price")),
+        below(c("high_price"), c("price")),
+        above(c("low_price"), c("open_price")),
+        above(c("low_price"), c("price")),
     )
 
 
@@ -216,7 +216,7 @@ def partition_format(quotes: DataFrame) -> DataFrame:
 
 def change_consistent(quotes: DataFrame) -> DataFrame:
     """Change other than price minus previous close, beyond rounding."""
-    return quotes.filter(_change_gap() > CHANGE_TOLERANCE).select(
+    return quotes.filter(above(_change_gap(), F.lit(CHANGE_TOLERANCE))).select(
         "symbol",
         "price",
         "previous_close",
@@ -229,7 +229,7 @@ def change_consistent(quotes: DataFrame) -> DataFrame:
 
 def percent_consistent(quotes: DataFrame) -> DataFrame:
     """Percent change other than change over previous close, beyond rounding."""
-    return quotes.filter(_percent_gap() > PERCENT_TOLERANCE).select(
+    return quotes.filter(above(_percent_gap(), F.lit(PERCENT_TOLERANCE))).select(
         "symbol",
         "previous_close",
         "change",
@@ -312,8 +312,8 @@ def _row_checks() -> dict[str, tuple[Column, str]]:
         "dq_delay": (_delay_hours() > MAX_DELAY_HOURS, REVIEW),
         "dq_partition_match": (_wrong_partition(), NO_ROWS),
         "dq_partition_format": (_bad_partition_format(), NO_ROWS),
-        "dq_change": (_change_gap() > CHANGE_TOLERANCE, ROUNDING),
-        "dq_change_pct": (_percent_gap() > PERCENT_TOLERANCE, ROUNDING),
+        "dq_change": (above(_change_gap(), F.lit(CHANGE_TOLERANCE)), ROUNDING),
+        "dq_change_pct": (above(_percent_gap(), F.lit(PERCENT_TOLERANCE)), ROUNDING),
         "dq_ohlc": (_broken_ohlc(), NO_ROWS),
     }
 

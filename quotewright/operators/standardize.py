@@ -7,12 +7,12 @@ Input rows carry ``response`` (the text as received, NULL if none came),
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
 from ..functions.numbers import below, parse_float, parse_whole, within
-from ..functions.plans import settle
+from ..functions.plans import in_order, settle
 from ..functions.text import strip
 from ..functions.times import run_id
 from ..schemas import QUOTE_COLUMNS, RAW, REQUIRED_RAW_FIELDS, SOURCE_NAME
@@ -158,47 +158,29 @@ def standardized_zone(ingested: DataFrame) -> DataFrame:
 
 
 def failed_symbols(ingested: DataFrame) -> DataFrame:
-    """Every failed request of every run: its place, symbol and reason."""
-    return ingested.filter(c("status") != OK).select(
+    """Every failed request of every run, in request order: its place, symbol and reason."""
+    failed = ingested.filter(c("status") != OK).select(
         run_id(c("run_timestamp")).alias("run_id"),
         "position",
         "requested_symbol",
         "status",
         "detail",
     )
+    return in_order(failed, "run_id", "position", "requested_symbol")
 
 
-def ingest_summary(ingested: DataFrame, listed: int = 1000) -> DataFrame:
-    """One row per run: requests, successes, failures and the failed symbols.
+def ingest_summary(ingested: DataFrame) -> DataFrame:
+    """One row per run: requests, successes and failures.
 
-    The list is in request order. A run with more than ``listed`` failures has
-    NULL there, and ``failed_symbols`` holds all of them as rows: no list
-    grows with the data.
+    The failed symbols are rows of ``failed_symbols``, in the same shape for
+    any number of them.
     """
-    keyed = ingested.withColumn("run_id", run_id(c("run_timestamp")))
     good = c("status") == OK
-    counts = keyed.groupBy("run_id").agg(
+    return ingested.groupBy(run_id(c("run_timestamp")).alias("run_id")).agg(
         F.count("*").alias("requested_count"),
         F.count_if(good).alias("successful_count"),
         F.count_if(~good).alias("failed_count"),
     )
-    in_order = Window.partitionBy("run_id").orderBy("position", "requested_symbol")
-    first = (
-        failed_symbols(ingested)
-        .withColumn("_place", F.row_number().over(in_order))
-        .filter(c("_place") <= listed)
-    )
-    lists = first.groupBy("run_id").agg(
-        F.array_sort(F.collect_list(F.struct("_place", "requested_symbol"))).alias("_failed")
-    )
-    names = F.transform(F.coalesce("_failed", F.array()), lambda f: f["requested_symbol"])
-    return counts.join(lists, "run_id", "left").select(
-        "run_id",
-        "requested_count",
-        "successful_count",
-        "failed_count",
-        F.when(c("failed_count") <= listed, names).alias("failed_symbols"),
-    )
 
 
 def to_jsonl(rows: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,14 @@ from ..operators.standardize import (
     raw_zone,
     standardized_zone,
 )
-from ..sources.files import scan_standardized, write_curated, write_rejected
+from ..session import sized
+from ..sources.files import (
+    replayable,
+    scan_raw,
+    scan_standardized,
+    write_curated,
+    write_rejected,
+)
 
 Writer = Callable[[DataFrame], str]
 
@@ -34,15 +41,13 @@ Writer = Callable[[DataFrame], str]
 class IngestResult:
     """What a run did.
 
-    The failed symbols are in request order, None if there are too many to
-    list; ``failures`` has all of them as rows. The locations are None where
-    there was nothing to write.
+    ``failures`` has all failed symbols as rows, in request order. The
+    locations are None where there was nothing to write.
     """
 
     requested_count: int
     successful_count: int
     failed_count: int
-    failed_symbols: tuple[str, ...] | None
     failures: DataFrame
     raw_location: str | None
     standardized_location: str | None
@@ -70,12 +75,10 @@ def run_ingestion(
         standardized_location = standardized_writer(standardized) if any_good else None
     finally:
         rows.unpersist()
-    listed = counts["failed_symbols"] if counts else []
     return IngestResult(
         requested_count=counts["requested_count"] if counts else 0,
         successful_count=counts["successful_count"] if counts else 0,
         failed_count=counts["failed_count"] if counts else 0,
-        failed_symbols=None if listed is None else tuple(listed),
         failures=failed_symbols(rows),
         raw_location=raw_location,
         standardized_location=standardized_location,
@@ -106,6 +109,7 @@ def curate(
     """
     if isinstance(source, str):
         source = scan_standardized(spark, source)
+    sized(source)
     assessed = assess(source)
     valid = valid_quotes(assessed)
     any_valid = not valid.isEmpty()
@@ -127,4 +131,20 @@ def curate(
 
 def replay(responses: DataFrame) -> DataFrame:
     """Raw responses to curated quotes, in one plan."""
+    sized(responses)
     return curated_quotes(standardized_zone(ingest(responses)))
+
+
+def replay_zone(
+    spark: SparkSession,
+    raw_path: str,
+    curated_path: str,
+    rejected_path: str,
+    run_timestamp: datetime,
+    first: date | None = None,
+    last: date | None = None,
+) -> CurateResult:
+    """Curate the raw zone, or its runs of some dates, into both outputs again."""
+    raw = scan_raw(spark, raw_path, first, last)
+    quotes = standardized_zone(ingest(replayable(raw)))
+    return curate(spark, quotes, curated_path, rejected_path, run_timestamp)

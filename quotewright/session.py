@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Times carry no zone in this data; a UTC session makes every cast a no-op.
 SETTINGS = {
@@ -18,10 +19,9 @@ SETTINGS = {
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 MIB = 1024 * 1024
-SPLIT_BYTES = 128 * MIB
 PARTITION_BYTES = 256 * MIB
-MAX_SPLITS = 100_000
-MAX_PARTITIONS = 50_000
+# From here on a plan's size is a guess and not a measure.
+UNKNOWN_BYTES = 2**60
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -29,37 +29,49 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
 
     Shuffles of windows and aggregations cannot be split at run time, only
     merged. So they start with a partition per core at least, and with one per
-    256 MB if the size of the input is given; AQE merges what is small. A
-    shuffle has a block per scan task and partition: for very large inputs
-    both grow in size (and spill) rather than in number. Sizes the session
-    has already are kept if none is given here.
+    256 MB if the size of the input is given; AQE merges what is small. Sizes
+    the session has already are kept if none is given here.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     partitions = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
-        min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS),
+        -(-input_bytes // PARTITION_BYTES),
     )
     if input_bytes or spark.conf.get(INITIAL_PARTITIONS, None) is None:
         spark.conf.set(INITIAL_PARTITIONS, str(partitions))
-    if input_bytes:
-        split = max(SPLIT_BYTES, input_bytes // MAX_SPLITS)
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return spark
 
 
+def sized(rows: DataFrame) -> SparkSession:
+    """Size the session's shuffles by the statistics of a frame's sources.
+
+    A plan without a usable size leaves the session's sizes as they are.
+    """
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(size for size in sizes if size < UNKNOWN_BYTES)
+    return configure(rows.sparkSession, known)
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="quotewright-")
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; a cluster
-    session without it is an error, since executors share no local disk.
+    A local session without that setting gets a temporary folder of the process;
+    a cluster session without it is an error, since executors share no local
+    disk. The session's own checkpoint folder is left as it is.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="quotewright-"))
-        base = context.getCheckpointDir()
+        base = _local_dir()
     return "/".join([base.rstrip("/"), context.applicationId, *parts])

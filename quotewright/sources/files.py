@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import run_parts
+from ..functions.times import day_key, run_parts
 from ..operators.standardize import symbol_universe
 from ..schemas import (
     BUSINESS_KEY,
@@ -33,18 +33,17 @@ def _file() -> Column:
 
 def _between(rows: DataFrame, first: date | None, last: date | None) -> DataFrame:
     """Keep partitions of the given dates; the condition prunes the scan."""
-    day = F.make_date(*(F.col(n).cast("int") for n in PARTITION_COLUMNS))
     if first is not None:
-        rows = rows.filter(day >= F.lit(first))
+        rows = rows.filter(day_key() >= f"{first:%Y%m%d}")
     if last is not None:
-        rows = rows.filter(day <= F.lit(last))
+        rows = rows.filter(day_key() <= f"{last:%Y%m%d}")
     return rows
 
 
 def scan_raw(
     spark: SparkSession, path: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    """Raw response lines, byte for byte, with their run and file."""
+    """Raw response lines with their run and file."""
     lines = spark.read.text(path)
     return _between(lines, first, last).select(
         F.regexp_extract(_file(), _RUN_ID, 1).alias("run_id"),
@@ -101,9 +100,14 @@ def _by_partition(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def write_raw(responses: DataFrame, path: str) -> None:
-    """Append runs to the raw zone, by date and hour; lines stay as received."""
+    """Append runs to the raw zone, by date and hour, one response a line.
+
+    Line ends in a response become spaces. JSON has them between its parts
+    only, never raw inside a string, so the value stays the same.
+    """
     columns = [*PARTITION_COLUMNS, "hour", "run_id"]
-    rows = with_run_partitions(responses, hourly=True).select("response", *columns)
+    line = F.translate("response", "\r\n", "  ").alias("response")
+    rows = with_run_partitions(responses, hourly=True).select(line, *columns)
     _by_partition(rows, columns).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*columns).text(path)

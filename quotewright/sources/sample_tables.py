@@ -123,14 +123,18 @@ def faulty_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     faults = {
         **sloppy,
         "source": F.when(_every(137), F.upper("source")).otherwise(c("source")),
-        "price": F.when(_every(131), c("high_price") + 1).otherwise(c("price")),
+        "price": F.when(_every(131), c("high_price") + 1)
+        .when(_every(191), F.lit(float("nan")))
+        .otherwise(c("price")),
+        "high_price": F.when(_every(173), F.lit(float("nan"))).otherwise(c("high_price")),
+        "low_price": F.when(_every(179), F.lit(float("nan"))).otherwise(c("low_price")),
         "ingestion_timestamp": F.when(_every(139), market - day)
         .when(_every(149), ingested + F.make_dt_interval(hours=F.lit(26)))
         .otherwise(ingested),
         "change": F.when(_every(163), c("change") + 0.05).otherwise(c("change")),
-        "change_percent": F.when(_every(167), c("change_percent") + 0.1).otherwise(
-            c("change_percent")
-        ),
+        "change_percent": F.when(_every(167), c("change_percent") + 0.1)
+        .when(_every(181), F.lit(float("nan")))
+        .otherwise(c("change_percent")),
     }
     return (
         with_market_date(typed.withColumns(faults))
@@ -175,6 +179,7 @@ def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every(131), '{"status":"error","message":"API limit reached"}')
         .when(_every(137), no_close)
         .when(_every(139), "not json")
+        .when(_every(83), F.replace(full, F.lit(',"'), F.lit(',\r\n  "')))
         .otherwise(full)
     )
     return _clean_quotes(spark, sf_dir).select(

@@ -11,10 +11,12 @@ checkpoint.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.curate import (
     assess,
@@ -24,29 +26,43 @@ from ..operators.curate import (
     with_market_date,
 )
 from ..schemas import CURATED, PARTITION_COLUMNS, QUOTE_COLUMNS, STANDARDIZED
+from ..session import sized
 from ..sources.files import write_curated, write_rejected
 
-# Beyond this many touched days the whole log is read instead of single days.
-MAX_LISTED_DAYS = 10_000
+LOG = StructType([*CURATED.fields, StructField("batch", StringType())])
+# Files of a batch; the rest follows in the next ones, so a first start over a
+# large backlog is taken in steps.
+FILES_PER_BATCH = 10_000
 
 
-def publish(spark: SparkSession, log_path: str, curated_path: str, days: DataFrame) -> None:
-    """Rebuild the curated partitions of the given days from the log.
+def log_rows(spark: SparkSession, log_path: str, days: DataFrame) -> DataFrame:
+    """The log's rows of the given days.
 
-    Only the folders of those days are listed and read.
+    The days, a row per day of the calendar at most, go to the scan as a
+    runtime filter on its partitions: other days are not read.
     """
-    touched = days.select(*PARTITION_COLUMNS).distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    paths = [log_path]
-    if len(touched) <= MAX_LISTED_DAYS:
-        paths = [
-            "/".join([log_path, *(f"{name}={row[name]}" for name in PARTITION_COLUMNS)])
-            for row in touched
-        ]
-    log = spark.read.schema(CURATED).option("basePath", log_path).parquet(*paths)
-    latest = keep_latest(log.select(*QUOTE_COLUMNS))
+    log = spark.read.schema(CURATED).option("basePath", log_path).parquet(log_path)
+    # Says nothing about the rows, but the planner prunes for a filtered side only.
+    touched = days.select(*PARTITION_COLUMNS).distinct().filter(F.col("year") >= "")
+    return log.join(F.broadcast(touched), list(PARTITION_COLUMNS), "left_semi")
+
+
+def publish(spark: SparkSession, log_path: str, curated_path: str, days: DataFrame) -> None:
+    """Rebuild the curated partitions of the given days from the log."""
+    latest = keep_latest(log_rows(spark, log_path, days).select(*QUOTE_COLUMNS))
     write_curated(with_market_date(latest), curated_path, mode="overwrite")
 
 
+def _stream_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The query's id, which lives in its checkpoint.
+
+    A new checkpoint counts its batches from zero again, and they must not
+    replace those of the old one.
+    """
+    line = spark.read.text(f"{checkpoint_path.rstrip('/')}/metadata").first()
+    return json.loads(line["value"])["id"]
+
+
 def run_incremental(
     spark: SparkSession,
     source_path: str,
@@ -55,32 +71,33 @@ def run_incremental(
     log_path: str,
     checkpoint_path: str,
     run_timestamp: datetime,
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
 ) -> None:
-    """Curate the files that came since the last call, then return."""
+    """Curate the files that came since the last call, ``max_files`` at a time, then return."""
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        # The query's id lives in its checkpoint: a new checkpoint counts its
-        # batches from zero again and must not replace those of the old one.
-        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        name = f"{stream}-{batch_id}"
-        assessed = assess(batch).persist()
-        try:
+        # A batch has a session of its own, which its queries run in.
+        session = sized(batch)
+        name = f"{_stream_id(session, checkpoint_path)}-{batch_id}"
+        assessed = assess(batch)
+        any_rejected = True
+        if not valid_quotes(assessed).isEmpty():
+            seen = Observation()
+            broken = F.count_if(F.col("rejection_reason").isNotNull()).alias("rejected")
+            latest = with_market_date(keep_latest(valid_quotes(assessed.observe(seen, broken))))
+            partitions = [*PARTITION_COLUMNS, "batch"]
+            write_curated(
+                latest.withColumn("batch", F.lit(name)), log_path, mode="overwrite", partitions=partitions
+            )
+            any_rejected = seen.get["rejected"] > 0
+            log = session.read.schema(LOG).parquet(log_path)
+            publish(session, log_path, curated_path, log.filter(F.col("batch") == name))
+        if any_rejected:
             rejected = rejected_quotes(assessed, run_timestamp)
             if not rejected.isEmpty():
                 write_rejected(rejected, f"{rejected_path}/batch={name}", mode="overwrite")
-            valid = valid_quotes(assessed)
-            if not valid.isEmpty():
-                latest = with_market_date(keep_latest(valid)).withColumn("batch", F.lit(name))
-                partitions = [*PARTITION_COLUMNS, "batch"]
-                write_curated(latest, log_path, mode="overwrite", partitions=partitions)
-                publish(spark, log_path, curated_path, with_market_date(valid))
-        finally:
-            assessed.unpersist()
-
-    reader = spark.readStream.schema(STANDARDIZED)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+
+    reader = spark.readStream.schema(STANDARDIZED).option("maxFilesPerTrigger", max_files)
     files = reader.json(source_path)
     rows = files.select(*QUOTE_COLUMNS, F.col("_metadata.file_path").alias("source_file"))
     query = (

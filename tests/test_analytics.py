@@ -82,7 +82,7 @@ def test_latest_quote_of_each_symbol(spark):
 def test_top_lists(spark):
     changes = {"A": 3.0, "B": -2.0, "C": 3.0, "D": 0.0, "E": None, "F": 7.5, "G": -9.0}
     rows = [quote(s, change_percent=p, volume=v) for v, (s, p) in enumerate(changes.items())]
-    rows += [quote("A", "2026-07-09 10:00:00", change_percent=99.0), quote("H", volume=None)]
+    rows += [quote("A", "2025-03-03 10:00:00", change_percent=99.0), quote("H", volume=None)]
     frame = quotes(spark, *rows)
     gainers = [r["symbol"] for r in an.gainers(frame).collect()]
     assert gainers == ["F", "A", "C", "H"]
@@ -124,7 +124,7 @@ def test_mean_of_values_without_decimal_form(spark):
         spark,
         quote("A", price=float("nan")),
         quote("B", price=1e300),
-        quote("B", "2026-07-10 11:00:00", price=3e300),
+        quote("B", "2025-03-04 11:00:00", price=3e300),
         quote("C", price=None),
     )
     means = {r["symbol"]: r["average_observed_price"] for r in an.daily_summary(frame).collect()}
@@ -136,8 +136,8 @@ def test_mean_of_values_without_decimal_form(spark):
 def test_market_breadth(spark):
     frame = quotes(
         spark,
-        quote("A", "2026-07-10 10:00:00", change_percent=5.0),
-        quote("A", "2026-07-10 15:00:00", change_percent=-1.0),
+        quote("A", "2025-03-04 10:00:00", change_percent=5.0),
+        quote("A", "2025-03-04 15:00:00", change_percent=-1.0),
         quote("B", change_percent=0.0),
         quote("C", change_percent=None),
         quote("D", change_percent=2.0),
@@ -151,14 +151,14 @@ def test_market_breadth(spark):
 def test_day_over_day_uses_the_last_observed_day(spark):
     frame = quotes(
         spark,
-        quote("A", "2026-07-06 10:00:00", price=90.0),
-        quote("A", "2026-07-06 16:00:00", price=100.0),
-        quote("A", "2026-07-10 10:00:00", price=125.0),
+        quote("A", "2025-02-28 10:00:00", price=90.0),
+        quote("A", "2025-02-28 16:00:00", price=100.0),
+        quote("A", "2025-03-04 10:00:00", price=125.0),
         quote("B", price=1.0),
     )
     rows = an.day_over_day(frame).collect()
     assert len(rows) == 1
-    assert rows[0]["market_date"] == date(2026, 7, 10)
+    assert rows[0]["market_date"] == date(2025, 3, 4)
     assert rows[0]["day_over_day_change"] == 25.0
     assert rows[0]["day_over_day_change_percent"] == 25.0
 
@@ -167,7 +167,7 @@ def test_volatility_needs_two_rows(spark):
     frame = quotes(
         spark,
         quote("A", price=1.0, change_percent=None),
-        quote("A", "2026-07-10 11:00:00", price=3.0, change_percent=None),
+        quote("A", "2025-03-04 11:00:00", price=3.0, change_percent=None),
         quote("B"),
     )
     rows = an.volatility(frame).collect()
@@ -178,7 +178,7 @@ def test_volatility_needs_two_rows(spark):
 
 def test_freshness_counts_whole_minutes(spark):
     frame = quotes(
-        spark, quote("A", ingestion_timestamp=datetime(2026, 7, 10, 10, 1, 59))
+        spark, quote("A", ingestion_timestamp=datetime(2025, 3, 4, 10, 1, 59))
     )
     assert an.freshness(frame).first()["market_to_ingestion_delay_minutes"] == 1
 
@@ -200,3 +200,22 @@ def test_reports_read_their_columns_only(curated):
 )
 def test_reports_on_an_empty_table(spark, report):
     assert report(quotes(spark)).isEmpty()
+
+
+def test_nan_neither_leads_nor_gains(spark):
+    rows = [quote("A", change_percent=float("nan")), quote("B", change_percent=1.0)]
+    frame = quotes(spark, *rows)
+    assert [r["symbol"] for r in an.gainers(frame).collect()] == ["B"]
+    row = an.market_breadth(frame).first()
+    assert (row["gaining_symbols"], row["losing_symbols"], row["unchanged_symbols"]) == (1, 0, 0)
+
+
+def test_small_prices_keep_their_mean(spark):
+    rows = [quote("A", price=1e-10), quote("A", "2025-03-04 11:00:00", price=3e-10)]
+    mean = an.daily_summary(quotes(spark, *rows)).first()["average_observed_price"]
+    assert abs(mean - 2e-10) < 1e-22
+
+
+def test_lowest_price_is_rounded_once(spark):
+    rows = [quote("A", price=1.00499999996), quote("A", "2025-03-04 11:00:00", price=2.0)]
+    assert an.volatility(quotes(spark, *rows)).first()["minimum_price"] == 1.0

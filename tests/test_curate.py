@@ -12,7 +12,7 @@ from quotewright.schemas import CURATED, QUOTE_COLUMNS, STANDARDIZED
 from quotewright.sources import sample_tables
 from tests.builders import STANDARD, plan_of, standardized
 
-RUN_TIME = datetime(2026, 7, 12, 1, 2, 3)
+RUN_TIME = datetime(2025, 3, 6, 1, 2, 3)
 
 
 def reason(spark, **changes):
@@ -54,11 +54,11 @@ def test_first_broken_rule(spark, changes, expected):
 @pytest.mark.parametrize(
     ("text", "expected"),
     [
-        ("2026-07-10", datetime(2026, 7, 10)),
-        ("2026-07-10 15:30:00", datetime(2026, 7, 10, 15, 30)),
-        ("2026-07-10T15:30:00.123456", datetime(2026, 7, 10, 15, 30, 0, 123456)),
-        ("2026-07-10T15:30:00-04:00", datetime(2026, 7, 10, 19, 30)),
-        (" 2026-07-10 ", datetime(2026, 7, 10)),
+        ("2025-03-04", datetime(2025, 3, 4)),
+        ("2025-03-04 15:30:00", datetime(2025, 3, 4, 15, 30)),
+        ("2025-03-04T15:30:00.123456", datetime(2025, 3, 4, 15, 30, 0, 123456)),
+        ("2025-03-04T15:30:00-04:00", datetime(2025, 3, 4, 19, 30)),
+        (" 2025-03-04 ", datetime(2025, 3, 4)),
         ("2026", datetime(2026, 1, 1)),
         ("T12:30", None),
         ("", None),
@@ -78,36 +78,36 @@ def test_volume(spark, text, expected):
 
 def test_texts_are_normalized(spark):
     changes = {
-        "symbol": " aapl ",
-        "company_name": " Apple ",
+        "symbol": " nqra ",
+        "company_name": " Norquay ",
         "exchange": " nasdaq",
         "currency": "usd ",
         "source": " Twelve_Data",
     }
     row = cu.typed_quotes(standardized(spark, changes)).first()
-    assert [row[n] for n in changes] == ["AAPL", "Apple", "NASDAQ", "USD", "twelve_data"]
+    assert [row[n] for n in changes] == ["NQRA", "Norquay", "NASDAQ", "USD", "twelve_data"]
 
 
 def test_curated_schema(spark):
     frame = cu.curated_quotes(standardized(spark, {}))
     assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in CURATED]
     row = frame.first()
-    assert (row["year"], row["month"], row["day"]) == ("2026", "07", "10")
+    assert (row["year"], row["month"], row["day"]) == ("2025", "03", "04")
 
 
 def test_rejected_rows_keep_what_they_have(spark):
     rows = cu.assess(standardized(spark, {"price": "abc"}, {}))
     row = cu.rejected_quotes(rows, RUN_TIME).collect()
     assert len(row) == 1
-    assert row[0]["symbol"] == "AAPL" and row[0]["rejection_reason"] == "INVALID_PRICE"
+    assert row[0]["symbol"] == "NQRA" and row[0]["rejection_reason"] == "INVALID_PRICE"
     assert row[0]["rejected_at"] == RUN_TIME
-    assert (row[0]["year"], row[0]["month"], row[0]["day"]) == ("2026", "07", "12")
+    assert (row[0]["year"], row[0]["month"], row[0]["day"]) == ("2025", "03", "06")
 
 
 def test_last_ingested_row_of_a_day_stays(spark):
     hours = ("09:30", "16:00", "12:00")
     rows = [
-        {"ingestion_timestamp": f"2026-07-10T{h}:00+00:00", "price": str(200 + i)}
+        {"ingestion_timestamp": f"2025-03-04T{h}:00+00:00", "price": str(200 + i)}
         for i, h in enumerate(hours)
     ]
     kept = cu.curated_quotes(standardized(spark, *rows)).collect()

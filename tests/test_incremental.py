@@ -10,9 +10,9 @@ from quotewright.operators.curate import assess, curated_quotes, rejected_quotes
 from quotewright.schemas import CURATED, QUOTE_COLUMNS
 from quotewright.sources import files
 from quotewright.streaming import incremental
-from tests.builders import standardized
+from tests.builders import plan_of, standardized
 
-RUN_TIME = datetime(2026, 7, 12, 8)
+RUN_TIME = datetime(2025, 3, 6, 8)
 
 
 class Zone:
@@ -24,7 +24,7 @@ class Zone:
     def arrive(self, rows):
         rows.coalesce(1).write.mode("append").json(self.path["standardized"])
 
-    def run(self, max_files=None, checkpoint="checkpoint"):
+    def run(self, max_files=incremental.FILES_PER_BATCH, checkpoint="checkpoint"):
         p = self.path
         incremental.run_incremental(
             self.spark,
@@ -53,7 +53,7 @@ def samples(spark, seed, rows=120):
             "symbol": rng.choice(["A", "B", "C", " "]),
             "price": str(rng.choice([-1, 10, 20, 30])),
             "market_timestamp": f"2026-07-0{rng.randrange(1, 6)} 10:00:00",
-            "ingestion_timestamp": f"2026-07-10 10:{rng.randrange(60):02d}:00",
+            "ingestion_timestamp": f"2025-03-04 10:{rng.randrange(60):02d}:00",
             "volume": rng.choice([None, "5", "7"]),
         }
         for _ in range(rows)
@@ -71,7 +71,7 @@ def test_any_split_ends_as_one_batch(spark, tmp_path, seed):
     for i in range(parts):
         zone.arrive(spark.createDataFrame(collected[i::parts], rows.schema))
         if rng.random() < 0.5:
-            zone.run(max_files=rng.choice([None, 1]))
+            zone.run(max_files=rng.choice([1000, 1]))
     zone.run(max_files=1)
     assert zone.curated() == sorted(curated_quotes(rows).collect(), key=str)
     assert zone.rejected() == rejected_quotes(assess(rows), RUN_TIME).count()
@@ -83,7 +83,7 @@ def test_any_split_ends_as_one_batch(spark, tmp_path, seed):
 def test_a_late_older_row_does_not_win(spark, tmp_path):
     zone = Zone(spark, tmp_path)
     for price, minute in (("20", 30), ("10", 10)):
-        stamp = f"2026-07-10 10:{minute}:00"
+        stamp = f"2025-03-04 10:{minute}:00"
         zone.arrive(standardized(spark, {"price": price, "ingestion_timestamp": stamp}))
         zone.run()
     assert [r["price"] for r in zone.curated()] == [20.0]
@@ -105,7 +105,7 @@ def test_a_crash_while_publishing_loses_nothing(spark, tmp_path, monkeypatch):
     zone = Zone(spark, tmp_path)
     zone.arrive(standardized(spark, {"price": "20"}, {"price": "-1"}))
     zone.run()
-    zone.arrive(standardized(spark, {"price": "30", "ingestion_timestamp": "2026-07-11"}))
+    zone.arrive(standardized(spark, {"price": "30", "ingestion_timestamp": "2025-03-05"}))
 
     def crash(*args):
         raise RuntimeError("lost")
@@ -135,13 +135,18 @@ def test_a_new_checkpoint_keeps_the_old_log(spark, tmp_path):
     assert [r["symbol"] for r in zone.curated()] == ["A", "B"]
 
 
-def test_many_touched_days_read_the_whole_log(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(incremental, "MAX_LISTED_DAYS", 1)
+def test_only_touched_days_of_the_log_are_read(spark, tmp_path):
     rows, _ = samples(spark, 3, rows=40)
     zone = Zone(spark, tmp_path)
     zone.arrive(rows)
     zone.run()
     assert zone.curated() == sorted(curated_quotes(rows).collect(), key=str)
+    log = spark.read.schema(incremental.LOG).parquet(zone.path["log"])
+    days = log.select("year", "month", "day").distinct()
+    one = days.orderBy("year", "month", "day").limit(1)
+    read = incremental.log_rows(spark, zone.path["log"], one)
+    assert "dynamicpruning" in plan_of(read)
+    assert read.count() == log.join(one, ["year", "month", "day"]).count()
 
 
 def test_source_file_of_rejected_rows(spark, tmp_path):

@@ -12,6 +12,12 @@ from tests.builders import quote, quotes
 SPAN = "symbol string, first_date date, last_date date"
 
 
+def expected(span):
+    """The slots of spans on all days of theirs."""
+    days = span.select(F.explode(F.sequence("first_date", "last_date")).alias("day")).distinct()
+    return op.expected_slots(span, days)
+
+
 @pytest.mark.parametrize(
     ("day", "first", "last"),
     [
@@ -22,7 +28,7 @@ SPAN = "symbol string, first_date date, last_date date"
     ],
 )
 def test_slots_of_a_day(spark, day, first, last):
-    rows = op.expected_slots(spark.createDataFrame([("A", day, day)], SPAN)).collect()
+    rows = expected(spark.createDataFrame([("A", day, day)], SPAN)).collect()
     slots = sorted(r["slot"] for r in rows)
     assert len(slots) == 79
     assert (slots[0], slots[-1]) == (first, last)
@@ -30,14 +36,14 @@ def test_slots_of_a_day(spark, day, first, last):
 
 def test_no_slots_at_weekends(spark):
     span = spark.createDataFrame([("A", date(2026, 3, 7), date(2026, 3, 8))], SPAN)
-    assert op.expected_slots(span).isEmpty()
+    assert expected(span).isEmpty()
 
 
 def test_slots_do_not_depend_on_the_session_zone(spark):
     span = spark.createDataFrame([("A", date(2026, 3, 9), date(2026, 3, 9))], SPAN)
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
-        slots = sorted(r["slot"] for r in op.expected_slots(span).collect())
+        slots = sorted(r["slot"] for r in expected(span).collect())
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert slots[0] == datetime(2026, 3, 9, 13, 30)
@@ -55,6 +61,16 @@ def test_missing_slots(spark):
     assert sum(r["symbol"] == "B" for r in missing) == 79
 
 
+def test_slots_of_given_days_and_of_a_far_date(spark):
+    rows = [quote("A", datetime(2026, 3, 9, 13, 30)), quote("A", datetime(9999, 3, 9, 13, 30))]
+    frame = quotes(spark, *rows)
+    slots = op.missing_slots(frame).collect()
+    # 13:30 UTC is no slot of the far day: its clock is an hour on by then.
+    assert len(slots) == 2 * 79 - 1
+    slots = op.missing_slots(frame, date(2026, 3, 9), date(2026, 3, 20)).collect()
+    assert len(slots) == 79 - 1
+
+
 MEASURES = "ts timestamp_ntz, errors bigint, throttles bigint, ms double"
 
 
@@ -111,7 +127,7 @@ def test_health_stream_gives_closed_windows(spark, tmp_path):
 
 
 def test_retention(spark):
-    as_of = date(2026, 7, 10)
+    as_of = date(2025, 3, 4)
     ages = {"raw": 90, "standardized": 365, "rejected": 90, "results": 30}
     rows = []
     for zone, days in {**ages, "curated": 5000}.items():
@@ -126,12 +142,12 @@ def test_retention(spark):
 
 
 def test_rejected_report(spark):
-    rows = [("INVALID_PRICE", datetime(2026, 7, 10, 23), s) for s in ("A", "A", None)]
+    rows = [("INVALID_PRICE", datetime(2025, 3, 4, 23), s) for s in ("A", "A", None)]
     frame = spark.createDataFrame(
         rows, "rejection_reason string, rejected_at timestamp_ntz, symbol string"
     )
     result = [tuple(r) for r in op.rejected_report(frame).collect()]
-    day = date(2026, 7, 10)
+    day = date(2025, 3, 4)
     assert result == [("INVALID_PRICE", day, "A", 2), ("INVALID_PRICE", day, None, 1)]
 
 

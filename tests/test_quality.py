@@ -32,7 +32,7 @@ def test_curated_table_passes(curated, name):
     assert CHECKS[name](curated).isEmpty()
 
 
-NOON = datetime(2026, 7, 10, 12)
+NOON = datetime(2025, 3, 4, 12)
 
 
 @pytest.mark.parametrize(
@@ -47,11 +47,11 @@ NOON = datetime(2026, 7, 10, 12)
         (qu.high_low, {"high_price": 1.0, "low_price": 2.0}),
         (qu.price_in_range, {"price": 111.0}),
         (qu.price_in_range, {"price": 89.0}),
-        (qu.symbol_normalized, {"symbol": "aapl"}),
+        (qu.symbol_normalized, {"symbol": "nqra"}),
         (qu.exchange_normalized, {"exchange": "NASDAQ "}),
         (qu.currency_normalized, {"currency": "usd"}),
         (qu.source_normalized, {"source": "Twelve_Data"}),
-        (qu.market_ahead, {"ingestion_timestamp": datetime(2026, 7, 10, 9)}),
+        (qu.market_ahead, {"ingestion_timestamp": datetime(2025, 3, 4, 9)}),
         (qu.ingest_delay, {"ingestion_timestamp": datetime(2026, 7, 11, 11)}),
         (qu.partition_match, {"day": "11"}),
         (qu.partition_format, {"month": "7"}),
@@ -79,7 +79,7 @@ def test_each_fault_is_found(spark, check, changes):
         (qu.percent_consistent, {"previous_close": 0.0}),
         (qu.ohlc, {"high_price": None, "low_price": None}),
         # 24 hours and 59 minutes are 24 whole hours.
-        (qu.ingest_delay, {"ingestion_timestamp": datetime(2026, 7, 11, 10, 59)}),
+        (qu.ingest_delay, {"ingestion_timestamp": datetime(2025, 3, 5, 10, 59)}),
     ],
 )
 def test_what_is_no_fault(spark, check, changes):
@@ -153,10 +153,35 @@ def test_a_sort_parts_equal_rows(spark):
     assert "SPARK_PARTITION_ID" in plan
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 1, "slices": 16}])
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 1, "slice_rows": 40}])
 def test_semi_join_with_repeated_keys(spark, limits):
     frame = hot_rows(spark)
     keys = spark.createDataFrame([("HOT",), ("HOT",), ("S1",), ("ZZZ",)], "symbol string")
     found = join_distinct_keys(frame, keys, ["symbol"], **limits)
     assert found.columns == frame.columns
     assert found.count() == 301
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_only_hot_keys_are_copied(spark):
+    keys = spark.range(1000).selectExpr("concat('S', id) AS symbol")
+    frame = spark.range(3000).selectExpr("concat('S', if(id < 2000, 0, id % 1000)) AS symbol")
+    found = join_distinct_keys(frame, keys, ["symbol"], broadcast_rows=10, slice_rows=100)
+    assert found.count() == 3000
+    tree = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(sequence(0, (_slices" in tree
+    hot = frame.groupBy("symbol").count().filter("count > 100").count()
+    assert hot == 1
+
+
+NAN = float("nan")
+
+
+@pytest.mark.parametrize("name", ["price", "high_price", "low_price", "change", "change_percent"])
+def test_nan_compares_with_nothing(spark, name):
+    frame = quotes(spark, quote("A", **{name: NAN}))
+    for check in (qu.price, qu.high_low, qu.price_in_range, qu.change_consistent, qu.percent_consistent, qu.ohlc):
+        assert check(frame).isEmpty()
+    assert qu.scorecard(frame).first()["invalid_high_low_rows"] == 0
+    counts = {r["check"]: r["failures"] for r in qu.report(frame).collect()}
+    assert not any(counts.values())
