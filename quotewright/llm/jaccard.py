@@ -381,14 +381,14 @@ def _between(rows: DataFrame, classes: DataFrame, roots: DataFrame, sketch: np.n
     tokens = (
         _prefixes(rows, sketch, size, percent)
         .join(known.select("digest", "node", "root"), "digest")
-        .select("node", "root", F.explode("prefix").alias("token"))
+        .select("node", "root", F.posexplode("prefix").alias("place", "token"))
     )
     same = Window.partitionBy("token")
     contested = settle(
         tokens.withColumn("low", F.min("root").over(same))
         .withColumn("high", F.max("root").over(same))
         .filter("low < high")
-        .select("token", "node", "root"),
+        .select("token", "node", "root", "place"),
         "contested",
     )
     parts = known.groupBy("root").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
@@ -399,15 +399,31 @@ def _between(rows: DataFrame, classes: DataFrame, roots: DataFrame, sketch: np.n
     meeting = settle(
         contested.join(grouped.select("node", "n", "group_no"), "node"), "meeting"
     )
-    groups = meeting.groupBy("token", "root", "group_no").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    met = meeting.select("node", "group_no").distinct().groupBy("group_no").agg(F.count("*").alias("met"))
+    groups = meeting.groupBy("token", "root", "group_no").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("place").alias("other_place")
+    )
     groups = groups.withColumnRenamed("root", "other")
+    # Up to the last token both prefixes share, a query and a lone member have so many tokens
+    # in the common order; what is not shared counts to their difference, which the
+    # threshold bounds by (100 - percent) / (100 + percent) of their sizes.
+    unshared = F.col("own_last") + F.col("other_last") + 2 - 2 * F.col("shared")
+    possible = (100 + percent) * unshared <= (100 - percent) * (F.col("n") + F.col("most"))
     near = (percent * F.col("least") <= 100 * F.col("n")) & (100 * F.col("most") >= percent * F.col("n"))
     candidates = settle(
-        meeting.select("token", "node", "root", "n")
+        meeting.select("token", "node", "root", "n", "place")
         .join(groups, "token")
         .filter((F.col("root") < F.col("other")) & near)
-        .select("node", "group_no")
-        .distinct(),
+        .groupBy("node", "group_no", "n")
+        .agg(
+            F.count("*").alias("shared"),
+            F.max("place").alias("own_last"),
+            F.max("other_place").alias("other_last"),
+            F.max("most").alias("most"),
+        )
+        .join(met, "group_no")
+        .filter((F.col("met") > 1) | possible)
+        .select("node", "group_no"),
         "candidates",
     )
     opened = candidates.select("group_no").distinct()
