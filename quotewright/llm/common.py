@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from uuid import uuid4
 
@@ -30,11 +31,15 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it again: its lineage ends there.
 
     A task that is run again later reads the same rows from files that outlive
-    any executor.
+    any executor. The shuffle files behind them are of no use any more; Spark
+    deletes them once the driver has collected what refers to them, and with
+    little garbage of its own it would wait long.
     """
     spark = frame.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid4().hex}")
     frame.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(frame.schema).parquet(path)
 
 
