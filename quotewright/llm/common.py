@@ -43,6 +43,15 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def forget(frame: DataFrame) -> None:
+    """Delete the files of a settled frame that nothing will read again."""
+    spark = frame.sparkSession
+    files = frame.inputFiles()
+    if files:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0].rpartition("/")[0])
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import WORD, row_key, settle, spare_names
+from quotewright.llm.common import WORD, forget, row_key, settle, spare_names
 
 SHINGLE, PERCENT = 5, 75
 KEYS = 6
@@ -430,7 +430,7 @@ def _between(rows: DataFrame, classes: DataFrame, roots: DataFrame, sketch: np.n
     members = meeting.select("node", "group_no").distinct().join(opened, "group_no", "left_semi")
     needed = candidates.select("node").union(members.select("node")).distinct()
     sets = settle(_sets(rows, known.join(needed, "node", "left_semi"), size), "sets")
-    matrix = _matrix(members.join(sets, "node").select("group_no", "node", "tokens"))
+    matrix = settle(_matrix(members.join(sets, "node").select("group_no", "node", "tokens")), "matrix")
     return _opened(candidates, sets, matrix, percent)
 
 
@@ -505,6 +505,7 @@ def _components(documents: DataFrame, id_col: str, text_col: str, size: int, per
     needed = links.select("node").union(links.select("pivot")).distinct()
     sets = settle(_sets(rows, classes.join(needed, "node", "left_semi"), size), "pivot-sets")
     inner = settle(_verified(links, sets, percent).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "inner")
+    forget(sets)  # the links are settled
     roots = connected(inner)
     outer = settle(_between(rows, classes, roots, sketch, size, percent), "outer")
     # A link to the root stands for all links within a group.
