@@ -19,8 +19,8 @@ SAMPLE, BRANCHES, LEAF_ROWS, LEAST_SAMPLED = 16_000, 8, 200, 4
 ITERATIONS, SEED = 8, 5
 # Calibration: queries searched exactly, and the share of their neighbours to be found.
 TRIALS, RECALL = 128, 0.95
-# Leaves a query sees before it has a score that others must beat.
-FIRST_LEAVES = 4
+# Leaves a query sees in the first round, and by how much each round widens them.
+FIRST_LEAVES, WIDEN = 4, 4
 # Rows of a leaf, and queries to it, that one step compares.
 BLOCK_ROWS, PACK_ROWS = 512, 256
 SLACK = 1e-9
@@ -343,13 +343,19 @@ def nearest_neighbours(
             .drop("place")
         )
 
-    # The first leaves give most queries a full list; what the others find has to beat its end.
-    early = visits.filter(F.col("place") < FIRST_LEAVES).withColumn("floor", F.lit(float("-inf")))
-    early = settle(leading(search(early)), "early")
+    # What a round finds has to beat the end of the list so far. A round sees a few times
+    # the leaves seen before it, so it returns about as many rows as the first one.
     full = F.when(F.count("*") >= wanted, F.min("score")).otherwise(float("-inf"))
-    floors = early.groupBy("klass").agg(full.alias("floor"))
-    late = visits.filter(F.col("place") >= FIRST_LEAVES).join(floors, "klass")
-    top = leading(early.unionByName(search(settle(late, "late"))))
+    top, seen, reach = None, 0, FIRST_LEAVES
+    while seen < leaves:
+        part = visits.filter((F.col("place") >= seen) & (F.col("place") < reach))
+        if top is None:
+            top = search(part.withColumn("floor", F.lit(float("-inf"))))
+        else:
+            part = settle(part.join(top.groupBy("klass").agg(full.alias("floor")), "klass"), "part")
+            top = top.unionByName(search(part))
+        top = settle(leading(top), "leading")
+        seen, reach = reach, reach * WIDEN
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         queries.select("query_id", "klass")
