@@ -51,6 +51,31 @@ def test_templates_and_their_variants(spark):
     assert rows[0]["score"] == 1 and 0.8 <= rows[2]["score"] < 1 or rows[2]["n_base"]
 
 
+def test_one_edit_in_every_template(spark):
+    """One word put in, left out or changed, but for those that name the license, and other versions."""
+    texts, wanted = [], []
+    for label, wording in licenses.TEMPLATES:
+        words = wording.split()
+        inner = [i for i, word in enumerate(words) if i and not any(
+            own in licenses.NAMES or licenses.VERSION.fullmatch(own) for own in licenses.words_of(word)) and len(licenses.words_of(word)) == 1]
+        if len(licenses.template_of(label, wording).words) < licenses.WORDS_AN_EDIT:
+            continue
+        i = inner[len(inner) // 2]
+        texts += [[*words[:i], "really", *words[i:]], [*words[:i], *words[i + 1 :]], [*words[:i], "other", *words[i + 1 :]]]
+        wanted += [label] * 3
+    for text, label in (
+        ("Licensed under the Apache License 2.0", "apache-2.0"), ("Licensed under the MIT License", "mit"),
+        ("Licensed under CC BY-NC 3.0", "cc-by-nc"), ("CC BY-SA 4.0", "cc-by-sa"), ("CC BY-NC-SA 2.0", "cc-by-nc-sa"),
+    ):
+        texts.append(text.split())
+        wanted.append(label)
+    rows = scan(spark, *(f"n1 n2 n3 {' '.join(words)} n4 n5 n6" for words in texts))
+    missed = [" ".join(texts[i]) for i, label in enumerate(wanted) if label not in rows[i]["labels"].split(",")]
+    assert not missed
+    others = scan(spark, "Released under the other License", "Licensed under the Apache License, Version 1.1", "licensed under the terms of the", "Licensed under CC BY-NC-SA 4.0")
+    assert [others[i]["labels"] for i in range(4)] == ["", "", "", "cc-by,cc-by-nc-sa"]
+
+
 def test_spans_by_comparing_words(spark):
     noise = [f"n{i}" for i in range(50)]
     label, wording = licenses.TEMPLATES[0]
