@@ -54,19 +54,23 @@ class Tree:
             waiting += [(child, own[nearest == i]) for i, child in enumerate(children)]
         return out
 
-    def visits(self, queries: np.ndarray, count: int) -> list[list[int]]:
+    def visits(
+        self, queries: np.ndarray, count: int, held: dict[int, int] | None = None, wanted: int = 0
+    ) -> list[list[int]]:
         """Each query's first ``count`` leaves, the node of the best center first.
 
         A priority queue holds the nodes seen but not opened, of all levels, so
-        the search goes back to wherever the best one is.
+        the search goes back to wherever the best one is. With what each leaf
+        holds it goes on until ``wanted`` are held or there are no more leaves.
         """
         out = []
         for scores in queries @ self.centers.T:
-            queue, found = [(-scores[0], 0)], []
-            while queue and len(found) < count:
+            queue, found, seen = [(-scores[0], 0)], [], 0 if held is not None else wanted
+            while queue and (len(found) < count or seen < wanted):
                 _, node = heapq.heappop(queue)
                 if self.leaf[node] >= 0:
                     found.append(self.leaf[node])
+                    seen += held.get(self.leaf[node], 0) if held is not None else 0
                 for child in self.children[node]:
                     heapq.heappush(queue, (-scores[child], child))
             out.append(found)
@@ -257,8 +261,9 @@ def nearest_neighbours(
     leaves. Equal vectors are one class: any query needs the ``count`` + 1
     smallest ids of it at most, and equal queries are searched once. ``TRIALS``
     queries are compared with all rows, and the visits are widened until they
-    would find ``recall`` of their neighbours; all queries visit as many leaves.
-    A crowded leaf is cut into blocks.
+    would find ``recall`` of their neighbours; all queries visit as many leaves,
+    and more where these hold fewer than ``count`` + 1 ids. A crowded leaf is cut
+    into blocks.
     """
     vectors, size = valid_vectors(table, id_col, vector_col)
     wanted = count + 1
@@ -293,9 +298,12 @@ def nearest_neighbours(
     trials = classes.orderBy(F.xxhash64("klass"), "klass").limit(TRIALS).select("vector").collect()
     leaves = _calibrated_visits(index, [bytes(row["vector"]) for row in trials], tree, size, wanted, recall)
 
+    # An id with vectors in several leaves counts in one of them only.
+    ids = _leaf_counts(index.groupBy("vec_id").agg(F.min("leaf").alias("leaf")))
+
     def visiting():
         def visit(batch: pa.RecordBatch) -> dict:
-            found = given.value.visits(_vectors(batch["vector"], size), leaves)
+            found = given.value.visits(_vectors(batch["vector"], size), leaves, ids, wanted)
             places = pa.array([i for i, own in enumerate(found) for _ in own], pa.int64())
             return {
                 "leaf": [leaf for own in found for leaf in own],
@@ -347,7 +355,9 @@ def nearest_neighbours(
     # the leaves seen before it, so it returns about as many rows as the first one.
     full = F.when(F.count("*") >= wanted, F.min("score")).otherwise(float("-inf"))
     top, seen, reach = None, 0, FIRST_LEAVES
-    while seen < leaves:
+    furthest = visits.agg(F.max("place")).first()[0]
+    furthest = leaves if furthest is None else furthest + 1
+    while seen < furthest:
         part = visits.filter((F.col("place") >= seen) & (F.col("place") < reach))
         if top is None:
             top = search(part.withColumn("floor", F.lit(float("-inf"))))

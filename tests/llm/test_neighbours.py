@@ -55,6 +55,20 @@ def test_edge_rows_ties_and_copies(spark):
     assert all(len(own) == 20 for own in found.values())
 
 
+def test_queries_whose_best_leaves_are_small(spark):
+    """Tight clusters need one leaf or a few; the leaves of scattered rows hold a row or a few each."""
+    rng = np.random.default_rng(8)
+    centers = rng.normal(0, 1, (40, 16))
+    rows = np.concatenate([np.repeat(centers, 100, axis=0) + rng.normal(0, 0.01, (4000, 16)), 30 * rng.normal(0, 1, (24, 16))])
+    ids = [i + 1 for i in range(4000)] + [20 * i for i in range(300, 324)]
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in zip(ids, rows)], "vec_id long, embedding array<double>")
+    counts = defaultdict(int)
+    for row in neighbours.nearest_neighbours(frame).collect():
+        counts[row["query_id"]] += 1
+    assert set(counts) == {i for i in ids if i % 20 == 0}
+    assert set(counts.values()) == {20}
+
+
 def test_few_and_no_rows(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     rows = neighbours.nearest_neighbours(frame).orderBy("rank").collect()
