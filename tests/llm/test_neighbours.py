@@ -86,3 +86,11 @@ def test_best_bin_first_order():
     for order in tree.visits(rows[:5], tree.leaves):
         assert sorted(order) == list(range(tree.leaves))
     assert [order[:3] for order in tree.visits(rows[:5], tree.leaves)] == tree.visits(rows[:5], 3)
+
+
+def test_visits_go_on_until_enough_is_held():
+    rows = np.random.default_rng(3).normal(0, 1, (500, 6))
+    tree = neighbours.grow_tree(rows, 20)
+    held = dict(enumerate(np.bincount(tree.place(rows), minlength=tree.leaves).tolist()))
+    for short, order in zip(tree.visits(rows[:50], 1), tree.visits(rows[:50], 1, held, 60)):
+        assert order[:1] == short and sum(held[leaf] for leaf in order) >= 60 > sum(held[leaf] for leaf in order[:-1])
