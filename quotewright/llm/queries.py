@@ -7,7 +7,21 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotewright.llm import jaccard, language, licenses, mix, neighbours, packing, pii, quality, urls, warc
+from quotewright.llm import (
+    dedup,
+    jaccard,
+    language,
+    licenses,
+    mix,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    resample,
+    runs,
+    urls,
+    warc,
+)
 from quotewright.llm.common import settle, table
 from quotewright.session import shared_dir
 
@@ -69,6 +83,18 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), change=runs.planted)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack": op1_pack,
@@ -81,6 +107,9 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": op8_url_filter,
         "op9_nearest": op9_nearest,
         "op10_license": op10_license,
+        "op11_exact_dedup": op11_exact_dedup,
+        "op12_resample": op12_resample,
+        "op13_runs": op13_runs,
     }
 
 
@@ -180,5 +209,64 @@ FROM parts p LEFT JOIN fitting f ON p.page_id = f.page_id AND p.host = f.host AN
 """
 
 
+OP11_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(text) AS text_sha256
+FROM texts
+WINDOW same AS (PARTITION BY text)
+"""
+
+OP12_SQL = r"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), texts AS (
+  SELECT doc_id, FALSE AS wanted, text FROM documents UNION ALL SELECT NULL, TRUE, text FROM benchmark
+), numbered AS (
+  SELECT row_number() OVER () AS row_no, doc_id, wanted,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM texts
+), tokens AS (
+  SELECT row_no, wanted, unnest(words) AS word FROM numbered
+), vocabulary AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(range(octet_length(encode(word))),
+                          lambda i: ('0x' || substr(hex(encode(word)), (2 * i + 1)::INTEGER, 2))::BIGINT)),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM tokens), crc_table
+), counted AS (
+  SELECT bucket, count(*) FILTER (NOT wanted) AS s, count(*) FILTER (wanted) AS t
+  FROM tokens JOIN vocabulary USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                 / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM counted
+), weights AS (
+  SELECT row_no, sum(gain)::BIGINT AS weight
+  FROM tokens JOIN vocabulary USING (word) JOIN gains USING (bucket) WHERE NOT wanted GROUP BY row_no
+), scored AS (
+  SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+                                               + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM numbered LEFT JOIN weights USING (row_no) WHERE NOT wanted
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         10 * count(*) OVER (PARTITION BY n_features >= 20) // 100 AS drawn
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op7_mix": OP7_SQL, "op8_url_filter": OP8_SQL}
+    return {
+        "op6_warc": OP6_SQL,
+        "op7_mix": OP7_SQL,
+        "op8_url_filter": OP8_SQL,
+        "op11_exact_dedup": OP11_SQL,
+        "op12_resample": OP12_SQL,
+    }
