@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from oracle.sql import QUERIES as ORACLE
 from quotewright.functions.times import run_id
 from quotewright.operators import analytics, operations, standardize
-from quotewright.operators.curate import rejected_quotes, typed_quotes
+from quotewright.operators.curate import assess, rejected_quotes, split_quotes, typed_quotes
 from quotewright.plans.jobs import replay
 from quotewright.plans.reports import CHECKS, REPORTS
-from quotewright.schemas import PARTITION_COLUMNS, QUOTE_COLUMNS
+from quotewright.schemas import PARTITION_COLUMNS, QUOTE_COLUMNS, REJECTED, REJECTED_BRANCH
 from quotewright.session import configure, shared_dir
 from quotewright.sources import files
 from quotewright.sources import sample_tables as sample
-from quotewright.streaming.incremental import run_incremental
+from quotewright.streaming.incremental import run_incremental, scan_current
 
 try:  # the corpus operators may be left out
     import corpus_pipeline
@@ -212,6 +212,24 @@ def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_curated(spark, curated)
 
 
+def _incremental_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state while the newest days are still open, merged on reading."""
+    base = _folder(spark, sf_dir, f"incremental-{uuid4().hex}")
+    source, log, curated = f"{base}/standardized", f"{base}/log", f"{base}/curated"
+    files.write_standardized(_standardized_runs(spark, sf_dir), source)
+    paths = (source, curated, f"{base}/rejected", log, f"{base}/checkpoint")
+    run_incremental(spark, *paths, sample.RUN_TIME, max_files=12, open_days=20)
+    return scan_current(spark, log, curated)
+
+
+def _split_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows as the curation job leaves them beside the curated ones."""
+    base = _folder(spark, sf_dir, f"split-{uuid4().hex}")
+    rows = sample.standardized_from_events(configure(spark), sf_dir)
+    files.write_branches(split_quotes(assess(rows), sample.RUN_TIME), base)
+    return files.scan_branch(spark, base, REJECTED_BRANCH).select(*REJECTED.names)
+
+
 def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operations.health_windows(
         sample.table(configure(spark), sf_dir, "events"),
@@ -269,6 +287,8 @@ def queries() -> dict[str, Query]:
         "dq_report_curated": _on_curated(CHECKS["dq_report"]),
         # operations
         "incremental_curated": _incremental,
+        "incremental_open": _incremental_open,
+        "split_rejected": _split_rejected,
         "replay_from_raw": _replay_from_raw,
         "missing_slots": _on_curated(operations.missing_slots),
         "health_windows": _health,

@@ -675,6 +675,8 @@ QUERIES: dict[str, str] = {
     "dq_report_curated": _curated(_report("curated_quotes")),
     # operations
     "incremental_curated": _curated(f"SELECT {COLUMNS}, year, month, day FROM curated_quotes"),
+    "incremental_open": _curated(f"SELECT {COLUMNS}, year, month, day FROM curated_quotes"),
+    "split_rejected": _with("rejected", "SELECT * FROM rejected"),
     "replay_from_raw": _with(
         "ingested", f"SELECT {COLUMNS}, year, month, day FROM curated_quotes", _REPLAY
     ),

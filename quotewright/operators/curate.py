@@ -12,7 +12,7 @@ from ..functions.numbers import whole_text
 from ..functions.plans import settle
 from ..functions.text import normal_lower, normal_upper
 from ..functions.times import date_parts, parse_time, utc_literal
-from ..schemas import BUSINESS_KEY, QUOTE_COLUMNS
+from ..schemas import BRANCHES, BUSINESS_KEY, QUOTE_COLUMNS, REJECTED_BRANCH, VALID_BRANCH
 
 
 def typed_quotes(standardized: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -80,21 +80,43 @@ def valid_quotes(assessed: DataFrame) -> DataFrame:
     return assessed.filter(F.col("rejection_reason").isNull()).select(*QUOTE_COLUMNS)
 
 
-def keep_latest(quotes: DataFrame) -> DataFrame:
+def keep_latest(quotes: DataFrame, apart: Sequence[str] = ()) -> DataFrame:
     """One row per symbol and market time: the one ingested last.
 
+    Rows that differ in ``apart`` do not replace each other.
+
     Rows ingested at the same moment are told apart by the other columns, so
     the outcome does not depend on row order. Spark drops the losers before
     the shuffle (WindowGroupLimit), so one hot key costs one row per task.
     """
     rest = [n for n in QUOTE_COLUMNS if n not in (*BUSINESS_KEY, "ingestion_timestamp")]
-    newest = Window.partitionBy(*BUSINESS_KEY).orderBy(
+    newest = Window.partitionBy(*BUSINESS_KEY, *apart).orderBy(
         *(F.col(n).desc_nulls_last() for n in ("ingestion_timestamp", *rest))
     )
     ranked = quotes.withColumn("_rank", F.row_number().over(newest))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def split_quotes(assessed: DataFrame, rejected_at: datetime) -> DataFrame:
+    """Both outputs in one frame by ``branch``: the latest valid rows, all rejected rows.
+
+    One window serves both, so the source is read once: a rejected row is a
+    group of its own, which also deals rows without a key over all tasks.
+    """
+    rejected = F.col("rejection_reason").isNotNull()
+    at = utc_literal(rejected_at)
+    split = assessed.withColumns(
+        {
+            "branch": F.when(rejected, REJECTED_BRANCH).otherwise(VALID_BRANCH),
+            "source_file": F.when(rejected, F.col("source_file")),
+            "rejected_at": F.when(rejected, at),
+            "_alone": F.when(rejected, F.monotonically_increasing_id()),
+        }
+    )
+    day = F.when(rejected, at).otherwise(F.col("market_timestamp"))
+    return keep_latest(split, ["_alone"]).withColumns(date_parts(day)).select(*BRANCHES.names)
+
+
 def with_market_date(quotes: DataFrame) -> DataFrame:
     """Add year, month and day of the market time as partition strings."""
     return quotes.withColumns(date_parts(F.col("market_timestamp")))

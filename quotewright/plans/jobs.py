@@ -5,19 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.times import utc_literal
-from ..operators.curate import (
-    assess,
-    curated_quotes,
-    keep_latest,
-    rejected_quotes,
-    valid_quotes,
-    with_market_date,
-)
+from ..operators.curate import assess, curated_quotes, split_quotes
 from ..operators.standardize import (
     failed_symbols,
     ingest,
@@ -25,14 +18,17 @@ from ..operators.standardize import (
     raw_zone,
     standardized_zone,
 )
-from ..session import sized
+from ..schemas import CURATED, REJECTED, REJECTED_BRANCH, VALID_BRANCH
+from ..session import kept_sizes, shared_dir, sized
 from ..sources.files import (
+    publish_run,
     replayable,
+    scan_branch,
     scan_raw,
     scan_standardized,
-    write_curated,
-    write_rejected,
+    write_branches,
 )
+from ..sources.scratch import discard, scratch_folder, store
 
 Writer = Callable[[DataFrame], str]
 
@@ -41,7 +37,8 @@ Writer = Callable[[DataFrame], str]
 class IngestResult:
     """What a run did.
 
-    ``failures`` has all failed symbols as rows, in request order. The
+    ``failures`` has all failed symbols as rows, in request order, from the
+    stored run; ``close`` deletes that, and the failures with it. The
     locations are None where there was nothing to write.
     """
 
@@ -51,6 +48,10 @@ class IngestResult:
     failures: DataFrame
     raw_location: str | None
     standardized_location: str | None
+    stored_run: str
+
+    def close(self) -> None:
+        discard(self.failures.sparkSession, self.stored_run)
 
 
 def run_ingestion(
@@ -62,19 +63,20 @@ def run_ingestion(
     """Ingest a run's responses and hand each zone's rows to its writer.
 
     ``responses`` has ``position``, ``requested_symbol`` and ``response``. A
-    bad response stops no other. The parsed rows of the run are kept while
-    its outputs are written, so each response is parsed once.
+    bad response stops no other. The parsed run is written to the shared
+    folder and all outputs are fed from there: each response is read and
+    parsed once, and a source that gives something else the next time does no
+    harm.
     """
-    rows = ingest(responses.withColumn("run_timestamp", utc_literal(run_timestamp)))
-    rows = rows.drop("raw", "keys").persist()
-    try:
-        counts = ingest_summary(rows).first()
-        raw, standardized = raw_zone(rows), standardized_zone(rows)
-        raw_location = None if raw.isEmpty() else raw_writer(raw)
-        any_good = counts is not None and counts["successful_count"] > 0
-        standardized_location = standardized_writer(standardized) if any_good else None
-    finally:
-        rows.unpersist()
+    spark = responses.sparkSession
+    path = shared_dir(spark, "runs", f"{run_timestamp:%Y%m%dT%H%M%SZ}-{uuid4().hex}")
+    parsed = ingest(responses.withColumn("run_timestamp", utc_literal(run_timestamp)))
+    rows = store(parsed.drop("raw", "keys"), path)
+    counts = ingest_summary(rows).first()
+    raw, standardized = raw_zone(rows), standardized_zone(rows)
+    raw_location = None if raw.isEmpty() else raw_writer(raw)
+    any_good = counts is not None and counts["successful_count"] > 0
+    standardized_location = standardized_writer(standardized) if any_good else None
     return IngestResult(
         requested_count=counts["requested_count"] if counts else 0,
         successful_count=counts["successful_count"] if counts else 0,
@@ -82,6 +84,7 @@ def run_ingestion(
         failures=failed_symbols(rows),
         raw_location=raw_location,
         standardized_location=standardized_location,
+        stored_run=path,
     )
 
 
@@ -102,31 +105,28 @@ def curate(
 ) -> CurateResult:
     """Curate a standardized zone (a frame or a path) into both outputs.
 
-    Whether any row was rejected is observed while the curated rows are
-    written, so a clean zone is read once; nothing of the size of the input
-    is cached. The test for valid rows ends at the first one and needs no
-    shuffle.
+    The source is read once: one job types, checks, deduplicates and splits it
+    into Parquet in the shared folder, and both outputs are published from
+    there, each as the run's own partitions (``run_id=`` below the day). The
+    run again replaces its rows instead of adding them twice. An output
+    without rows is not written.
     """
     if isinstance(source, str):
         source = scan_standardized(spark, source)
-    sized(source)
-    assessed = assess(source)
-    valid = valid_quotes(assessed)
-    any_valid = not valid.isEmpty()
-    any_rejected = True
-    if any_valid:
-        seen = Observation()
-        broken = F.count_if(F.col("rejection_reason").isNotNull()).alias("rejected")
-        latest = keep_latest(valid_quotes(assessed.observe(seen, broken)))
-        write_curated(with_market_date(latest), curated_path)
-        # Retried tasks may count twice; only zero or not is taken from it.
-        any_rejected = seen.get["rejected"] > 0
-    if any_rejected:
-        rejected = rejected_quotes(assessed, run_timestamp)
-        any_rejected = any_valid or not rejected.isEmpty()
-        if any_rejected:
-            write_rejected(rejected, rejected_path)
-    return CurateResult(any_valid, any_rejected)
+    run = f"{run_timestamp:%Y%m%dT%H%M%SZ}"
+    with kept_sizes(spark), scratch_folder(spark, "curate") as staged:
+        sized(source)
+        write_branches(split_quotes(assess(source), run_timestamp), staged)
+        written = {}
+        for branch, path, names in (
+            (VALID_BRANCH, curated_path, CURATED.names),
+            (REJECTED_BRANCH, rejected_path, REJECTED.names),
+        ):
+            rows = scan_branch(spark, staged, branch).select(*names)
+            written[branch] = not rows.isEmpty()
+            if written[branch]:
+                publish_run(rows, path, run)
+    return CurateResult(written[VALID_BRANCH], written[REJECTED_BRANCH])
 
 
 def replay(responses: DataFrame) -> DataFrame:

@@ -81,9 +81,12 @@ STANDARDIZED = T.StructType(_strings(QUOTE_COLUMNS))
 CURATED = T.StructType(
     [T.StructField(n, _typed(n)) for n in QUOTE_COLUMNS] + _strings(PARTITION_COLUMNS)
 )
+VALID_BRANCH, REJECTED_BRANCH = "valid", "rejected"
 REJECTED = T.StructType(
     [T.StructField(n, _typed(n)) for n in QUOTE_COLUMNS]
     + _strings(["source_file", "rejection_reason"])
     + [T.StructField("rejected_at", T.TimestampNTZType())]
     + _strings(PARTITION_COLUMNS)
 )
+# Both branches of a curation run in one table; a valid row has no reason.
+BRANCHES = T.StructType([*REJECTED.fields, T.StructField("branch", T.StringType())])

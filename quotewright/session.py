@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,19 @@ def sized(rows: DataFrame) -> SparkSession:
     return configure(rows.sparkSession, known)
 
 
+@contextmanager
+def kept_sizes(spark: SparkSession) -> Iterator[None]:
+    """Give the session its shuffle size back after a job that sized it for its own input."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 @cache
 def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="quotewright-")

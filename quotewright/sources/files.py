@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.times import day_key, run_parts
 from ..operators.standardize import symbol_universe
 from ..schemas import (
+    BRANCHES,
     BUSINESS_KEY,
     CURATED,
     DEFAULT_WATCHLIST,
@@ -78,11 +79,16 @@ def scan_standardized(
 
 def scan_curated(spark: SparkSession, path: str) -> DataFrame:
     """The curated table; partition columns are strings in any session."""
-    return spark.read.schema(CURATED).parquet(path)
+    return spark.read.schema(CURATED).parquet(path).select(*CURATED.names)
 
 
 def scan_rejected(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REJECTED).parquet(path)
+    return spark.read.schema(REJECTED).parquet(path).select(*REJECTED.names)
+
+
+def scan_branch(spark: SparkSession, path: str, branch: str) -> DataFrame:
+    """One branch of a split run; the other's files are not opened."""
+    return spark.read.schema(BRANCHES).parquet(path).filter(F.col("branch") == branch)
 
 
 def with_run_partitions(rows: DataFrame, *, hourly: bool) -> DataFrame:
@@ -122,6 +128,13 @@ def write_standardized(quotes: DataFrame, path: str) -> None:
     ).option("ignoreNullFields", "false").partitionBy(*columns).json(path)
 
 
+def _write_sorted(rows: DataFrame, path: str, mode: str, partitions: Sequence[str]) -> None:
+    sorted_rows = rows.sortWithinPartitions(*partitions, *BUSINESS_KEY)
+    sorted_rows.write.mode(mode).option("compression", "snappy").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*partitions).parquet(path)
+
+
 def write_curated(
     quotes: DataFrame,
     path: str,
@@ -132,12 +145,32 @@ def write_curated(
 
     Mode ``overwrite`` replaces the partitions the rows fall into, no others.
     """
-    rows = _by_partition(quotes, PARTITION_COLUMNS).sortWithinPartitions(
-        *partitions, *BUSINESS_KEY
-    )
-    rows.write.mode(mode).option("compression", "snappy").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*partitions).parquet(path)
+    _write_sorted(_by_partition(quotes, PARTITION_COLUMNS), path, mode, partitions)
+
+
+def write_branches(
+    rows: DataFrame,
+    path: str,
+    partitions: Sequence[str] = PARTITION_COLUMNS,
+    above: Sequence[str] = (),
+) -> None:
+    """Write both branches of a split run in one job, parted by ``branch`` and day.
+
+    Partition columns ``above`` stand before these. Replaces the partitions the
+    rows fall into, no others.
+    """
+    parted = [*above, "branch", *partitions]
+    _write_sorted(_by_partition(rows, parted), path, "overwrite", parted)
+
+
+def publish_run(rows: DataFrame, path: str, run_id: str) -> None:
+    """Write a run's rows, already laid out by day, as the run's own partitions of a table.
+
+    The run again replaces what it wrote. Files are rewritten as they are read,
+    without a shuffle.
+    """
+    partitions = [*PARTITION_COLUMNS, "run_id"]
+    _write_sorted(rows.withColumn("run_id", F.lit(run_id)), path, "overwrite", partitions)
 
 
 def write_rejected(rows: DataFrame, path: str, mode: str = "append") -> None:

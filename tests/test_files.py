@@ -146,8 +146,9 @@ def test_curation_job_writes_both_outputs(spark, tmp_path):
     changes = [{}, {"price": "300"}, {"symbol": " "}, {"market_timestamp": "2025-03-03"}]
     result, out, rejected = curation(spark, tmp_path, *changes)
     assert result.curated_written and result.rejected_written
-    assert folders(out) == {"year=2025/month=03/day=03", "year=2025/month=03/day=04"}
-    assert folders(rejected) == {"year=2025/month=03/day=06"}
+    run = "run_id=20250306T080000Z"
+    assert folders(out) == {f"year=2025/month=03/day=03/{run}", f"year=2025/month=03/day=04/{run}"}
+    assert folders(rejected) == {f"year=2025/month=03/day=06/{run}"}
     assert all(".snappy." in f.name for f in Path(out).rglob("part-*.parquet"))
     assert sorted(r["price"] for r in files.scan_curated(spark, out).collect()) == [64.25, 300.0]
     row = files.scan_rejected(spark, rejected).first()
@@ -155,6 +156,67 @@ def test_curation_job_writes_both_outputs(spark, tmp_path):
     assert row["source_file"].startswith("file:") and row["month"] == "03"
 
 
+def test_curation_job_run_twice_leaves_one_copy(spark, tmp_path):
+    changes = [{}, {"price": "300"}, {"symbol": " "}, {"market_timestamp": "2025-03-03"}]
+    _, out, rejected = curation(spark, tmp_path, *changes)
+    again = curate(spark, str(tmp_path / "standardized"), out, rejected, datetime(2025, 3, 6, 8))
+    assert again.curated_written and again.rejected_written
+    assert files.scan_curated(spark, out).count() == 2
+    assert files.scan_rejected(spark, rejected).count() == 1
+    curate(spark, str(tmp_path / "standardized"), out, rejected, datetime(2025, 3, 6, 9))
+    assert files.scan_curated(spark, out).count() == 4
+    catalog.register_table(spark, "run_zone", out, CURATED)
+    try:
+        assert spark.table("run_zone").count() == 4
+    finally:
+        spark.sql("DROP TABLE run_zone")
+
+
+def counting(spark, rows):
+    """The rows with a counter of how often one of them is read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(count, rows.schema), seen
+
+
+@pytest.mark.parametrize("job", ["curate", "ingest"])
+def test_jobs_read_their_source_once(spark, tmp_path, job):
+    if job == "curate":
+        changes = [{"symbol": f"S{i}", "price": "0" if i % 5 == 0 else "7"} for i in range(50)]
+        rows, seen = counting(spark, standardized(spark, *changes))
+        out, rejected = str(tmp_path / "curated"), str(tmp_path / "rejected")
+        curate(spark, rows, out, rejected, RUN_TIME)
+        assert files.scan_curated(spark, out).count() == 40
+        assert files.scan_rejected(spark, rejected).count() == 10
+    else:
+        texts = [response(symbol=f"S{i}", close="x" if i % 5 == 0 else "64.25") for i in range(50)]
+        rows, seen = counting(spark, responses(spark, *texts).drop("run_timestamp"))
+        raw, standard = str(tmp_path / "raw"), str(tmp_path / "standard")
+        result = run_ingestion(
+            rows, RUN_TIME, lambda f: files.write_raw(f, raw) or raw, lambda f: files.write_standardized(f, standard) or standard
+        )
+        assert result.failures.count() == 10 and result.successful_count == 40
+        assert Path(result.stored_run.removeprefix("file:")).exists()
+        result.close()
+        assert not Path(result.stored_run.removeprefix("file:")).exists()
+    assert seen.value == 50
+
+
+def test_jobs_leave_the_sessions_sizes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quotewright.session.PARTITION_BYTES", 10)
+    spark.conf.set(INITIAL_PARTITIONS, "7")
+    try:
+        curate(spark, standardized(spark, {}), str(tmp_path / "c"), str(tmp_path / "r"), RUN_TIME)
+        assert spark.conf.get(INITIAL_PARTITIONS) == "7"
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+
+
 def test_curation_job_skips_empty_outputs(spark, tmp_path):
     result, out, rejected = curation(spark, tmp_path, {})
     assert (result.curated_written, result.rejected_written) == (True, False)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quotewright.operators.curate import assess, curated_quotes, rejected_quotes
 from quotewright.schemas import CURATED, QUOTE_COLUMNS
 from quotewright.sources import files
-from quotewright.streaming import incremental
+from quotewright.streaming import incremental, segments
 from tests.builders import plan_of, standardized
 
 RUN_TIME = datetime(2025, 3, 6, 8)
@@ -24,7 +24,7 @@ class Zone:
     def arrive(self, rows):
         rows.coalesce(1).write.mode("append").json(self.path["standardized"])
 
-    def run(self, max_files=incremental.FILES_PER_BATCH, checkpoint="checkpoint"):
+    def run(self, max_files=incremental.FILES_PER_BATCH, checkpoint="checkpoint", open_days=None):
         p = self.path
         incremental.run_incremental(
             self.spark,
@@ -35,6 +35,7 @@ class Zone:
             p.get(checkpoint, checkpoint),
             RUN_TIME,
             max_files,
+            open_days,
         )
 
     def curated(self):
@@ -117,8 +118,8 @@ def test_a_crash_while_publishing_loses_nothing(spark, tmp_path, monkeypatch):
     zone.run()
     assert [r["price"] for r in zone.curated()] == [30.0]
     assert zone.rejected() == 1
-    log = spark.read.schema(CURATED).parquet(zone.path["log"])
-    assert log.count() == 2
+    known = segments.segments(spark, zone.path["log"])
+    assert [part.rows for part in segments.live_segments(known)] == [2]
 
 
 def test_a_new_checkpoint_keeps_the_old_log(spark, tmp_path):
@@ -141,12 +142,12 @@ def test_only_touched_days_of_the_log_are_read(spark, tmp_path):
     zone.arrive(rows)
     zone.run()
     assert zone.curated() == sorted(curated_quotes(rows).collect(), key=str)
-    log = spark.read.schema(incremental.LOG).parquet(zone.path["log"])
-    days = log.select("year", "month", "day").distinct()
-    one = days.orderBy("year", "month", "day").limit(1)
-    read = incremental.log_rows(spark, zone.path["log"], one)
+    known = segments.segments(spark, zone.path["log"])
+    one = [part for part in known if part.date == known[0].date]
+    read = segments.log_rows(spark, zone.path["log"], one)
     assert "dynamicpruning" in plan_of(read)
-    assert read.count() == log.join(one, ["year", "month", "day"]).count()
+    assert len({part.date for part in known}) == 5
+    assert read.count() == sum(part.rows for part in one)
 
 
 def test_source_file_of_rejected_rows(spark, tmp_path):
@@ -156,3 +157,95 @@ def test_source_file_of_rejected_rows(spark, tmp_path):
     rejected = files.scan_rejected(spark, zone.path["rejected"])
     assert rejected.filter(F.col("source_file").endswith(".json")).count() == 1
     assert set(QUOTE_COLUMNS) < set(rejected.columns)
+
+
+# Steps and whether the crash comes after them or before.
+STEPS = (
+    ("write_segment", True), ("segment_rejected", False), ("commit_segment", True), ("merge", False),
+    ("merge", True), ("clear_replaced", True), ("fold_ledgers", True), ("commit_published", False),
+)
+
+
+def test_a_crash_at_any_step_is_repaired_by_running_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "FOLD_COMMITS", 3)
+    rows, _ = samples(spark, 5, rows=80)
+    collected = rows.collect()
+    zone = Zone(spark, tmp_path)
+    for i, (step, after) in enumerate(STEPS):
+        zone.arrive(spark.createDataFrame(collected[i :: len(STEPS)], rows.schema))
+        own = getattr(segments, step)
+
+        def crash(*args, own=own, after=after):
+            if after:
+                own(*args)
+            raise RuntimeError("lost")
+
+        with monkeypatch.context() as patch:
+            patch.setattr(segments, step, crash)
+            with pytest.raises(Exception, match="lost"):
+                zone.run()
+        zone.run()
+    assert zone.curated() == sorted(curated_quotes(rows).collect(), key=str)
+    assert zone.rejected() == rejected_quotes(assess(rows), RUN_TIME).count()
+
+
+def test_79_batches_of_a_day_read_each_row_a_few_times():
+    """The rule of merges alone: rows read by all merges, and segments left."""
+    live, read, most = [], 0, 0
+    for batch in range(79):
+        live.append(segments.Segment("2026", "07", "01", f"b{batch}", batch, batch, 100))
+        for new, parts in segments.due_merges(live).items():
+            read += sum(part.rows for part in parts)
+            live = segments.live_segments([*live, new])
+        most = max(most, len(live))
+    assert sum(part.rows for part in live) == 7900
+    assert read <= 7 * 7900 and most <= 7
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_merges_of_any_sizes(seed):
+    rng = random.Random(seed)
+    known, read, total = [], 0, 0
+    for batch in range(200):
+        rows = rng.choice([1, 3, 50, 1000, 40_000])
+        total += rows
+        known.append(segments.Segment("2026", "07", "01", f"b{batch}", batch, batch, rows))
+        for new, parts in segments.due_merges(segments.live_segments(known)).items():
+            read += sum(part.rows for part in parts)
+            known.append(new)
+        live = segments.live_segments(known)
+        assert sum(part.rows for part in live) == total
+        assert [part.low for part in live] == [0, *(part.high + 1 for part in live[:-1])]
+    assert read <= total * (2 + total.bit_length())
+    assert len(live) <= 1 + total.bit_length()
+
+
+def test_open_days_are_merged_on_reading(spark, tmp_path):
+    rows, rng = samples(spark, 9)
+    zone = Zone(spark, tmp_path)
+    collected = rows.collect()
+    expected = sorted(curated_quotes(rows).collect(), key=str)
+    for i in range(4):
+        zone.arrive(spark.createDataFrame(collected[i::4], rows.schema))
+        zone.run(open_days=2)
+    state = incremental.scan_current(spark, zone.path["log"], zone.path["curated"])
+    assert sorted(state.collect(), key=str) == expected
+    closed = [row for row in expected if row["day"] <= "03"]
+    assert zone.curated() == closed
+    zone.run()
+    assert zone.curated() == expected
+    state = incremental.scan_current(spark, zone.path["log"], zone.path["curated"])
+    assert sorted(state.collect(), key=str) == expected
+
+
+def test_replaced_segments_and_old_commits_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "FOLD_COMMITS", 2)
+    zone = Zone(spark, tmp_path)
+    for i in range(6):
+        zone.arrive(standardized(spark, {"symbol": f"S{i}"}))
+        zone.run()
+    assert len(zone.curated()) == 6
+    held = {f.parent for f in (tmp_path / "log" / "rows").rglob("part-*.parquet")}
+    assert len(held) <= 5
+    # Two that need no fold, the two of the last batch, and the empty first one.
+    assert len(list((tmp_path / "log" / "ledger").glob("commit=*"))) <= 5
