@@ -90,3 +90,7 @@ REJECTED = T.StructType(
 )
 # Both branches of a curation run in one table; a valid row has no reason.
 BRANCHES = T.StructType([*REJECTED.fields, T.StructField("branch", T.StringType())])
+# A table that runs of the curation job write to: their id is its last partition.
+RUN_PARTITIONS = (*PARTITION_COLUMNS, "run_id")
+CURATED_RUNS = T.StructType([*CURATED.fields, T.StructField("run_id", T.StringType())])
+REJECTED_RUNS = T.StructType([*REJECTED.fields, T.StructField("run_id", T.StringType())])

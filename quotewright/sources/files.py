@@ -22,6 +22,7 @@ from ..schemas import (
     PARTITION_COLUMNS,
     QUOTE_COLUMNS,
     REJECTED,
+    RUN_PARTITIONS,
     STANDARDIZED,
 )
 
@@ -169,8 +170,7 @@ def publish_run(rows: DataFrame, path: str, run_id: str) -> None:
     The run again replaces what it wrote. Files are rewritten as they are read,
     without a shuffle.
     """
-    partitions = [*PARTITION_COLUMNS, "run_id"]
-    _write_sorted(rows.withColumn("run_id", F.lit(run_id)), path, "overwrite", partitions)
+    _write_sorted(rows.withColumn("run_id", F.lit(run_id)), path, "overwrite", RUN_PARTITIONS)
 
 
 def write_rejected(rows: DataFrame, path: str, mode: str = "append") -> None:

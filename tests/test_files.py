@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from quotewright.operators import standardize as st
 from quotewright.plans.jobs import curate, replay, replay_zone, run_ingestion
 from quotewright.plans.reports import write_reports
-from quotewright.schemas import CURATED, DEFAULT_WATCHLIST, QUOTE_COLUMNS, STANDARDIZED
+from quotewright.schemas import CURATED, CURATED_RUNS, RUN_PARTITIONS, DEFAULT_WATCHLIST, QUOTE_COLUMNS, STANDARDIZED
 from quotewright.session import INITIAL_PARTITIONS, PARTITION_BYTES, configure, shared_dir, sized
 from quotewright.sources import catalog, files
 from quotewright.streaming.incremental import run_incremental
@@ -165,7 +165,7 @@ def test_curation_job_run_twice_leaves_one_copy(spark, tmp_path):
     assert files.scan_rejected(spark, rejected).count() == 1
     curate(spark, str(tmp_path / "standardized"), out, rejected, datetime(2025, 3, 6, 9))
     assert files.scan_curated(spark, out).count() == 4
-    catalog.register_table(spark, "run_zone", out, CURATED)
+    catalog.register_table(spark, "run_zone", out, CURATED_RUNS, partitions=RUN_PARTITIONS)
     try:
         assert spark.table("run_zone").count() == 4
     finally:
