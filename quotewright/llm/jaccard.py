@@ -1,12 +1,15 @@
 """Exact Jaccard join of word shingles by a token-group matrix.
 
-Texts with equal shingle sets are one node. Near copies are gathered first:
-nodes that share a min-hash are checked against the most central of them, and
-the verified links make groups of similar documents. What links groups is then
-found exactly. A prefix of each set, its tokens that are rarest in the corpus,
-meets the prefixes of other groups; a group keeps the union of its members'
-tokens with a mask of members per token, a query is bounded against the union,
-and only groups that pass are opened.
+Texts of equal words are one node. A node links with another only if
+three quarters of its tokens are found in other nodes too; those found in no
+other are counted by an exchange of sorted tokens, and only the nodes that pass,
+the candidates, go on. Near copies among them are gathered first: nodes that
+share a min-hash are checked against the most central of them, and the verified
+links make groups of similar documents. What links groups is then found exactly:
+only tokens of several groups count, a prefix of each set by their order meets
+the prefixes of other groups, a group keeps the union of its members' tokens
+with a mask of members per token, a query is bounded against the union, and only
+groups that pass are opened.
 
 A pair of the threshold t shares a token of both prefixes of n − ⌈tn⌉ + 1
 tokens, whatever the order of tokens is, as long as it is one order. Pairs
@@ -16,35 +19,48 @@ inside a group are linked already. So every link between groups is found.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from quotewright.llm.common import WORD, forget, row_key, settle, spare_names
+from quotewright.llm.dedup import golomb_decode, golomb_encode, owner_start
 
 SHINGLE, PERCENT = 5, 75
-KEYS = 6
+# Min-hashes of a round, and rounds of gathering near copies.
+KEYS, ROUNDS = 6, 3
 # Members a group has on average. A token's mask has a bit for each; the few
 # groups with more members than bits have several rows.
 MEMBERS = 16
-# The sketch of token counts: rows, counters in a row, parts it is sent in. It
-# has this size however large the corpus is and decides the order of tokens only.
-SKETCH_ROWS, SKETCH_BITS, SKETCH_PARTS = 2, 20, 64
+# Tokens a task sends together, tokens of an owner on average, queries of a group that go together.
+CHUNK_TOKENS, OWNER_TOKENS, PACK = 1 << 21, 1 << 22, 1000
+FEWEST_OWNERS = 24
+# Bits of a token in the exchange; two tokens of 2**20 times as many others meet by chance.
+TOKEN_BITS = 62
 # Bits of the filter that says which texts are needed again.
 FILTER_BITS = 24
+# Bits of the filter that says which tokens several groups have.
+TOKEN_FILTER_BITS = 26
 CACHE_WORDS = 300_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.array(
-    [0x9E3779B97F4A7C15 * (2 * i + 1) + 2 * i & 0xFFFFFFFFFFFFFFFF | 1 for i in range(1, KEYS + 1)],
+    [0x9E3779B97F4A7C15 * (2 * i + 1) + 2 * i & 0xFFFFFFFFFFFFFFFF | 1 for i in range(1, KEYS * ROUNDS + 1)],
     dtype=np.uint64,
 )
 
 
+def words_of(text: pa.Scalar) -> list[bytes]:
+    """The words of a text, A-Z in lower case."""
+    return (text.as_py() or b"").lower().split()  # ASCII only, both
+
+
 class Shingles:
     """Distinct shingles of texts as sorted 64-bit hashes.
 
@@ -57,8 +73,7 @@ class Shingles:
         self.size = size
         self.known: dict[bytes, int] = {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # ASCII only, both
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         if not words:
             return np.zeros(0, dtype=np.uint64)
         if len(self.known) > CACHE_WORDS:
@@ -77,104 +92,47 @@ class Shingles:
         return np.unique(out ^ (out >> np.uint64(29)))
 
 
-def _digest(tokens: np.ndarray) -> bytes | None:
-    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
-
-
-def _counters(tokens: np.ndarray) -> list[np.ndarray]:
-    """The counter of each token in each row of the sketch."""
-    shift = np.uint64(64 - SKETCH_BITS)
-    return [((tokens * ODD[row]) >> shift).astype(np.int64) for row in range(SKETCH_ROWS)]
-
-
-def _pack(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<u4").tobytes(), 1)
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), dtype="<u4")
+def _digest(words: list[bytes]) -> bytes | None:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
 
 
 def _arrow(schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-MEASURED = "doc_id long, text_hash long, n long, digest binary, keys array<long>, part int, counts binary"
+def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, field.type) for c, field in zip(columns, schema)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _measured(rows: DataFrame, size: int) -> DataFrame:
-    """Set size, digest and min-hashes of every text; at its end a task adds its sketch."""
-    kinds = _arrow(MEASURED)
+def _digests(rows: DataFrame) -> DataFrame:
+    """doc_id, text_hash, the digest of the words of every text and how many there are."""
+    kinds = _arrow("doc_id long, text_hash long, digest binary, words long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(size)
-        counts = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), dtype=np.uint32)
         for batch in batches:
-            sizes, digests, keys = [], [], []
-            for text in batch["text"].to_pylist():
-                tokens = shingles(text)
-                sizes.append(len(tokens))
-                digests.append(_digest(tokens))
-                keys.append([int((tokens * odd).min().view(np.int64)) for odd in ODD] if len(tokens) else None)
-                for row, counters in enumerate(_counters(tokens)):
-                    np.add.at(counts[row], counters, 1)
-            empty = pa.nulls(batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
-                + [pa.array(keys, pa.list_(pa.int64())), empty.cast(pa.int32()), empty.cast(pa.binary())],
-                schema=kinds,
-            )
-        if counts.any():
-            parts = counts.reshape(SKETCH_PARTS, -1)
-            none = pa.nulls(SKETCH_PARTS)
-            yield pa.RecordBatch.from_arrays(
-                [none.cast(kinds.field(i).type) for i in range(5)]
-                + [pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([_pack(part) for part in parts], pa.binary())],
-                schema=kinds,
-            )
-
-    return rows.mapInArrow(run, MEASURED)
-
-
-def _sketch(measured: DataFrame) -> np.ndarray:
-    """The sketches of all tasks added up, in two steps so that no task gets them all."""
-
-    def add(table: pa.Table) -> pa.Table:
-        total = None
-        for data in table["counts"]:
-            own = _unpack(data.as_py()).astype(np.uint64)
-            total = own if total is None else total + own
-        total = np.minimum(total, np.iinfo(np.uint32).max)
-        return pa.table({"part": table["part"][:1], "counts": pa.array([_pack(total)], pa.binary())})
-
-    parts = measured.filter(F.col("part").isNotNull()).select("part", "counts")
-    dealt = parts.withColumn("some", F.pmod(F.monotonically_increasing_id() / SKETCH_PARTS, F.lit(32)).cast("int"))
-    once = dealt.groupBy("part", "some").applyInArrow(
-        lambda table: add(table.select(["part", "counts"])), "part int, counts binary"
-    )
-    found = {row["part"]: row["counts"] for row in once.groupBy("part").applyInArrow(add, "part int, counts binary").collect()}
-    size = (SKETCH_ROWS << SKETCH_BITS) // SKETCH_PARTS
-    none = np.zeros(size, dtype=np.uint32)
-    parts = [_unpack(bytes(found[i])) if i in found else none for i in range(SKETCH_PARTS)]
-    return np.concatenate(parts).reshape(SKETCH_ROWS, -1)
+            found, counts = [], []
+            for words in map(words_of, batch["text"].cast(pa.binary())):
+                found.append(_digest(words))
+                counts.append(len(words))
+            yield _batch(kinds, batch["doc_id"], batch["text_hash"], found, counts)
+
+    return rows.mapInArrow(run, "doc_id long, text_hash long, digest binary, words long")
 
 
-def _bit(column: Column) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS)) + 1
+def _bit(column: Column, bits: int = FILTER_BITS) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << bits)) + 1
 
 
-def _filter(first_ids: DataFrame) -> np.ndarray:
-    """A bit per hash of the ids; of the same size for any number of them."""
-    bit = _bit(F.col("first_id"))
+def _filter(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bit per hash of the values of one column; of the same size for any number of them."""
+    bit = _bit(F.col(values.columns[0]), bits)
     rows = (
-        first_ids.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+        values.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
         .collect()
     )
-    out = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    out = np.zeros((1 << bits) // 8, dtype=np.uint8)
     width = 32768 // 8
     for row in rows:
         start = (row["bucket"] - 1) * width
@@ -182,31 +140,150 @@ def _filter(first_ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets(rows: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """node and tokens of the needed nodes (node, digest, first_id), from their texts.
+def _needed_texts(rows: DataFrame, first_ids: DataFrame):
+    """A reader of the rows whose texts a filter of ids knows: batches of words.
 
-    Texts that the filter does not know are not read by Python; what it lets
-    through by chance the join takes away. Copies of a set are put together in
-    each task before the shuffle.
+    Texts that the filter does not know are not read by Python.
     """
-    given = rows.sparkSession.sparkContext.broadcast(_filter(needed))
-    kinds = pa.schema([("digest", pa.binary()), ("tokens", pa.binary())])
+    given = rows.sparkSession.sparkContext.broadcast(_filter(first_ids.select("first_id")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(size)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
         for batch in batches:
             bits = batch["bit"].to_numpy() - 1
             wanted = (given.value[bits >> 3] >> (bits & 7)) & 1
-            own = [shingles(text) for text in batch["text"].filter(pa.array(wanted.astype(bool))).to_pylist()]
-            own = [tokens for tokens in own if len(tokens)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(map(_digest, own), pa.binary()), pa.array([t.tobytes() for t in own], pa.binary())],
-                schema=kinds,
-            )
+            texts = batch["text"].filter(pa.array(wanted.astype(bool))).cast(pa.binary())
+            yield [words for words in map(words_of, texts) if words]
 
-    texts = rows.select(_bit(F.col("doc_id")).alias("bit"), "text").mapInArrow(run, "digest binary, tokens binary")
-    distinct = texts.groupBy("digest").agg(F.first("tokens").alias("tokens"))
-    return distinct.join(needed.select("node", "digest"), "digest").select("node", "tokens")
+    return rows.select(_bit(F.col("doc_id")).alias("bit"), "text"), read
+
+
+# --- candidates: nodes with enough tokens that others have too -----------------
+
+MESSAGE = (
+    "sender long, owner int, count int, rice int, highs binary, lows binary, holders binary, "
+    "digests binary, sizes binary, found binary"
+)
+SEVERAL = np.uint32(0xFFFFFFFF)
+
+
+def _token_messages(rows: DataFrame, first_ids: DataFrame, size: int, owners: int) -> DataFrame:
+    """Each task's tokens, sorted and Golomb-coded, to their owners, with who holds each.
+
+    A token that several nodes of a task hold is sent once, without a holder:
+    the task has counted it for them. At the end of a chunk comes its list of
+    nodes with their sizes and those counts.
+    """
+    kinds = _arrow(MESSAGE)
+    starts = [owner_start(owner, owners, TOKEN_BITS) for owner in range(owners + 1)]
+    texts, read = _needed_texts(rows, first_ids)
+
+    def chunk(held: dict[bytes, np.ndarray], sender: int) -> pa.RecordBatch:
+        sizes = np.array([len(tokens) for tokens in held.values()], dtype="<u4")
+        holders = np.repeat(np.arange(len(held), dtype=np.uint32), sizes)
+        tokens = np.concatenate(list(held.values())) >> np.uint64(64 - TOKEN_BITS)
+        order = np.argsort(tokens, kind="stable")
+        tokens, holders = tokens[order].view(np.int64), holders[order]
+        new = np.ones(len(tokens), dtype=bool)
+        new[1:] = tokens[1:] != tokens[:-1]
+        firsts = np.flatnonzero(new)
+        several = np.diff(firsts, append=len(tokens)) > 1
+        found = np.bincount(holders[np.repeat(several, np.diff(firsts, append=len(tokens)))], minlength=len(held))
+        own, who = tokens[firsts], np.where(several, SEVERAL, holders[firsts]).astype("<u4")
+        cuts = np.searchsorted(own, starts)
+        columns: list[list] = [[] for _ in kinds]
+        for owner in np.flatnonzero(np.diff(cuts)):
+            low, high = cuts[owner], cuts[owner + 1]
+            code = golomb_encode(own[low:high], starts[owner], starts[owner + 1] - starts[owner])
+            small = who[low:high].astype("<u2") if len(held) < 0xFFFF else who[low:high]
+            row = (sender, int(owner), int(high - low), *code, small.tobytes(), None, None, None)
+            for column, value in zip(columns, row):
+                column.append(value)
+        last = (sender, -1, len(held), 0, None, None, None, b"".join(held), sizes.tobytes(), found.astype("<u4").tobytes())
+        for column, value in zip(columns, last):
+            column.append(value)
+        return _batch(kinds, *columns)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(size)
+        sender, held, total = TaskContext.get().partitionId() << 32, {}, 0
+        for texts in read(batches):
+            for words in texts:
+                digest = _digest(words)
+                if digest not in held:
+                    held[digest] = shingles(words)
+                    total += len(held[digest])
+                    if total >= CHUNK_TOKENS:
+                        yield chunk(held, sender)
+                        sender, held, total = sender + 1, {}, 0
+        if held:
+            yield chunk(held, sender)
+
+    return texts.mapInArrow(send, MESSAGE)
+
+
+def _token_replies(messages: DataFrame, owners: int) -> DataFrame:
+    """For each message the holders of tokens that other messages have too, and how many of them."""
+    schema = "sender long, holders binary, found binary"
+    kinds = _arrow(schema)
+
+    def answer(table: pa.Table) -> pa.Table:
+        low = owner_start(table["owner"][0].as_py(), owners, TOKEN_BITS)
+        sent, who = [], []
+        for row in table.to_pylist():
+            sent.append(golomb_decode(row["count"], row["rice"], row["highs"], row["lows"], low))
+            wide = len(row["holders"]) == 4 * row["count"]
+            holders = np.frombuffer(row["holders"], dtype="<u4" if wide else "<u2").astype(np.uint32)
+            who.append(np.where(holders == (SEVERAL if wide else 0xFFFF), SEVERAL, holders))
+        _, place, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+        parts = np.split(counts[place] > 1, np.cumsum([len(x) for x in sent])[:-1])
+        holders, found = [], []
+        for own, marks in zip(who, parts):
+            ids, counts = np.unique(own[marks & (own != SEVERAL)], return_counts=True)
+            holders.append(ids.astype("<u4").tobytes())
+            found.append(counts.astype("<u4").tobytes())
+        return pa.table([table["sender"], pa.array(holders, pa.binary()), pa.array(found, pa.binary())], schema=kinds)
+
+    asked = messages.filter("owner >= 0").select("sender", "owner", "count", "rice", "highs", "lows", "holders")
+    return asked.groupBy("owner").applyInArrow(answer, schema)
+
+
+def _token_counts(messages: DataFrame, replies: DataFrame) -> DataFrame:
+    """digest, n (tokens) and common (tokens that other nodes have too) of each node sent."""
+    schema = "digest binary, n long, common long"
+    kinds = _arrow(schema)
+
+    def add(lists: pa.Table, answers: pa.Table) -> pa.Table:
+        digests, sizes, found = [], [], []
+        for row in lists.to_pylist():
+            own = np.frombuffer(row["found"], dtype="<u4").astype(np.int64)
+            for part in answers.to_pylist():
+                own[np.frombuffer(part["holders"], dtype="<u4")] += np.frombuffer(part["found"], dtype="<u4")
+            digests += [row["digests"][16 * i : 16 * i + 16] for i in range(row["count"])]
+            sizes.append(np.frombuffer(row["sizes"], dtype="<u4").astype(np.int64))
+            found.append(own)
+        columns = [pa.array(digests, pa.binary()), np.concatenate(sizes), np.concatenate(found)] if digests else [[], [], []]
+        return pa.table(columns, schema=kinds)
+
+    lists = messages.filter("owner < 0").select("sender", "count", "digests", "sizes", "found")
+    counted = lists.groupBy("sender").cogroup(replies.groupBy("sender")).applyInArrow(add, schema)
+    # What the filter lets through by chance may be sent twice.
+    return counted.groupBy("digest").agg(F.max("n").alias("n"), F.max("common").alias("common"))
+
+
+def _sets(rows: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """node, n and tokens of the needed nodes (node, digest, first_id), from their texts."""
+    kinds = _arrow("digest binary, tokens binary")
+    texts, read = _needed_texts(rows, needed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(size)
+        for lists in read(batches):
+            yield _batch(kinds, [_digest(words) for words in lists], [shingles(words).tobytes() for words in lists])
+
+    found = texts.mapInArrow(run, "digest binary, tokens binary")
+    # Copies of a set are put together in each task before the shuffle.
+    distinct = found.groupBy("digest").agg(F.first("tokens").alias("tokens"))
+    return distinct.join(needed.select("node", "digest", "n"), "digest").select("node", "n", "tokens")
 
 
 def _tokens(value) -> np.ndarray:
@@ -221,31 +298,57 @@ def linked(shared, first, second, percent: int = PERCENT):
 # --- groups of near copies ----------------------------------------------------
 
 
-def _pivots(classes: DataFrame, percent: int) -> DataFrame:
+def _keys(sets: DataFrame, turn: int) -> DataFrame:
+    """node, n and the min-hashes of a round, a row each."""
+    kinds = _arrow("node long, n long, keys array<long>")
+    odd = ODD[turn * KEYS : (turn + 1) * KEYS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [[int((_tokens(value) * o).min().view(np.int64)) for o in odd] for value in batch["tokens"]]
+            yield _batch(kinds, batch["node"], batch["n"], keys)
+
+    keyed = sets.mapInArrow(run, "node long, n long, keys array<long>")
+    return keyed.select("node", "n", F.posexplode("keys").alias("slot", "key"))
+
+
+def _pivots(sets: DataFrame, roots: DataFrame | None, turn: int, percent: int) -> DataFrame:
     """(node, pivot): the most central of the nodes that share a min-hash with it.
 
     Central is who shares most min-hashes with others. A node has one pivot at
-    most, above it in that order, so links to pivots have no cycles.
+    most, above it in that order, so links to pivots have no cycles. Pairs that
+    are connected already are left out. Keys are counted in tables of their own,
+    so the joins with the nodes of a hot key can be split.
     """
-    keyed = classes.select("node", "n", F.posexplode("keys").alias("slot", "key"))
-    shared = keyed.groupBy("slot", "key").agg((F.count("*") - 1).alias("others")).filter("others > 0")
-    keyed = settle(keyed.join(shared, ["slot", "key"]), "shared-keys")
-    weights = keyed.groupBy("node").agg(F.sum("others").alias("weight"))
-    weighed = settle(keyed.join(weights, "node").select("slot", "key", "node", "n", "weight"), "weights")
-    tops = weighed.groupBy("slot", "key").agg(F.max(F.struct("weight", "node", "n")).alias("top"))
-    sizes = linked(F.least("n", "top.n"), F.col("n"), F.col("top.n"), percent)
-    return (
-        weighed.join(tops, ["slot", "key"])
-        .filter((F.col("top.node") != F.col("node")) & sizes)
-        .groupBy("node")
-        .agg(F.max("top").alias("top"))
-        .select("node", F.col("top.node").alias("pivot"))
+    keyed = settle(_keys(sets, turn), "keys")
+    shared = settle(
+        keyed.groupBy("slot", "key").agg((F.count("*") - 1).alias("others")).filter("others > 0"), "shared"
     )
+    met = settle(keyed.join(shared, ["slot", "key"]), "met")
+    weights = settle(met.groupBy("node").agg(F.sum("others").alias("weight")), "weights")
+    weighed = settle(met.join(weights, "node").select("slot", "key", "node", "n", "weight"), "weighed")
+    tops = settle(weighed.groupBy("slot", "key").agg(F.max(F.struct("weight", "node", "n")).alias("top")), "tops")
+    sizes = linked(F.least("n", "top.n"), F.col("n"), F.col("top.n"), percent)
+    pairs = weighed.join(tops, ["slot", "key"]).filter((F.col("top.node") != F.col("node")) & sizes).select("node", "top")
+    if roots is not None:
+        known = roots.select("node", "root")
+        far = known.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+        pairs = (
+            pairs.withColumn("pivot", F.col("top.node"))
+            .join(known, "node", "left")
+            .join(far, "pivot", "left")
+            .filter(F.coalesce("root", "node") != F.coalesce("pivot_root", "pivot"))
+        )
+    best = pairs.groupBy("node").agg(F.max("top").alias("top"))
+    result = settle(best.select("node", F.col("top.node").alias("pivot")), "pivots")
+    for frame in (keyed, shared, met, weights, weighed, tops):
+        forget(frame)
+    return result
 
 
 def _verified(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (node, pivot) pairs of the threshold or above."""
-    kinds = pa.schema([("node", pa.int64()), ("pivot", pa.int64())])
+    """The (a, b) pairs of the threshold or above."""
+    kinds = _arrow("a long, b long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,11 +357,30 @@ def _verified(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 a, b = _tokens(own), _tokens(other)
                 kept.append(linked(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent))
             mask = pa.array(kept, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["node"].filter(mask), batch["pivot"].filter(mask)], schema=kinds)
+            yield _batch(kinds, batch["node"].filter(mask), batch["pivot"].filter(mask))
 
     pivots = links.select(F.col("pivot").alias("node")).distinct()
-    others = sets.join(pivots, "node", "left_semi").withColumnsRenamed({"node": "pivot", "tokens": "others"})
-    return links.join(sets, "node").join(others, "pivot").mapInArrow(run, "node long, pivot long")
+    others = sets.join(pivots, "node", "left_semi").select(F.col("node").alias("pivot"), F.col("tokens").alias("others"))
+    own = links.join(sets.select("node", "tokens"), "node")
+    return own.join(others, "pivot").select("node", "pivot", "tokens", "others").mapInArrow(run, "a long, b long")
+
+
+def _gathered(sets: DataFrame, percent: int) -> DataFrame | None:
+    """(node, root) of near copies; rounds of other min-hashes as long as one links something."""
+    roots = None
+    for turn in range(ROUNDS):
+        links = _pivots(sets, roots, turn, percent)
+        inner = settle(_verified(links, sets, percent), "inner")
+        forget(links)
+        if inner.isEmpty():
+            break
+        edges = inner if roots is None else inner.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        new = connected(edges)
+        forget(inner)
+        if roots is not None:
+            forget(roots)
+        roots = new
+    return roots
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -276,162 +398,201 @@ def connected(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = settle(large, "large")
+        last = edges
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
         edges = settle(small.union(least.select("a", "m")).distinct(), "small")
+        forget(large)
+        forget(last)
         row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if (new := tuple(row)) == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return edges.withColumnsRenamed({"a": "node", "b": "root"})
         state = new
 
 
 # --- links between groups -----------------------------------------------------
 
 
-def _prefixes(rows: DataFrame, sketch: np.ndarray, size: int, percent: int) -> DataFrame:
-    """digest and the prefix of its set, a row per set."""
-    given = rows.sparkSession.sparkContext.broadcast(sketch)
-    kinds = pa.schema([("digest", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+def _listed(sets: DataFrame) -> DataFrame:
+    """The columns of a frame with its tokens, a row for each token."""
+    rest = [name for name in sets.columns if name != "tokens"]
+    schema = StructType([sets.schema[name] for name in rest]).add("tokens", ArrayType(LongType()))
+    kinds = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(size)
         for batch in batches:
-            digests, parts = [], []
-            for text in batch["text"].to_pylist():
-                tokens = shingles(text)
-                if len(tokens):
-                    counts = given.value[0][_counters(tokens)[0]]
-                    for row, counters in enumerate(_counters(tokens)[1:], 1):
-                        counts = np.minimum(counts, given.value[row][counters])
-                    length = len(tokens) - -(-percent * len(tokens) // 100) + 1
-                    parts.append(tokens[np.lexsort((tokens, counts))[:length]].view(np.int64))
-                    digests.append(_digest(tokens))
-            ends = pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32))
-            values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.ListArray.from_arrays(ends, values)], schema=kinds
-            )
-
-    found = rows.select("text").mapInArrow(run, "digest binary, prefix array<long>")
-    return found.groupBy("digest").agg(F.first("prefix").alias("prefix"))
-
-
-MASK_BITS = 64
-MATRIX_NAMES = ("group_no", "members", "sizes", "tokens", "masks")
-MATRIX = "group_no string, members array<long>, sizes array<long>, tokens binary, masks binary"
-
-
-def _matrix(members: DataFrame) -> DataFrame:
-    """A row per group of (group_no, node, tokens): the union of its tokens, each with a mask of members."""
-
-    kinds = _arrow(MATRIX)
-
-    def gather(table: pa.Table) -> pa.Table:
-        columns: dict[str, list] = {name: [] for name in MATRIX_NAMES}
-        for start in range(0, table.num_rows, MASK_BITS):
-            part = table.slice(start, MASK_BITS)
-            sets = [_tokens(value) for value in part["tokens"]]
-            union, place = np.unique(np.concatenate(sets), return_inverse=True)
-            masks = np.zeros(len(union), dtype="<u8")
-            bits = np.repeat(np.uint64(1) << np.arange(len(sets), dtype=np.uint64), [len(s) for s in sets])
-            np.bitwise_or.at(masks, place, bits)
-            row = (part["group_no"][0].as_py(), part["node"].to_pylist(), [len(s) for s in sets], union.tobytes(), masks.tobytes())
-            for name, value in zip(MATRIX_NAMES, row):
-                columns[name].append(value)
-        return pa.table(columns, schema=kinds)
+            values = [_tokens(value).view(np.int64) for value in batch["tokens"]]
+            ends = pa.array(np.cumsum([0, *map(len, values)]).astype(np.int32))
+            flat = pa.array(np.concatenate(values) if values else np.zeros(0, np.int64))
+            yield _batch(kinds, *(batch[name] for name in rest), pa.ListArray.from_arrays(ends, flat))
 
-    return members.groupBy("group_no").applyInArrow(gather, MATRIX)
+    return sets.mapInArrow(run, schema).select(*rest, F.explode("tokens").alias("token"))
 
 
-def _opened(candidates: DataFrame, sets: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links of query nodes with members of their candidate groups.
+def _contested(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of (node, root, n, tokens) the nodes with enough tokens of several roots, and these tokens.
 
-    A query shares at most its overlap with the union with any member; where
-    that is too little for the smallest member the group stays closed.
+    A link leaves a root only by tokens that another root has too. Nodes with
+    too few of them go; a filter of bounded size tells, so a few may stay by
+    chance. Without them tokens are contested no more, so that is done again as
+    long as half of the nodes go. ``sets`` is a settled frame, and deleted.
     """
-    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    left, count = sets, sets.count()
+    while True:
+        tokens = settle(
+            _listed(left.select("root", "tokens"))
+            .groupBy("token")
+            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .filter("low < high")
+            .select("token"),
+            "contested",
+        )
+        kept = settle(_with_enough(left, tokens, percent), "open-sets")
+        forget(left)
+        before, count, left = count, kept.count(), kept
+        if 2 * count > before or not count:
+            return left, tokens
+        forget(tokens)
+
+
+def _with_enough(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """The sets of which the percentage or more passes a filter of tokens."""
+    folded = tokens.select(F.pmod("token", F.lit(1 << TOKEN_FILTER_BITS)).alias("bit"))
+    place = F.col("bit") + 1
+    rows = (
+        folded.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()
+    )
+    marks = np.zeros((1 << TOKEN_FILTER_BITS) // 8, dtype=np.uint8)
+    for row in rows:
+        start = (row["bucket"] - 1) * 4096
+        marks[start : start + 4096] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    given = sets.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = np.uint64((1 << TOKEN_FILTER_BITS) - 1)
         for batch in batches:
-            first, second = [], []
-            for place in range(batch.num_rows):
-                own, union = _tokens(batch["own"][place]), _tokens(batch["tokens"][place])
+            kept = []
+            for value in batch["tokens"]:
+                bits = (_tokens(value) & low).astype(np.int64)
+                held = int(((given.value[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1).sum())
+                kept.append(100 * held >= percent * len(bits))
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return sets.mapInArrow(run, sets.schema)
+
+
+MASK_BITS = 64
+MATRIX_NAMES = ("members", "sizes", "tokens", "masks")
+
+
+def _matrix(members: pa.Table) -> list[tuple]:
+    """The union of the members' tokens, each with a mask of members; in parts of as many members as a mask has bits."""
+    out = []
+    for start in range(0, members.num_rows, MASK_BITS):
+        part = members.slice(start, MASK_BITS)
+        sets = [_tokens(value) for value in part["tokens"]]
+        union, place = np.unique(np.concatenate(sets), return_inverse=True)
+        masks = np.zeros(len(union), dtype="<u8")
+        bits = np.repeat(np.uint64(1) << np.arange(len(sets), dtype=np.uint64), [len(s) for s in sets])
+        np.bitwise_or.at(masks, place, bits)
+        out.append((part["node"].to_pylist(), np.array([len(s) for s in sets]), union, masks))
+    return out
+
+
+def _opened(asked: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of queries (group_no, part, node, tokens) with the members of their group.
+
+    The group's matrix is made once for all queries of a pack. A query shares
+    at most its overlap with the union with any member; where that is too
+    little for the smallest member the group stays closed.
+    """
+    kinds = _arrow("a long, b long")
+
+    def run(queries: pa.Table, group: pa.Table) -> pa.Table:
+        first, second = [], []
+        for ids, sizes, union, masks in _matrix(group) if queries.num_rows else ():
+            for node, value in zip(queries["node"].to_pylist(), queries["tokens"]):
+                own = _tokens(value)
                 at = np.searchsorted(union, own)
                 at = at[union[np.minimum(at, len(union) - 1)] == own]
-                sizes = np.array(batch["sizes"][place].as_py())
                 if not linked(len(at), len(own), sizes.min(), percent):
                     continue
-                masks = np.frombuffer(batch["masks"][place].as_buffer(), dtype="<u8")[at]
-                shared = np.array([((masks >> np.uint64(i)) & np.uint64(1)).sum() for i in range(len(sizes))]).astype(int)
+                held = masks[at]
+                shared = np.array([((held >> np.uint64(i)) & np.uint64(1)).sum() for i in range(len(sizes))]).astype(int)
                 for member in np.flatnonzero(linked(shared, len(own), sizes, percent)):
-                    first.append(batch["node"][place].as_py())
-                    second.append(batch["members"][place][int(member)].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], schema=kinds)
+                    first.append(node)
+                    second.append(ids[int(member)])
+        return pa.table([pa.array(first, pa.int64()), pa.array(second, pa.int64())], schema=kinds)
 
-    asked = candidates.join(sets.withColumnRenamed("tokens", "own"), "node")
-    return asked.join(matrix, "group_no").mapInArrow(run, "a long, b long")
+    keys = ["root", "part", "pack"]
+    return asked.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(run, "a long, b long")
 
 
-def _between(rows: DataFrame, classes: DataFrame, roots: DataFrame, sketch: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(a, b): all links between nodes of different groups of similar documents."""
-    known = classes.join(roots, "node", "left").select(
-        "digest", "node", "n", "first_id", F.coalesce("root", "node").alias("root")
+def _between(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all links between nodes of different roots, of (node, root, n, tokens)."""
+    left, contested = _contested(sets, percent)
+    held = _listed(left.select("node", "root", "n", "tokens")).join(contested, "token", "left_semi")
+    held = settle(held, "held")
+    # Tokens that the same nodes hold are one to the join: count and two sums of hashes name them.
+    classes = settle(
+        held.groupBy("token").agg(
+            F.count("*").alias("holders"),
+            F.bit_xor(F.xxhash64("node")).alias("first_sum"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("second_sum"),
+        ),
+        "token-classes",
     )
-    known = settle(known, "known")
-    tokens = (
-        _prefixes(rows, sketch, size, percent)
-        .join(known.select("digest", "node", "root"), "digest")
-        .select("node", "root", F.posexplode("prefix").alias("place", "token"))
+    ranked = held.join(classes, "token")
+    # Tokens of one root only come first in the order, then those of the fewest nodes.
+    order = Window.partitionBy("node").orderBy("holders", "first_sum", "second_sum", "token")
+    every = Window.partitionBy("node")
+    needed = F.ceil(percent * F.col("n") / F.lit(100))
+    prefix = (
+        ranked.withColumn("place", F.row_number().over(order))
+        .withColumn("open", F.count("*").over(every))
+        .filter(F.col("place") <= F.col("open") - needed + 1)
     )
-    same = Window.partitionBy("token")
-    contested = settle(
-        tokens.withColumn("low", F.min("root").over(same))
-        .withColumn("high", F.max("root").over(same))
-        .filter("low < high")
-        .select("token", "node", "root", "place"),
-        "contested",
+    parts = left.groupBy("root").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
+    dealt = settle(
+        left.join(parts, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts"), "dealt"
     )
-    parts = known.groupBy("root").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
-    grouped = known.join(parts, "root").select(
-        "node", "n", "digest", "first_id",
-        F.concat_ws(":", "root", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("group_no"),
-    )
+    named = ("holders", "first_sum", "second_sum")
     meeting = settle(
-        contested.join(grouped.select("node", "n", "group_no"), "node"), "meeting"
+        prefix.select("node", *named).distinct().join(dealt.select("node", "root", "part", "n"), "node"), "meeting"
     )
-    met = meeting.select("node", "group_no").distinct().groupBy("group_no").agg(F.count("*").alias("met"))
-    groups = meeting.groupBy("token", "root", "group_no").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max("place").alias("other_place")
+    groups = meeting.groupBy(*named, F.col("root").alias("other"), "part").agg(
+        F.min("n").alias("least"), F.max("n").alias("most")
     )
-    groups = groups.withColumnRenamed("root", "other")
-    # Up to the last token both prefixes share, a query and a lone member have so many tokens
-    # in the common order; what is not shared counts to their difference, which the
-    # threshold bounds by (100 - percent) / (100 + percent) of their sizes.
-    unshared = F.col("own_last") + F.col("other_last") + 2 - 2 * F.col("shared")
-    possible = (100 + percent) * unshared <= (100 - percent) * (F.col("n") + F.col("most"))
+    groups = settle(groups, "class-groups")
     near = (percent * F.col("least") <= 100 * F.col("n")) & (100 * F.col("most") >= percent * F.col("n"))
     candidates = settle(
-        meeting.select("token", "node", "root", "n", "place")
-        .join(groups, "token")
+        meeting.drop("part")
+        .join(groups, list(named))
         .filter((F.col("root") < F.col("other")) & near)
-        .groupBy("node", "group_no", "n")
-        .agg(
-            F.count("*").alias("shared"),
-            F.max("place").alias("own_last"),
-            F.max("other_place").alias("other_last"),
-            F.max("most").alias("most"),
-        )
-        .join(met, "group_no")
-        .filter((F.col("met") > 1) | possible)
-        .select("node", "group_no"),
+        .select("node", F.col("other").alias("root"), "part")
+        .distinct(),
         "candidates",
     )
-    opened = candidates.select("group_no").distinct()
-    members = meeting.select("node", "group_no").distinct().join(opened, "group_no", "left_semi")
-    needed = candidates.select("node").union(members.select("node")).distinct()
-    sets = settle(_sets(rows, known.join(needed, "node", "left_semi"), size), "sets")
-    matrix = settle(_matrix(members.join(sets, "node").select("group_no", "node", "tokens")), "matrix")
-    return _opened(candidates, sets, matrix, percent)
+    packs = candidates.groupBy("root", "part").agg(F.ceil(F.count("*") / PACK).alias("packs"))
+    packs = settle(packs, "packs")
+    asked = (
+        candidates.join(packs, ["root", "part"])
+        .withColumn("pack", F.pmod(F.xxhash64("node", F.lit(2)), F.col("packs")))
+        .join(dealt.select("node", "tokens"), "node")
+        .select("root", "part", "pack", "node", "tokens")
+    )
+    members = (
+        dealt.join(packs, ["root", "part"])
+        .withColumn("pack", F.explode(F.sequence(F.lit(0).cast("long"), F.col("packs") - 1)))
+        # Names of their own, for both sides of the cogroup come from one table.
+        .select(*(F.col(name).alias(name) for name in ("root", "part", "pack", "node", "tokens")))
+    )
+    outer = settle(_opened(asked, members, percent), "outer")
+    for frame in (left, contested, held, classes, dealt, meeting, groups, candidates, packs):
+        forget(frame)
+    return outer
 
 
 def jaccard_components(
@@ -491,30 +652,46 @@ def _components(documents: DataFrame, id_col: str, text_col: str, size: int, per
     rows = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")
     )
-    measured = settle(_measured(rows, size), "measured")
-    sketch = _sketch(measured)
-    texts = measured.filter(F.col("part").isNull())
+    texts = settle(_digests(rows), "digests")
     classes = settle(
-        texts.filter("n > 0")
+        texts.filter("digest is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        .agg(F.min("doc_id").alias("first_id"), F.max("words").alias("words")),
         "classes",
     )
-    links = settle(_pivots(classes, percent), "pivots")
-    needed = links.select("node").union(links.select("pivot")).distinct()
-    sets = settle(_sets(rows, classes.join(needed, "node", "left_semi"), size), "pivot-sets")
-    inner = settle(_verified(links, sets, percent).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "inner")
-    forget(sets)  # the links are settled
-    roots = connected(inner)
-    outer = settle(_between(rows, classes, roots, sketch, size, percent), "outer")
+    words = classes.agg(F.sum("words").alias("words")).first()["words"] or 0
+    owners = max(FEWEST_OWNERS, words // OWNER_TOKENS)
+    messages = settle(_token_messages(rows, classes, size, owners), "token-messages")
+    replies = _token_replies(messages, owners)
+    nodes = settle(
+        _token_counts(messages, replies)
+        .join(classes.drop("words"), "digest")
+        .withColumn("node", F.monotonically_increasing_id()),
+        "nodes",
+    )
+    forget(messages)
+    open_nodes = nodes.filter(100 * F.col("common") >= percent * F.col("n"))
+    sets = settle(_sets(rows, open_nodes, size), "sets")
+    inner = _gathered(sets, percent)
+    none = rows.sparkSession.createDataFrame([], "node long, root long")
+    known = none if inner is None else inner
+    rooted = sets.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Sets of a group lie together, so a task counts their tokens once; a large group is cut.
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), words // CHUNK_TOKENS)
+    rooted = settle(rooted.select("node", "root", "n", "tokens").repartitionByRange(parts, "root", "node"), "rooted")
+    forget(sets)
+    outer = _between(rooted, percent)
     # A link to the root stands for all links within a group.
-    roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(outer))
-    labelled = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = connected(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(outer))
+    forget(outer)
+    labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_digest = labelled.join(smallest, "root").select("digest", "component_id", "root")
+    by_digest = labelled.join(smallest, "root").select("digest", F.col("n").alias("n_shingles"), "component_id", "root")
     names = ("doc_id", "text_hash", "n_shingles", "component_id", "root")
-    texts = texts.withColumnRenamed("n", "n_shingles").drop("keys", "part", "counts")
-    full = texts.filter("n_shingles > 0").join(by_digest, "digest").select(*names)
-    empty = texts.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    return full.unionByName(empty.withColumn("root", F.lit(None).cast("long")).select(*names))
+    full = texts.filter("digest is not null").join(settle(by_digest, "by-digest"), "digest").select(*names)
+    empty = texts.filter("digest is null").select(
+        "doc_id", "text_hash", F.lit(0).cast("long").alias("n_shingles"),
+        F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"),
+    )
+    return full.unionByName(empty)
+

@@ -60,7 +60,7 @@ def test_chains_and_groups_larger_than_a_mask(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     check(frame)
     # Without groups of near copies all links are found between groups.
-    monkeypatch.setattr(jaccard, "_pivots", lambda classes, percent: spark.createDataFrame([], "node long, pivot long"))
+    monkeypatch.setattr(jaccard, "_pivots", lambda *args: spark.createDataFrame([], "node long, pivot long"))
     monkeypatch.setattr(jaccard, "MASK_BITS", 3)
     check(frame)
 
