@@ -40,10 +40,11 @@ KEYS, ROUNDS = 6, 3
 # groups with more members than bits have several rows.
 MEMBERS = 16
 # Tokens a task sends together, tokens of an owner on average, queries of a group that go together.
-CHUNK_TOKENS, OWNER_TOKENS, PACK = 1 << 21, 1 << 22, 1000
+CHUNK_TOKENS, OWNER_TOKENS, PACK = 1 << 20, 1 << 21, 1000
 FEWEST_OWNERS = 24
-# Bits of a token in the exchange; two tokens of 2**20 times as many others meet by chance.
-TOKEN_BITS = 62
+# Bits of a token in the exchange beyond those that number all tokens: one of 2**6
+# is taken for another one by chance. That lets a node through, and drops none.
+SPARE_BITS = 6
 # Bits of the filter that says which texts are needed again.
 FILTER_BITS = 24
 # Bits of the filter that says which tokens several groups have.
@@ -166,7 +167,7 @@ MESSAGE = (
 SEVERAL = np.uint32(0xFFFFFFFF)
 
 
-def _token_messages(rows: DataFrame, first_ids: DataFrame, size: int, owners: int) -> DataFrame:
+def _token_messages(rows: DataFrame, first_ids: DataFrame, size: int, owners: int, token_bits: int) -> DataFrame:
     """Each task's tokens, sorted and Golomb-coded, to their owners, with who holds each.
 
     A token that several nodes of a task hold is sent once, without a holder:
@@ -174,13 +175,13 @@ def _token_messages(rows: DataFrame, first_ids: DataFrame, size: int, owners: in
     nodes with their sizes and those counts.
     """
     kinds = _arrow(MESSAGE)
-    starts = [owner_start(owner, owners, TOKEN_BITS) for owner in range(owners + 1)]
+    starts = [owner_start(owner, owners, token_bits) for owner in range(owners + 1)]
     texts, read = _needed_texts(rows, first_ids)
 
     def chunk(held: dict[bytes, np.ndarray], sender: int) -> pa.RecordBatch:
         sizes = np.array([len(tokens) for tokens in held.values()], dtype="<u4")
         holders = np.repeat(np.arange(len(held), dtype=np.uint32), sizes)
-        tokens = np.concatenate(list(held.values())) >> np.uint64(64 - TOKEN_BITS)
+        tokens = np.concatenate(list(held.values())) >> np.uint64(64 - token_bits)
         order = np.argsort(tokens, kind="stable")
         tokens, holders = tokens[order].view(np.int64), holders[order]
         new = np.ones(len(tokens), dtype=bool)
@@ -221,24 +222,33 @@ def _token_messages(rows: DataFrame, first_ids: DataFrame, size: int, owners: in
     return texts.mapInArrow(send, MESSAGE)
 
 
-def _token_replies(messages: DataFrame, owners: int) -> DataFrame:
+def _token_replies(messages: DataFrame, owners: int, token_bits: int) -> DataFrame:
     """For each message the holders of tokens that other messages have too, and how many of them."""
     schema = "sender long, holders binary, found binary"
     kinds = _arrow(schema)
 
     def answer(table: pa.Table) -> pa.Table:
-        low = owner_start(table["owner"][0].as_py(), owners, TOKEN_BITS)
+        low = owner_start(table["owner"][0].as_py(), owners, token_bits)
         sent, who = [], []
-        for row in table.to_pylist():
-            sent.append(golomb_decode(row["count"], row["rice"], row["highs"], row["lows"], low))
-            wide = len(row["holders"]) == 4 * row["count"]
-            holders = np.frombuffer(row["holders"], dtype="<u4" if wide else "<u2").astype(np.uint32)
-            who.append(np.where(holders == (SEVERAL if wide else 0xFFFF), SEVERAL, holders))
-        _, place, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
-        parts = np.split(counts[place] > 1, np.cumsum([len(x) for x in sent])[:-1])
+        for place in range(table.num_rows):
+            code = (table[name][place].as_py() for name in ("count", "rice", "highs", "lows"))
+            sent.append(golomb_decode(*code, low))
+            held = table["holders"][place].as_buffer()
+            wide = held.size == 4 * len(sent[-1])
+            who.append((np.frombuffer(held, dtype="<u4" if wide else "<u2"), SEVERAL if wide else 0xFFFF))
+        ends = np.cumsum([len(values) for values in sent])[:-1]
+        tokens = np.concatenate(sent)
+        del sent
+        order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
+        twice = np.zeros(len(tokens), dtype=bool)
+        twice[1:] = tokens[1:] == tokens[:-1]
+        twice[:-1] |= twice[1:]
+        common = np.empty_like(twice)
+        common[order] = twice
         holders, found = [], []
-        for own, marks in zip(who, parts):
-            ids, counts = np.unique(own[marks & (own != SEVERAL)], return_counts=True)
+        for (own, several), marks in zip(who, np.split(common, ends)):
+            ids, counts = np.unique(own[marks & (own != several)], return_counts=True)
             holders.append(ids.astype("<u4").tobytes())
             found.append(counts.astype("<u4").tobytes())
         return pa.table([table["sender"], pa.array(holders, pa.binary()), pa.array(found, pa.binary())], schema=kinds)
@@ -661,8 +671,9 @@ def _components(documents: DataFrame, id_col: str, text_col: str, size: int, per
     )
     words = classes.agg(F.sum("words").alias("words")).first()["words"] or 0
     owners = max(FEWEST_OWNERS, words // OWNER_TOKENS)
-    messages = settle(_token_messages(rows, classes, size, owners), "token-messages")
-    replies = _token_replies(messages, owners)
+    token_bits = min(62, max(24, int(words).bit_length() + SPARE_BITS))
+    messages = settle(_token_messages(rows, classes, size, owners, token_bits), "token-messages")
+    replies = _token_replies(messages, owners, token_bits)
     nodes = settle(
         _token_counts(messages, replies)
         .join(classes.drop("words"), "digest")
