@@ -34,11 +34,10 @@ from quotewright.llm.common import WORD, forget, row_key, settle, spare_names
 from quotewright.llm.dedup import golomb_decode, golomb_encode, owner_start
 
 SHINGLE, PERCENT = 5, 75
-# Min-hashes of a round, and rounds of gathering near copies.
-KEYS, ROUNDS = 6, 3
-# Members a group has on average. A token's mask has a bit for each; the few
-# groups with more members than bits have several rows.
-MEMBERS = 16
+KEYS = 6
+# Members a group has on average. Its matrix is cut into parts of as many members
+# as a token's mask has bits.
+MEMBERS = 128
 # Tokens a task sends together, tokens of an owner on average, queries of a group that go together.
 CHUNK_TOKENS, OWNER_TOKENS, PACK = 1 << 20, 1 << 21, 1000
 FEWEST_OWNERS = 24
@@ -52,7 +51,7 @@ TOKEN_FILTER_BITS = 26
 CACHE_WORDS = 300_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.array(
-    [0x9E3779B97F4A7C15 * (2 * i + 1) + 2 * i & 0xFFFFFFFFFFFFFFFF | 1 for i in range(1, KEYS * ROUNDS + 1)],
+    [0x9E3779B97F4A7C15 * (2 * i + 1) + 2 * i & 0xFFFFFFFFFFFFFFFF | 1 for i in range(1, KEYS + 1)],
     dtype=np.uint64,
 )
 
@@ -308,29 +307,28 @@ def linked(shared, first, second, percent: int = PERCENT):
 # --- groups of near copies ----------------------------------------------------
 
 
-def _keys(sets: DataFrame, turn: int) -> DataFrame:
-    """node, n and the min-hashes of a round, a row each."""
+def _keys(sets: DataFrame) -> DataFrame:
+    """node, n and its min-hashes, a row each."""
     kinds = _arrow("node long, n long, keys array<long>")
-    odd = ODD[turn * KEYS : (turn + 1) * KEYS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [[int((_tokens(value) * o).min().view(np.int64)) for o in odd] for value in batch["tokens"]]
+            keys = [[int((_tokens(value) * o).min().view(np.int64)) for o in ODD] for value in batch["tokens"]]
             yield _batch(kinds, batch["node"], batch["n"], keys)
 
     keyed = sets.mapInArrow(run, "node long, n long, keys array<long>")
     return keyed.select("node", "n", F.posexplode("keys").alias("slot", "key"))
 
 
-def _pivots(sets: DataFrame, roots: DataFrame | None, turn: int, percent: int) -> DataFrame:
+def _pivots(sets: DataFrame, percent: int) -> DataFrame:
     """(node, pivot): the most central of the nodes that share a min-hash with it.
 
     Central is who shares most min-hashes with others. A node has one pivot at
-    most, above it in that order, so links to pivots have no cycles. Pairs that
-    are connected already are left out. Keys are counted in tables of their own,
-    so the joins with the nodes of a hot key can be split.
+    most, above it in that order, so links to pivots have no cycles. Keys are
+    counted in tables of their own, so the joins with the nodes of a hot key
+    can be split.
     """
-    keyed = settle(_keys(sets, turn), "keys")
+    keyed = settle(_keys(sets), "keys")
     shared = settle(
         keyed.groupBy("slot", "key").agg((F.count("*") - 1).alias("others")).filter("others > 0"), "shared"
     )
@@ -339,16 +337,7 @@ def _pivots(sets: DataFrame, roots: DataFrame | None, turn: int, percent: int) -
     weighed = settle(met.join(weights, "node").select("slot", "key", "node", "n", "weight"), "weighed")
     tops = settle(weighed.groupBy("slot", "key").agg(F.max(F.struct("weight", "node", "n")).alias("top")), "tops")
     sizes = linked(F.least("n", "top.n"), F.col("n"), F.col("top.n"), percent)
-    pairs = weighed.join(tops, ["slot", "key"]).filter((F.col("top.node") != F.col("node")) & sizes).select("node", "top")
-    if roots is not None:
-        known = roots.select("node", "root")
-        far = known.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-        pairs = (
-            pairs.withColumn("pivot", F.col("top.node"))
-            .join(known, "node", "left")
-            .join(far, "pivot", "left")
-            .filter(F.coalesce("root", "node") != F.coalesce("pivot_root", "pivot"))
-        )
+    pairs = weighed.join(tops, ["slot", "key"]).filter((F.col("top.node") != F.col("node")) & sizes)
     best = pairs.groupBy("node").agg(F.max("top").alias("top"))
     result = settle(best.select("node", F.col("top.node").alias("pivot")), "pivots")
     for frame in (keyed, shared, met, weights, weighed, tops):
@@ -375,24 +364,6 @@ def _verified(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return own.join(others, "pivot").select("node", "pivot", "tokens", "others").mapInArrow(run, "a long, b long")
 
 
-def _gathered(sets: DataFrame, percent: int) -> DataFrame | None:
-    """(node, root) of near copies; rounds of other min-hashes as long as one links something."""
-    roots = None
-    for turn in range(ROUNDS):
-        links = _pivots(sets, roots, turn, percent)
-        inner = settle(_verified(links, sets, percent), "inner")
-        forget(links)
-        if inner.isEmpty():
-            break
-        edges = inner if roots is None else inner.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        new = connected(edges)
-        forget(inner)
-        if roots is not None:
-            forget(roots)
-        roots = new
-    return roots
-
-
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node it is connected with, for all nodes of (a, b).
 
@@ -494,7 +465,6 @@ def _with_enough(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 
 MASK_BITS = 64
-MATRIX_NAMES = ("members", "sizes", "tokens", "masks")
 
 
 def _matrix(members: pa.Table) -> list[tuple]:
@@ -507,12 +477,13 @@ def _matrix(members: pa.Table) -> list[tuple]:
         masks = np.zeros(len(union), dtype="<u8")
         bits = np.repeat(np.uint64(1) << np.arange(len(sets), dtype=np.uint64), [len(s) for s in sets])
         np.bitwise_or.at(masks, place, bits)
-        out.append((part["node"].to_pylist(), np.array([len(s) for s in sets]), union, masks))
+        sizes = np.array([len(s) for s in sets])
+        out.append((part["node"].to_numpy(), part["root"].to_numpy(), sizes, union, masks))
     return out
 
 
 def _opened(asked: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links of queries (group_no, part, node, tokens) with the members of their group.
+    """(a, b): links of queries with the members of their group that have another root.
 
     The group's matrix is made once for all queries of a pack. A query shares
     at most its overlap with the union with any member; where that is too
@@ -521,27 +492,31 @@ def _opened(asked: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     kinds = _arrow("a long, b long")
 
     def run(queries: pa.Table, group: pa.Table) -> pa.Table:
-        first, second = [], []
-        for ids, sizes, union, masks in _matrix(group) if queries.num_rows else ():
-            for node, value in zip(queries["node"].to_pylist(), queries["tokens"]):
+        first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        own_rows = list(zip(queries["node"].to_pylist(), queries["root"].to_pylist(), queries["tokens"]))
+        for ids, roots, sizes, union, masks in _matrix(group) if own_rows else ():
+            for node, root, value in own_rows:
                 own = _tokens(value)
                 at = np.searchsorted(union, own)
                 at = at[union[np.minimum(at, len(union) - 1)] == own]
                 if not linked(len(at), len(own), sizes.min(), percent):
                     continue
-                held = masks[at]
-                shared = np.array([((held >> np.uint64(i)) & np.uint64(1)).sum() for i in range(len(sizes))]).astype(int)
-                for member in np.flatnonzero(linked(shared, len(own), sizes, percent)):
-                    first.append(node)
-                    second.append(ids[int(member)])
-        return pa.table([pa.array(first, pa.int64()), pa.array(second, pa.int64())], schema=kinds)
-
-    keys = ["root", "part", "pack"]
+                bits = np.unpackbits(masks[at].view(np.uint8).reshape(len(at), 8), axis=1, bitorder="little")
+                shared = bits.sum(axis=0, dtype=np.int64)[: len(sizes)]
+                met = np.flatnonzero(linked(shared, len(own), sizes, percent) & (roots != root))
+                first.append(np.full(len(met), node, dtype=np.int64))
+                second.append(ids[met])
+        return pa.table([np.concatenate(first), np.concatenate(second)], schema=kinds)
+
+    keys = ["family", "part", "pack"]
     return asked.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(run, "a long, b long")
 
 
 def _between(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all links between nodes of different roots, of (node, root, n, tokens)."""
+    """(a, b): all links between nodes of different roots, of (node, root, family, n, tokens).
+
+    Groups are made of nodes of one family, similar ones that need not link.
+    """
     left, contested = _contested(sets, percent)
     held = _listed(left.select("node", "root", "n", "tokens")).join(contested, "token", "left_semi")
     held = settle(held, "held")
@@ -562,42 +537,57 @@ def _between(sets: DataFrame, percent: int) -> DataFrame:
     prefix = (
         ranked.withColumn("place", F.row_number().over(order))
         .withColumn("open", F.count("*").over(every))
-        .filter(F.col("place") <= F.col("open") - needed + 1)
+        .withColumn("reach", F.col("open") - F.col("place") + 1)
+        .filter(F.col("reach") >= needed)
     )
-    parts = left.groupBy("root").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
+    parts = left.groupBy("family").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
     dealt = settle(
-        left.join(parts, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts"), "dealt"
+        left.join(parts, "family").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts"), "dealt"
     )
     named = ("holders", "first_sum", "second_sum")
     meeting = settle(
-        prefix.select("node", *named).distinct().join(dealt.select("node", "root", "part", "n"), "node"), "meeting"
+        prefix.groupBy("node", *named)
+        .agg(F.max("reach").alias("reach"))
+        .join(dealt.select("node", "root", "family", "part", "n"), "node"),
+        "meeting",
     )
-    groups = meeting.groupBy(*named, F.col("root").alias("other"), "part").agg(
-        F.min("n").alias("least"), F.max("n").alias("most")
+    groups = meeting.groupBy(*named, F.col("family").alias("other"), F.col("part").alias("other_part")).agg(
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.max("reach").alias("most_reach"),
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
     )
     groups = settle(groups, "class-groups")
+    # A pair of groups is asked about from one side, a group also about itself.
+    once = (F.col("family") < F.col("other")) | (
+        (F.col("family") == F.col("other")) & (F.col("part") <= F.col("other_part"))
+    )
+    apart = (F.col("low") != F.col("root")) | (F.col("high") != F.col("root"))
     near = (percent * F.col("least") <= 100 * F.col("n")) & (100 * F.col("most") >= percent * F.col("n"))
+    # What a link shares, percent / (100 + percent) of both sizes, has to come after the first shared token.
+    enough = percent * (F.col("n") + F.col("least")) <= (100 + percent) * F.least("reach", "most_reach")
     candidates = settle(
-        meeting.drop("part")
-        .join(groups, list(named))
-        .filter((F.col("root") < F.col("other")) & near)
-        .select("node", F.col("other").alias("root"), "part")
+        meeting.join(groups, list(named))
+        .filter(once & apart & near & enough)
+        .select("node", F.col("other").alias("family"), F.col("other_part").alias("part"))
         .distinct(),
         "candidates",
     )
-    packs = candidates.groupBy("root", "part").agg(F.ceil(F.count("*") / PACK).alias("packs"))
+    packs = candidates.groupBy("family", "part").agg(F.ceil(F.count("*") / PACK).alias("packs"))
     packs = settle(packs, "packs")
+    sent = ("family", "part", "pack", "node", "root", "tokens")
     asked = (
-        candidates.join(packs, ["root", "part"])
+        candidates.join(packs, ["family", "part"])
         .withColumn("pack", F.pmod(F.xxhash64("node", F.lit(2)), F.col("packs")))
-        .join(dealt.select("node", "tokens"), "node")
-        .select("root", "part", "pack", "node", "tokens")
+        .join(dealt.select("node", "root", "tokens"), "node")
+        .select(*sent)
     )
+    # Names of their own, for both sides of the cogroup come from one table.
     members = (
-        dealt.join(packs, ["root", "part"])
+        dealt.join(packs, ["family", "part"])
         .withColumn("pack", F.explode(F.sequence(F.lit(0).cast("long"), F.col("packs") - 1)))
-        # Names of their own, for both sides of the cogroup come from one table.
-        .select(*(F.col(name).alias(name) for name in ("root", "part", "pack", "node", "tokens")))
+        .select(*(F.col(name).alias(name) for name in sent))
     )
     outer = settle(_opened(asked, members, percent), "outer")
     for frame in (left, contested, held, classes, dealt, meeting, groups, candidates, packs):
@@ -683,14 +673,24 @@ def _components(documents: DataFrame, id_col: str, text_col: str, size: int, per
     forget(messages)
     open_nodes = nodes.filter(100 * F.col("common") >= percent * F.col("n"))
     sets = settle(_sets(rows, open_nodes, size), "sets")
-    inner = _gathered(sets, percent)
-    none = rows.sparkSession.createDataFrame([], "node long, root long")
-    known = none if inner is None else inner
-    rooted = sets.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    links = _pivots(sets, percent)
+    inner = settle(_verified(links, sets, percent), "inner")
+    known = connected(inner)
+    forget(inner)
+    # A node's family is its root, or that of the pivot it is similar to.
+    far = known.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+    families = links.join(far, "pivot", "left").select("node", F.coalesce("pivot_root", "pivot").alias("family"))
+    rooted = (
+        sets.join(known, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+        .join(families, "node", "left")
+        .withColumn("family", F.coalesce("family", "root"))
+    )
     # Sets of a group lie together, so a task counts their tokens once; a large group is cut.
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), words // CHUNK_TOKENS)
-    rooted = settle(rooted.select("node", "root", "n", "tokens").repartitionByRange(parts, "root", "node"), "rooted")
+    rooted = settle(rooted.select("node", "root", "family", "n", "tokens").repartitionByRange(parts, "root", "node"), "rooted")
     forget(sets)
+    forget(links)
     outer = _between(rooted, percent)
     # A link to the root stands for all links within a group.
     roots = connected(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(outer))
