@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import WORD, row_key, settle, spare_names, word_count
+from quotewright.llm.common import row_key, settle, spare_names, word_count
 
 # Weights by rank of the source, and the most passes over a source.
 WEIGHTS = (1, 2, 3)
@@ -117,7 +117,8 @@ def mixed_rows(documents: DataFrame, id_col: str, source_col: str, text_col: str
         .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
         .withColumn("before", F.col("bucket_before") + F.col("inside") + F.col("copy") * F.col("size"))
     )
-    last = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("rest") - F.col("before")))
+    room = F.col("rest") - F.col("before")
+    last = F.when((room > 0) & (2 * room >= F.col("size")), F.col("size")).otherwise(0)
     share = F.col("before") / F.col("quota")
     result = placed.withColumn("taken", F.col("passes") * F.col("size") + last).withColumn(
         "position",
@@ -143,9 +144,9 @@ def mix_sources(
     (words of the pass after them), position (0 to 1; null if nothing is taken).
 
     Documents of a source stand in the order of the MD5 of their id. Whole
-    passes take each document whole; the last one stops at the target, inside
-    a document if need be, so a source gives its target's whole words. Null
-    text has no words; a null source is a source of its own; null ids share
+    passes take each document whole; the last one ends before or after the
+    document it would stop in, whichever is nearer the target, so a source
+    gives its target but for half a document. Null text has no words; a null source is a source of its own; null ids share
     one place in the order and follow by size. Rows equal in id, source and
     size are counted first and numbered by ``copy``. Nothing to mix gives
     targets of 0. Other columns are not looked at.
@@ -182,31 +183,32 @@ def mixed_documents(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
-    length_col: str | None = None,
 ) -> DataFrame:
     """The documents of the mix with their own columns, range-sorted by training position.
 
     A document stands there once for each pass that takes it, and not at all
-    if none does. The one a source stops in gives its first words, parted by
-    spaces; ``length_col`` then gets their code points. Rows equal in id,
-    source and size are told apart by the hash of all their columns.
+    if none does. Texts are whole, as they came. Rows equal in id, source and
+    size are told apart by the hash of all their columns; they are numbered
+    without their texts, which are shuffled twice: to their places, and in order.
     """
-    names = spare_names(documents, "key", "copy", "words", "pass_no", "position")
-    key, copy, words, pass_no, position = names
-    size = word_count(F.col(text_col)).alias(words)
-    keyed = documents.select("*", size).withColumn(key, row_key(id_col, source_col, words)).drop(words)
-    among = Window.partitionBy(key).orderBy(F.xxhash64(*documents.columns))
-    numbered = keyed.withColumn(copy, (F.row_number().over(among) - 1).cast("long"))
+    key, row, copies, start, copy, pass_no, position = spare_names(
+        documents, "key", "row", "copies", "start", "copy", "pass_no", "position"
+    )
+    size = word_count(F.col(text_col))
+    keyed = documents.withColumns({row: F.xxhash64(*documents.columns), copy: size})
+    keyed = keyed.withColumn(key, row_key(id_col, source_col, copy)).drop(copy)
+    ahead = Window.partitionBy(key).orderBy(row).rowsBetween(Window.unboundedPreceding, -1)
+    found = settle(keyed.groupBy(key, row).agg(F.count("*").alias(copies)), "mix-rows")
+    numbered = found.withColumn(start, F.coalesce(F.sum(copies).over(ahead), F.lit(0)))
     placed = placements(mixed_rows(documents, id_col, source_col, text_col)).select(
         row_key("doc_id", "source", "size").alias(key),
         F.col("copy").alias(copy),
-        F.when(F.col("words") < F.col("size"), F.col("words").cast("int")).alias(words),
         F.col("pass_no").alias(pass_no),
         F.col("position").alias(position),
     )
-    whole = F.col(words).isNull()
-    first = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.coalesce(words, F.lit(0))), " ")
-    joined = numbered.join(placed, [key, copy]).withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(first))
-    if length_col:
-        joined = joined.withColumn(length_col, F.when(whole, F.col(length_col)).otherwise(F.length(text_col)))
-    return joined.orderBy(position, key, copy, pass_no).select(documents.columns)
+    own = (F.col(copy) >= F.col(start)) & (F.col(copy) < F.col(start) + F.col(copies))
+    placed = placed.join(numbered, key).filter(own).select(key, row, pass_no, position)
+    if not found.filter(F.col(copies) > 1).isEmpty():
+        # Rows equal in all columns: one of them stands for the places of all.
+        keyed = keyed.dropDuplicates([key, row])
+    return keyed.join(placed, [key, row]).orderBy(position, key, pass_no).select(documents.columns)

@@ -170,7 +170,7 @@ WITH sized AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
   FROM sized s JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source
 ), taken AS (
-  SELECT *, (passes * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM placed
+  SELECT *, (passes * size + CASE WHEN rest > before AND 2 * (rest - before) >= size THEN size ELSE 0 END)::BIGINT AS taken FROM placed
 )
 SELECT doc_id, size, source_size, target, taken,
        CASE WHEN taken > 0 THEN
