@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.llm import jaccard, mix, packing, pii, quality
-from quotewright.llm.common import settle, table
+from quotewright.llm.common import forget, settle, table
 from quotewright.llm.queries import tokenizer_path
 
 LENGTH = "n_chars"
@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the mix takes them, repeated or left out, in training order."""
-    return mix.mixed_documents(docs, length_col=_length(docs))
+    return mix.mixed_documents(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over all documents; what a stage gives is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, given = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if given is not None:
+            forget(given)
+        given = docs
     return STAGES[-1][1](spark, docs, sf_dir)
