@@ -11,6 +11,7 @@ Version numbers are left out of both.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -109,9 +110,11 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     found = []
     for phrase, label in PHRASES.items():
         sought = f" {phrase} ".encode()
-        at = joined.find(sought)
+        at, place, counted = joined.find(sought), 0, 0
         while at >= 0:
-            found.append((joined.count(b" ", 0, at), label))
+            place += joined.count(b" ", counted, at)
+            counted = at
+            found.append((place, label))
             at = joined.find(sought, at + 1)
     return found
 
@@ -199,11 +202,14 @@ def aligned(template: list[bytes], text: list[bytes], edits: int) -> list[tuple[
         column = new
         if column[-1][0] <= edits:
             found.append((column[-1][0], column[-1][1], place + 1))
+    # Chosen spans are apart, so only the neighbours by start can be in the way.
     chosen: list[tuple[int, int, int]] = []
     for cost, start, end in sorted(found):
-        if not any(start < e and s < end for _, s, e in chosen):
-            chosen.append((cost, start, end))
-    return chosen
+        place = bisect_left(chosen, (start,))
+        if place < len(chosen) and chosen[place][0] < end or place and start < chosen[place - 1][1]:
+            continue
+        chosen.insert(place, (start, end, cost))
+    return [(cost, start, end) for start, end, cost in chosen]
 
 
 def verified(template: Template, words: list[bytes], kept: list[int], first: int, last: int) -> list[tuple[int, int, float]]:

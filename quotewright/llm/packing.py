@@ -52,7 +52,6 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model, self.visible = self.tokenizer.model, Visible()
 
     def unit(self, text: str) -> bytes:
@@ -80,15 +79,19 @@ class TokenBytes:
     The vocabulary's splitting rule lets at most one space before a word join
     it and never passes from a word into the white space after it. So a text
     of words parted by single spaces or line ends is the sum of its words, and
-    words are tokenized once. Other texts go to the tokenizer whole.
+    words are tokenized once. Other texts go to the tokenizer whole, and so do
+    those with a string that the vocabulary has a token of its own for.
     """
 
     def __init__(self, tokenizer_path: str):
         self.words = WordIds(tokenizer_path)
+        added = self.words.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content for token in added]
 
-    @staticmethod
-    def _plain(text: str) -> bool:
-        """Only single spaces and line ends part the words."""
+    def _plain(self, text: str) -> bool:
+        """Only single spaces and line ends part the words, and none is special."""
+        if any(string in text for string in self.special):
+            return False
         if not text or text[0] in " \n" or text[-1] in " \n":
             return False
         if any(pair in text for pair in ("  ", " \n", "\n ", "\n\n")):

@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import lower_ascii, map_batches
+from quotewright.llm.common import LOWER, UPPER, lower_ascii, map_batches
 
 TOKEN = re.compile(r"[a-z0-9]+")
+ASCII_LOWER = str.maketrans(UPPER, LOWER)
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -32,6 +33,11 @@ class Rule:
     listed: bool = True  # a rule of the list; others only advise where no listed one fits
 
 
+def tokens_of(text: str) -> list[str]:
+    """Runs of ASCII letters and digits; no other letter becomes one of them."""
+    return TOKEN.findall(text.translate(ASCII_LOWER))
+
+
 def listed_rule(verdict: str, name: str) -> Rule:
     """A rule ``host/path``: the host with its subdomains, paths that start so.
 
@@ -39,8 +45,8 @@ def listed_rule(verdict: str, name: str) -> Rule:
     """
     host, _, path = name.partition("/")
     pattern = rf"(?:[^/]*\.)?{re.escape(host)}/{re.escape(path)}"
-    whole = TOKEN.findall(f"{host}/{path}|".lower())
-    if TOKEN.fullmatch(path[-1:].lower()):
+    whole = tokens_of(f"{host}/{path}|")
+    if tokens_of(path[-1:]):
         whole = whole[:-1]
     return Rule(name, pattern, tuple(whole), verdict)
 
@@ -82,7 +88,7 @@ def token_counts(urls: DataFrame, rules: Iterable[Rule]) -> dict[str, int]:
     if not wanted:
         return {}
     tokens = spark.createDataFrame([(token,) for token in wanted], "token string")
-    found = F.array_distinct(F.split(F.lower(F.concat("host", "path")), "[^a-z0-9]+"))
+    found = F.array_distinct(F.split(lower_ascii(F.concat("host", "path")), "[^a-z0-9]+"))
     counted = urls.select(F.explode(found).alias("token")).groupBy("token").count()
     return {row["token"]: row["count"] for row in counted.join(tokens, "token").collect()}
 
@@ -127,7 +133,7 @@ def judge_urls(
 
         def one(place: str) -> tuple[str | None, str]:
             best: dict[bool, tuple[int, str, Rule]] = {}
-            for token in {"", *TOKEN.findall(place.lower())}:
+            for token in {"", *tokens_of(place)}:
                 for rule, pattern in compiled.get(token, ()):
                     if pattern.match(place):
                         rank = (len(rule.name), rule.name)

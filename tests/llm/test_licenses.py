@@ -28,6 +28,16 @@ def test_base_by_rule(spark, sample):
             assert 0 <= row["score"] <= 1 and (row["score"] == 1 or not row["n_base"])
 
 
+def test_long_texts_of_little_else_than_phrases():
+    """Places and spans in time that grows with the text."""
+    words = "all rights reserved x cc by".split() * 60_000
+    places = licenses.base_places([word.encode() for word in words])
+    assert sorted(places)[:3] == [(0, "reserved"), (4, "cc-by"), (6, "reserved")] and len(places) == 120_000
+    template = [b"t1", b"t2", b"t3", b"t4"]
+    found = licenses.aligned(template, (template + [b"x"] * 6) * 4_000, 1)
+    assert [span[1:] for span in sorted(found, key=lambda span: span[1])] == [(10 * i, 10 * i + 4) for i in range(4_000)]
+
+
 def scan(spark, *texts):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     return {row["doc_id"]: row for row in licenses.scan_licenses(frame).collect()}

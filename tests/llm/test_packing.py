@@ -13,10 +13,18 @@ def token_ids(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return [[*each.ids, 0] for each in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["<|endoftext|>", "x<|endoftext|>y", "a b <|endoftext|> c", "<|endoftext|> a", "a\n<|endoftext|>\nb", "a <|endoftext|", "é<|endoftext|>é " * 300],
+)
+def test_special_strings_are_what_the_tokenizer_makes_of_them(text):
+    own = np.frombuffer(packing.TokenBytes(tokenizer_path()).encode(text), dtype="<u4").tolist()
+    assert [*own, 0] == token_ids([text])[0]
+
+
 @pytest.mark.parametrize("group", [20, 4096])
 def test_pieces_and_sequences(spark, group):
     docs = helpers.documents(spark)
