@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from oracle.sql import QUERIES as ORACLE
 from quotewright.functions.times import run_id
-from quotewright.operators import analytics, operations, standardize
+from quotewright.operators import analytics, check_states, operations, rollups, standardize
 from quotewright.operators.curate import assess, rejected_quotes, split_quotes, typed_quotes
 from quotewright.plans.jobs import replay
 from quotewright.plans.reports import CHECKS, REPORTS
+from quotewright.plans.rollups import refresh, scan_rollup
 from quotewright.schemas import PARTITION_COLUMNS, QUOTE_COLUMNS, REJECTED, REJECTED_BRANCH
 from quotewright.session import configure, shared_dir
 from quotewright.sources import files
@@ -36,6 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 Operator = Callable[[DataFrame], DataFrame]
 
 AS_OF = date(2024, 4, 15)
+FIRST, LAST = date(2024, 1, 8), date(2024, 1, 19)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -230,6 +232,29 @@ def _split_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_branch(spark, base, REJECTED_BRANCH).select(*REJECTED.names)
 
 
+def _from_rollup(name: str, report: Operator) -> Query:
+    """A report from a rollup of the curated quotes, written and read again."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _folder(spark, sf_dir, f"rollups-{uuid4().hex}")
+        refresh(sample.curated_from_events(configure(spark), sf_dir), path, names=[name])
+        return report(scan_rollup(spark, path, name))
+
+    return query
+
+
+def _merged_latest(quotes: DataFrame) -> DataFrame:
+    """Newest quotes of odd and even minutes, rolled up apart and merged."""
+    odd = F.coalesce(F.minute("market_timestamp") % 2 == 1, F.lit(False))
+    parts = [rollups.daily_latest(quotes.filter(half)) for half in (odd, ~odd)]
+    return analytics.latest_quote(rollups.merged_latest(*parts))
+
+
+def _report_of_states(quotes: DataFrame) -> DataFrame:
+    states, strays = check_states.check_states(quotes), check_states.stray_keys(quotes)
+    return check_states.report_of(states, strays, quotes)
+
+
 def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operations.health_windows(
         sample.table(configure(spark), sf_dir, "events"),
@@ -278,13 +303,30 @@ def queries() -> dict[str, Query]:
         # reports
         **{name: _on_curated(report) for name, report in REPORTS.items()},
         "quotes_between": _on_curated(
-            lambda quotes: analytics.quotes_between(quotes, date(2024, 1, 8), date(2024, 1, 19))
+            lambda quotes: analytics.quotes_between(quotes, FIRST, LAST)
         ),
         # quality checks
         **{name: _on_faulty(check) for name, check in CHECKS.items()},
         "dq_dup_keys": _on_valid(CHECKS["dq_dup_keys"]),
         "dq_dup_rows": _on_valid(CHECKS["dq_dup_rows"]),
         "dq_report_curated": _on_curated(CHECKS["dq_report"]),
+        # reports and checks merged from rollups by day
+        "rollup_volatility": _from_rollup("moments", rollups.volatility_of),
+        "rollup_volatility_between": _from_rollup(
+            "moments",
+            lambda days: rollups.volatility_of(analytics.quotes_between(days, FIRST, LAST)),
+        ),
+        "rollup_latest_quote": _on_curated(_merged_latest),
+        "rollup_market_breadth": _from_rollup("latest", analytics.market_breadth),
+        "rollup_day_over_day": _from_rollup("latest", analytics.day_over_day),
+        "rollup_freshness": _from_rollup("latest", rollups.freshness_of),
+        "rollup_null_profile": _on_faulty(
+            lambda quotes: check_states.null_profile_of(check_states.check_states(quotes))
+        ),
+        "rollup_scorecard": _on_faulty(
+            lambda quotes: check_states.scorecard_of(check_states.check_states(quotes))
+        ),
+        "rollup_report": _on_faulty(_report_of_states),
         # operations
         "incremental_curated": _incremental,
         "incremental_open": _incremental_open,

@@ -402,6 +402,16 @@ def _partitions(symbols: str, table: str) -> str:
     )
 
 
+def _volatility(table: str) -> str:
+    return f"""SELECT symbol, company_name, count(*) AS observation_count,
+              {_round(_mean("price"), 2)} AS average_price,
+              round(min(price), 2) AS minimum_price,
+              round(max(price), 2) AS maximum_price,
+              {_round("stddev_samp(price)", 2)} AS price_standard_deviation,
+              {_round("stddev_samp(change_percent)", 2)} AS change_percent_standard_deviation
+            FROM {table} GROUP BY 1, 2 HAVING count(*) > 1"""
+
+
 def _curated(select: str) -> str:
     return _with("curated_quotes", select)
 
@@ -570,15 +580,7 @@ QUERIES: dict[str, str] = {
                   FROM daily_latest)
             WHERE previous_day_price IS NOT NULL""",
     ),
-    "volatility": _curated(
-        f"""SELECT symbol, company_name, count(*) AS observation_count,
-              {_round(_mean("price"), 2)} AS average_price,
-              round(min(price), 2) AS minimum_price,
-              round(max(price), 2) AS maximum_price,
-              {_round("stddev_samp(price)", 2)} AS price_standard_deviation,
-              {_round("stddev_samp(change_percent)", 2)} AS change_percent_standard_deviation
-            FROM curated_quotes GROUP BY 1, 2 HAVING count(*) > 1"""
-    ),
+    "volatility": _curated(_volatility("curated_quotes")),
     "freshness": _curated(
         """SELECT symbol, max(market_timestamp) AS latest_market_timestamp,
              max(ingestion_timestamp) AS latest_ingestion_timestamp,
@@ -711,3 +713,18 @@ QUERIES: dict[str, str] = {
              count(*) AS rejected_count FROM rejected GROUP BY 1, 2, 3""",
     ),
 }
+
+# What is merged from rollups by day is what the reports give over all quotes.
+_BETWEEN = """(SELECT * FROM curated_quotes WHERE cast(market_timestamp as date)
+    BETWEEN date '2024-01-08' AND date '2024-01-19')"""
+QUERIES |= {
+    "rollup_volatility": QUERIES["volatility"],
+    "rollup_volatility_between": _curated(_volatility(_BETWEEN)),
+    "rollup_latest_quote": QUERIES["latest_quote"],
+    "rollup_market_breadth": QUERIES["market_breadth"],
+    "rollup_day_over_day": QUERIES["day_over_day"],
+    "rollup_freshness": QUERIES["freshness"],
+    "rollup_null_profile": QUERIES["dq_null_profile"],
+    "rollup_scorecard": QUERIES["dq_scorecard"],
+    "rollup_report": QUERIES["dq_report"],
+}

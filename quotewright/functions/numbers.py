@@ -34,6 +34,13 @@ def rounded(value: Column, places: int) -> Column:
     return F.coalesce(exact, value)
 
 
+def exact_form(value: Column) -> Column:
+    """A double as the decimal it stands for; NULL if more than nine decimals matter."""
+    decimal = value.try_cast(_EXACT)
+    same = F.abs(decimal.cast("double") - value) <= F.abs(value) * _DOUBLE_STEP
+    return F.when(same, decimal)
+
+
 def exact_mean(value: Column) -> Column:
     """Mean of a double column that does not depend on the summation order.
 
@@ -41,9 +48,7 @@ def exact_mean(value: Column) -> Column:
     decimals do not. If any value has no decimal form, or one that is not the
     value (more than nine decimals matter), the plain mean is used.
     """
-    decimal = value.try_cast(_EXACT)
-    same = F.abs(decimal.cast("double") - value) <= F.abs(value) * _DOUBLE_STEP
-    exact = F.when(same, decimal)
+    exact = exact_form(value)
     mean = F.try_divide(F.sum(exact).cast("double"), F.count(value))
     return F.when(F.count(exact) == F.count(value), mean).otherwise(F.avg(value))
 

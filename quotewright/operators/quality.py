@@ -70,7 +70,7 @@ def _delay_hours() -> Column:
     return whole_units("HOUR", c("market_timestamp"), c("ingestion_timestamp"))
 
 
-def _wrong_partition() -> Column:
+def wrong_partition() -> Column:
     expected = date_parts(c("market_timestamp"))
     return _any(*(c(n) != expected[n] for n in PARTITION_COLUMNS))
 
@@ -202,7 +202,7 @@ def ingest_delay(quotes: DataFrame) -> DataFrame:
 
 def partition_match(quotes: DataFrame) -> DataFrame:
     """Partition strings other than the market date."""
-    return quotes.filter(_wrong_partition()).select(
+    return quotes.filter(wrong_partition()).select(
         "symbol", "market_timestamp", *PARTITION_COLUMNS
     )
 
@@ -265,20 +265,19 @@ def symbol_counts(quotes: DataFrame) -> DataFrame:
     )
 
 
-def _failures(condition: Column) -> Column:
+def failures(condition: Column) -> Column:
     """Rows meeting a condition; NULL over an empty table, as a plain sum is."""
     return F.sum(F.when(condition, 1).otherwise(0))
 
 
 def null_profile(quotes: DataFrame) -> DataFrame:
     """One row: all rows, and the NULLs of every column."""
-    nulls = (_failures(c(n).isNull()).alias(f"{n}_nulls") for n in QUOTE_COLUMNS)
+    nulls = (failures(c(n).isNull()).alias(f"{n}_nulls") for n in QUOTE_COLUMNS)
     return quotes.agg(F.count("*").alias("total_rows"), *nulls)
 
 
-def scorecard(quotes: DataFrame) -> DataFrame:
-    """One row: all rows, and the rows failing each of the main checks."""
-    checks = {
+def scorecard_checks() -> dict[str, Column]:
+    return {
         "invalid_symbol_rows": _blank_symbol(),
         "invalid_price_rows": c("price").isNull() | (c("price") <= 0),
         "invalid_market_timestamp_rows": c("market_timestamp").isNull(),
@@ -286,9 +285,13 @@ def scorecard(quotes: DataFrame) -> DataFrame:
         "negative_volume_rows": c("volume") < 0,
         "invalid_high_low_rows": _high_below_low(),
         "future_market_timestamp_rows": _market_ahead(),
-        "partition_mismatch_rows": _wrong_partition(),
+        "partition_mismatch_rows": wrong_partition(),
     }
-    counts = (_failures(condition).alias(name) for name, condition in checks.items())
+
+
+def scorecard(quotes: DataFrame) -> DataFrame:
+    """One row: all rows, and the rows failing each of the main checks."""
+    counts = (failures(condition).alias(name) for name, condition in scorecard_checks().items())
     return quotes.agg(F.count("*").alias("total_rows"), *counts)
 
 
@@ -297,7 +300,7 @@ def scorecard(quotes: DataFrame) -> DataFrame:
 NO_ROWS, ROUNDING, REVIEW = "no_rows", "no_rows_but_rounding", "review"
 
 
-def _row_checks() -> dict[str, tuple[Column, str]]:
+def row_checks() -> dict[str, tuple[Column, str]]:
     return {
         "dq_required": (_required_missing(), NO_ROWS),
         "dq_price": (c("price") <= 0, NO_ROWS),
@@ -310,7 +313,7 @@ def _row_checks() -> dict[str, tuple[Column, str]]:
         "dq_source_norm": (c("source") != normal_lower(c("source")), NO_ROWS),
         "dq_future": (_market_ahead(), NO_ROWS),
         "dq_delay": (_delay_hours() > MAX_DELAY_HOURS, REVIEW),
-        "dq_partition_match": (_wrong_partition(), NO_ROWS),
+        "dq_partition_match": (wrong_partition(), NO_ROWS),
         "dq_partition_format": (_bad_partition_format(), NO_ROWS),
         "dq_change": (above(_change_gap(), F.lit(CHANGE_TOLERANCE)), ROUNDING),
         "dq_change_pct": (above(_percent_gap(), F.lit(PERCENT_TOLERANCE)), ROUNDING),
@@ -318,7 +321,7 @@ def _row_checks() -> dict[str, tuple[Column, str]]:
     }
 
 
-def _long_form(totals: DataFrame, expectations: dict[str, str]) -> DataFrame:
+def long_form(totals: DataFrame, expectations: dict[str, str]) -> DataFrame:
     entries = (
         F.struct(
             F.lit(name).alias("check"),
@@ -337,7 +340,7 @@ def report(quotes: DataFrame) -> DataFrame:
     All row checks share one scan and one aggregation; the two duplicate
     checks need the rows counted by key and share another.
     """
-    checks = _row_checks()
+    checks = row_checks()
     rows = quotes.agg(*(F.count_if(cond).alias(n) for n, (cond, _) in checks.items()))
     keys = duplicate_keys(quotes)
     whole = _any(*(c(n).isNull() for n in BUSINESS_KEY))
@@ -345,6 +348,6 @@ def report(quotes: DataFrame) -> DataFrame:
         F.count("*").alias("dq_dup_keys"),
         F.coalesce(F.sum(F.when(~whole, c("duplicate_count"))), F.lit(0)).alias("dq_dup_rows"),
     )
-    return _long_form(rows, {n: e for n, (_, e) in checks.items()}).unionByName(
-        _long_form(duplicates, {"dq_dup_keys": NO_ROWS, "dq_dup_rows": NO_ROWS})
+    return long_form(rows, {n: e for n, (_, e) in checks.items()}).unionByName(
+        long_form(duplicates, {"dq_dup_keys": NO_ROWS, "dq_dup_rows": NO_ROWS})
     )
