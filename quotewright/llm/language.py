@@ -16,10 +16,12 @@ UNDETERMINED = "und"
 
 # The network: bytes of a window, size of their vectors, widths and number of filters.
 WINDOW, BYTE_SIZE, WIDTHS, FILTERS = 192, 8, (2, 3, 4), 8
-# Bounds of the fit: documents per language, windows per document, languages.
-DOCUMENTS, WINDOWS, LANGUAGES = 400, 4, 256
+# Bounds of the fit: documents per language, windows per document; beyond LANGUAGES labels
+# each has its share of the documents of that many, but LEAST_DOCUMENTS at least.
+DOCUMENTS, WINDOWS, LANGUAGES, LEAST_DOCUMENTS = 400, 4, 256, 8
 EPOCHS, BATCH, RATE, SEED = 6, 64, 3e-3, 11
 WINDOWS_AT_ONCE = 128
+BROADCAST_LABELS = 50_000
 # Fixed value: documents whose remainder is 0 are held out.
 FOLDS = 5
 
@@ -161,34 +163,35 @@ def fit_language(
 ) -> ByteNet | None:
     """Train on a bounded sample of labelled documents that are not held out.
 
-    The bound is ``documents_per_language`` for each of the ``LANGUAGES`` most
-    frequent labels, ``WINDOWS`` windows of each document. About twice the bound
-    is dealt by a hash of the id, at the share a language needs, and cut to the
-    bound in hash order, so a frequent language or a repeated row does not crowd
-    one task. None if no row is labelled.
+    Every label is learned. The bound is ``documents_per_language`` for each,
+    ``WINDOWS`` windows of each document; more labels than ``LANGUAGES`` share
+    the documents of that many, ``LEAST_DOCUMENTS`` for each at least, so the
+    sample grows with the labels but not with the documents. A few times the
+    bound is dealt by a hash of the id, at the share a language needs, and cut
+    to the bound in hash order, so a frequent language or a repeated row does
+    not crowd one task. None if no row is labelled.
     """
     labelled = documents.filter(~held_out(id_col)).select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
     letters = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = (
-        labelled.filter(F.col("lang").isNotNull())
-        .groupBy("lang")
-        .count()
-        .orderBy(F.desc("count"), "lang")
-        .limit(LANGUAGES)
-        .withColumn("share", 4.0 * documents_per_language / F.col("count"))
-    )
+    counts = labelled.filter(F.col("lang").isNotNull()).groupBy("lang").count()
+    labels = counts.count()
+    bound = documents_per_language
+    if labels > LANGUAGES:
+        bound = min(bound, max(LEAST_DOCUMENTS, bound * LANGUAGES // labels))
+    counts = counts.withColumn("share", 4.0 * bound / F.col("count"))
+    if labels <= BROADCAST_LABELS:
+        counts = F.broadcast(counts)
     part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id", "text")
-    # At most LANGUAGES rows are broadcast.
     chosen = (
-        letters.join(F.broadcast(counts), "lang")
+        letters.join(counts, "lang")
         .filter(part < F.col("share"))
         .select("lang", "id", "text")
         .distinct()
         .withColumn("place", F.row_number().over(first))
-        .filter(F.col("place") <= documents_per_language)
+        .filter(F.col("place") <= bound)
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

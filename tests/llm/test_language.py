@@ -82,3 +82,47 @@ def test_labels_are_no_input(spark):
     assert helpers.plain(language.predict_language(docs, net), "doc_id", "lang_pred") == helpers.plain(
         language.predict_language(other, net), "doc_id", "lang_pred"
     )
+
+
+def plain_prediction(net, raw):
+    """Windows, filters and places one by one."""
+    logs = np.zeros(len(net.languages))
+    rows = language.windows_of(raw)
+    for row in rows:
+        pooled = []
+        for own in net.filters:
+            for number in range(own.shape[2]):
+                responses = [
+                    sum(float(net.vectors[row[at + i]] @ own[i, :, number]) for i in range(len(own)))
+                    for at in range(len(row) - len(own) + 1)
+                ]
+                pooled.append(max(responses))
+        active = [max(0.0, value + bias) for value, bias in zip(pooled, net.bias)]
+        scores = np.array([sum(a * w for a, w in zip(active, net.dense[:, k])) for k in range(len(logs))])
+        scores = np.exp(scores + net.dense_bias)
+        logs += np.log(scores / scores.sum())
+    shares = np.exp(logs / len(rows))
+    return shares / shares.sum()
+
+
+def test_prediction_by_plain_loops():
+    rng = np.random.default_rng(4)
+    windows = rng.integers(97, 123, (30, language.WINDOW)).astype(np.uint8)
+    net = language.train(windows, np.arange(30) % 3, ["a", "b", "c"])
+    texts = [bytes(rng.integers(97, 123, size).astype(np.uint8)) for size in (1, 5, 192, 200, 450)]
+    langs, scores = net.predict(texts)
+    for raw, lang, score in zip(texts, langs, scores):
+        shares = plain_prediction(net, raw)
+        assert lang == net.languages[int(shares.argmax())]
+        assert abs(shares.max() - score) < 1e-4
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    """More labels than the network has full samples for share the documents; none goes."""
+    monkeypatch.setattr(language, "LANGUAGES", 4)
+    rows = [(i, f"w{i % 12} " * 30, f"l{i % 12:02}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for most in (language.BROADCAST_LABELS, 1):
+        monkeypatch.setattr(language, "BROADCAST_LABELS", most)
+        net = language.fit_language(docs, documents_per_language=30)
+        assert net.languages == [f"l{k:02}" for k in range(12)]
