@@ -118,7 +118,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
         for mark in AT.finditer(text):
             domain = SPOKEN_DOMAIN.match(text, mark.end())
             start = mark.start()
-            while start and mark.start() - start < 64 and text[start - 1] in LOCAL:
+            while start and text[start - 1] in LOCAL:
                 start -= 1
             if domain and start < mark.start():
                 found.append(("email", start, domain.end()))

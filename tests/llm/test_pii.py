@@ -45,6 +45,12 @@ def test_long_runs_take_linear_time():
         pii.candidates(text)
 
 
+def test_a_spoken_name_is_proposed_whole():
+    for name in ("a" * 80, "x." * 5000 + "y", "b"):
+        text = f"mail {name} at mail.example.org now"
+        assert [text[s:e] for own, s, e in pii.candidates(text) if own == "email"] == [f"{name} at mail.example.org"]
+
+
 def test_data_beside_other_numbers_is_proposed():
     for text, kind, wanted in (
         ("4111 1111 1111 1111 05/27", "card", ["4111 1111 1111 1111"]),
