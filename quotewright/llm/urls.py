@@ -20,6 +20,11 @@ from quotewright.llm.common import LOWER, UPPER, lower_ascii, map_batches
 TOKEN = re.compile(r"[a-z0-9]+")
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
 ALLOW, BLOCK = "allow", "block"
+# The signs of filter lists.
+EXCEPTION, HOST_ANCHOR, END_ANCHOR, ANY = "@@", "||", "|", "*"
+WILDCARDS = {ANY: ".*", "^": r"(?:[^a-z0-9_.%-]|\Z)"}
+# The most rules read from a table, which bounds what the driver and each task hold.
+MOST_RULES = 200_000
 
 
 @dataclass(frozen=True)
@@ -31,6 +36,11 @@ class Rule:
     tokens: tuple[str, ...]
     verdict: str
     listed: bool = True  # a rule of the list; others only advise where no listed one fits
+    exception: bool = False  # wins over every rule that is none, however long
+
+    @property
+    def rank(self) -> tuple[bool, int, str]:
+        return self.exception, len(self.name), self.name
 
 
 def tokens_of(text: str) -> list[str]:
@@ -51,6 +61,43 @@ def listed_rule(verdict: str, name: str) -> Rule:
     return Rule(name, pattern, tuple(whole), verdict)
 
 
+def filter_rule(line: str, listed: bool = False) -> Rule:
+    """A rule of the usual form of filter lists.
+
+    ``||`` begins at a label of the host, ``|`` ends the path, ``*`` is any
+    text, ``^`` a separator or the end, ``@@`` before it all an exception.
+    Letters count without case. A run of letters and digits is a literal token
+    if the pattern bounds it at both ends; beside ``*``, or at an open end, a
+    longer token of a URL could hold it.
+    """
+    body = line.removeprefix(EXCEPTION)
+    anchored, closed = body.startswith(HOST_ANCHOR), body.endswith(END_ANCHOR)
+    body = body.removeprefix(HOST_ANCHOR).removesuffix(END_ANCHOR).translate(ASCII_LOWER)
+    pattern = "".join(WILDCARDS.get(char) or re.escape(char) for char in body)
+    tokens = []
+    for found in TOKEN.finditer(body):
+        before, after = body[: found.start()][-1:], body[found.end() :][:1]
+        bounded = (before != ANY if before else anchored) and (after != ANY if after else closed)
+        if bounded:
+            tokens.append(found[0])
+    start, end = r"(?:[^/]*\.)?" if anchored else ".*", r"\Z" if closed else ""
+    verdict = ALLOW if line.startswith(EXCEPTION) else BLOCK
+    return Rule(line, f"(?ai){start}{pattern}{end}", tuple(tokens), verdict, listed, verdict == ALLOW)
+
+
+def read_rules(lines: DataFrame, *, line_col: str = "line", most: int = MOST_RULES) -> tuple[Rule, ...]:
+    """The distinct rules of a table of filter lines; empty lines and comments (``!``) are none.
+
+    Rules go to the driver and to every task, so more than ``most`` are an error.
+    """
+    line = F.trim(F.col(line_col).cast("string"))
+    rows = lines.select(line.alias("line")).filter("line <> '' AND line NOT LIKE '!%'").distinct()
+    found = sorted(row["line"] for row in rows.limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"more than {most} rules")
+    return tuple(map(filter_rule, found))
+
+
 # The rules of the list.
 RULES = (
     listed_rule(ALLOW, "org/"),
@@ -102,6 +149,11 @@ def rule_index(rules: Iterable[Rule], counts: dict[str, int]) -> dict[str, list[
     return index
 
 
+def candidate_rules(index: dict[str, list[Rule]], place: str) -> list[Rule]:
+    """The rules that the tokens of ``host + path`` fetch."""
+    return [rule for token in ("", *sorted(set(tokens_of(place)))) for rule in index.get(token, ())]
+
+
 def judge_urls(
     pages: DataFrame,
     *,
@@ -112,9 +164,9 @@ def judge_urls(
     """Host, path, the longest listed rule that fits, and the verdict, for each page.
 
     The verdict is the listed rule's, else the longest-named advising rule's,
-    else ``allow``; equal lengths go by name. Null URLs and URLs without
+    else ``allow``; exceptions go before other rules, and equal lengths by name. Null URLs and URLs without
     ``://`` have an empty host and path and are allowed unless a rule without
-    tokens fits. Repeated rows are judged alike; no rows give none; other
+    tokens fits. A rule's expression is compiled when a URL first fetches it. Repeated rows are judged alike; no rows give none; other
     columns are not looked at. The rules are a list in the driver, so the index
     that tasks get is as large as that list; URLs are never shuffled, only
     counts of the rules' own tokens.
@@ -126,22 +178,19 @@ def judge_urls(
     index = rule_index(rules, token_counts(urls, rules))
 
     def start():
-        compiled = {
-            token: [(rule, re.compile(rule.pattern, re.DOTALL)) for rule in filed]
-            for token, filed in index.items()
-        }
+        compiled: dict[str, re.Pattern] = {}
 
         def one(place: str) -> tuple[str | None, str]:
-            best: dict[bool, tuple[int, str, Rule]] = {}
-            for token in {"", *tokens_of(place)}:
-                for rule, pattern in compiled.get(token, ()):
-                    if pattern.match(place):
-                        rank = (len(rule.name), rule.name)
-                        if rule.listed not in best or rank > best[rule.listed][:2]:
-                            best[rule.listed] = (*rank, rule)
+            best: dict[bool, Rule] = {}
+            for rule in candidate_rules(index, place):
+                if rule.pattern not in compiled:
+                    compiled[rule.pattern] = re.compile(rule.pattern, re.DOTALL)
+                if compiled[rule.pattern].match(place):
+                    if rule.listed not in best or rule.rank > best[rule.listed].rank:
+                        best[rule.listed] = rule
             if True in best:
-                return best[True][2].name, best[True][2].verdict
-            return None, best[False][2].verdict if best else ALLOW
+                return best[True].name, best[True].verdict
+            return None, best[False].verdict if best else ALLOW
 
         def judge(batch: pa.RecordBatch) -> dict:
             hosts, paths = batch["host"].to_pylist(), batch["path"].to_pylist()

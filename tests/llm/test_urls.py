@@ -66,3 +66,64 @@ def test_rarest_token_files_a_rule():
 def test_no_rows(spark, pages):
     assert urls.judge_urls(pages.limit(0)).count() == 0
     assert {row["verdict"] for row in urls.judge_urls(pages, rules=()).collect()} == {"allow"}
+
+
+def lines_of(count):
+    """Filter lines of every sign over common and rare words."""
+    hosts = ("ads.example.org", "track.example.net", "example.com", "media.example.org")
+    lines = []
+    for i in range(count):
+        host, word = hosts[i % 4], f"w{i}"
+        lines += [f"||{host}/{word}^", f"/{word}/banner*.gif|", f"||{host}^*/{word}*x^", f"*-{word}-", f"@@||{host}/{word}/ok|"]
+    return lines
+
+
+def places_of(count):
+    out = []
+    for i in range(0, count, 7):
+        for host in ("ads.example.org", "a.media.example.org", "notexample.com", "example.com"):
+            out += [f"{host}/w{i}", f"{host}/W{i}/ok", f"{host}/w{i}/banner12.gif", f"{host}/a/w{i}yx", f"{host}/q-w{i}-r/w{i}_"]
+    return out
+
+
+def test_filter_lines():
+    def fits(line, place):
+        return bool(re.compile(urls.filter_rule(line).pattern, re.DOTALL).match(place))
+
+    assert fits("||example.org^", "example.org/") and fits("||example.org^", "a.example.org/x")
+    assert not fits("||example.org^", "notexample.org/") and not fits("||example.org^", "example.org.net/")
+    assert fits("/ad*.gif|", "x.net/a/AD_1.gif") and not fits("/ad*.gif|", "x.net/ad.gif/y")
+    assert fits("/k^", "x.net/K") and not fits("/k^", "x.net/\u212a")
+    assert urls.filter_rule("||ads.example.org/b*/c^").tokens == ("ads", "example", "org", "c")
+    assert urls.filter_rule("/ad*.gif|").tokens == ("gif",)
+    assert urls.filter_rule("word").tokens == ()
+    assert urls.filter_rule("@@||example.org^").verdict == "allow"
+
+
+def test_a_table_of_rules(spark):
+    lines = [(line,) for line in [*lines_of(80), "", "! a comment", None, "  ||example.com/w2^ "]]
+    rules = urls.read_rules(spark.createDataFrame(lines, "line string"))
+    assert len(rules) == 400
+    places = places_of(80)
+    pages = spark.createDataFrame([(i, f"http://{place}") for i, place in enumerate(places)], "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages, rules=rules).collect()}
+    for i, place in enumerate(places):
+        fitting = [rule for rule in rules if re.compile(rule.pattern, re.DOTALL).match(place)]
+        verdict = "allow" if not fitting or any(r.exception for r in fitting) else "block"
+        assert found[i] == verdict, place
+    assert set(found.values()) == {"allow", "block"}
+    with pytest.raises(ValueError):
+        urls.read_rules(spark.createDataFrame(lines, "line string"), most=5)
+
+
+def test_the_rarest_token_runs_fewer_rules(spark):
+    rules = tuple(map(urls.filter_rule, lines_of(80)))
+    places = places_of(80)
+    frame = spark.createDataFrame([tuple(place.split("/", 1)) for place in places], "host string, path string")
+    frame = frame.selectExpr("host", "concat('/', path) AS path")
+    by_rarest = urls.rule_index(rules, urls.token_counts(frame, rules))
+    by_first = {}
+    for rule in rules:
+        by_first.setdefault(rule.tokens[0] if rule.tokens else "", []).append(rule)
+    runs = [sum(len(urls.candidate_rules(index, place)) for place in places) for index in (by_rarest, by_first)]
+    assert runs[0] * 3 < runs[1]
