@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotewright.llm.common import map_batches, settle
@@ -175,17 +175,22 @@ def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataF
     return map_batches(rows, start, "vec_id long, klass string, vector binary"), size
 
 
+def _parts(spark: SparkSession, counts: dict[int, int], limit: int) -> DataFrame:
+    """The number of parts of each leaf, of which there are at most as many as sampled vectors."""
+    parts = [(leaf, -(-count // limit)) for leaf, count in counts.items()]
+    return spark.createDataFrame(parts or [(0, 1)], "leaf long, parts int")
+
+
 def _packs(rows: DataFrame, counts: dict[int, int], limit: int, names: tuple[str, str]) -> DataFrame:
     """Rows of a leaf in packs of about ``limit``: one row with all keys and one matrix."""
     key, kind = names
-    parts = {leaf: -(-count // limit) for leaf, count in counts.items()}
-    # A number per leaf, of which there are at most as many as sampled vectors.
-    sizes = rows.sparkSession.createDataFrame(list(parts.items()) or [(0, 1)], "leaf long, parts int")
+    sizes = _parts(rows.sparkSession, counts, limit)
 
     def gather(table: pa.Table) -> pa.Table:
         return pa.table(
             {
                 "leaf": table["leaf"][:1],
+                "part": table["part"][:1],
                 "floors": pa.array([table["floor"].to_pylist()], pa.list_(pa.float64())),
                 "keys": pa.array([table[key].to_pylist()], pa.list_(pa.int64() if kind == "long" else pa.string())),
                 "matrix": pa.array([b"".join(table["vector"].to_pylist())], pa.binary()),
@@ -196,7 +201,7 @@ def _packs(rows: DataFrame, counts: dict[int, int], limit: int, names: tuple[str
     return (
         dealt.select("leaf", "part", key, "vector", "floor")
         .groupBy("leaf", "part")
-        .applyInArrow(gather, f"leaf long, floors array<double>, keys array<{kind}>, matrix binary")
+        .applyInArrow(gather, f"leaf long, part long, floors array<double>, keys array<{kind}>, matrix binary")
     )
 
 
@@ -317,7 +322,9 @@ def nearest_neighbours(
     schema_of_visits = "leaf long, place int, klass string, vector binary"
     visits = settle(map_batches(classes, visiting, schema_of_visits), "visits")
     index = index.withColumn("floor", F.lit(0.0))
-    blocks = settle(_packs(index, _leaf_counts(index), BLOCK_ROWS, ("vec_id", "long")).drop("floors"), "blocks")
+    sizes = _leaf_counts(index)
+    blocks = settle(_packs(index, sizes, BLOCK_ROWS, ("vec_id", "long")).drop("floors"), "blocks")
+    sizes = _parts(table.sparkSession, sizes, BLOCK_ROWS)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema([("klass", pa.string()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -341,8 +348,11 @@ def nearest_neighbours(
 
     def search(visits: DataFrame) -> DataFrame:
         asked = _packs(visits, _leaf_counts(visits), PACK_ROWS, ("klass", "string"))
-        asked = asked.withColumnsRenamed({"keys": "klasses", "matrix": "asked"})
-        return asked.join(blocks, "leaf").mapInArrow(compare, "klass string, vec_id long, score double")
+        asked = asked.drop("part").withColumnsRenamed({"keys": "klasses", "matrix": "asked"})
+        # A pack goes to each block of its leaf by itself, so a crowded leaf is many tasks' work.
+        part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part")
+        asked = asked.join(F.broadcast(sizes), "leaf").select(*asked.columns, part)
+        return asked.join(blocks, ["leaf", "part"]).mapInArrow(compare, "klass string, vec_id long, score double")
 
     def leading(found: DataFrame) -> DataFrame:
         return (

@@ -69,6 +69,20 @@ def test_queries_whose_best_leaves_are_small(spark):
     assert set(counts.values()) == {20}
 
 
+def test_crowded_leaves_are_searched_block_by_block(spark, monkeypatch):
+    """Half the vectors lie close together; blocks and packs of a few rows give what whole leaves give."""
+    rng = np.random.default_rng(5)
+    rows = np.concatenate([np.ones(6) + rng.normal(0, 1e-3, (300, 6)), rng.normal(0, 1, (300, 6))])
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rows)], "vec_id long, embedding array<double>")
+    expected = by_rule(list(range(600)), rows)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(neighbours, "PACK_ROWS", 4)
+    found = defaultdict(list)
+    for row in neighbours.nearest_neighbours(frame, recall=1.0).collect():
+        found[row["query_id"]].append((row["rank"], row["vec_id"]))
+    assert {q: [v for _, v in sorted(own)] for q, own in found.items()} == {q: [v for v, _ in own] for q, own in expected.items()}
+
+
 def test_few_and_no_rows(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     rows = neighbours.nearest_neighbours(frame).orderBy("rank").collect()
