@@ -23,6 +23,7 @@ from quotewright.schemas import PARTITION_COLUMNS, QUOTE_COLUMNS, REJECTED, REJE
 from quotewright.session import configure, shared_dir
 from quotewright.sources import files
 from quotewright.sources import sample_tables as sample
+from quotewright.streaming import late
 from quotewright.streaming.incremental import run_incremental, scan_current
 
 try:  # the corpus operators may be left out
@@ -265,6 +266,20 @@ def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _health_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health windows from a stream of events in files of a month's same day, late rows merged."""
+    base = _folder(spark, sf_dir, f"health-{uuid4().hex}")
+    events = sample.table(configure(spark), sf_dir, "events").select("ts", "event_type", "value")
+    day = F.dayofmonth("ts").alias("part")
+    events.select("*", day).hint("rebalance", "part").write.partitionBy("part").json(f"{base}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8)
+    measures = late.Measures(
+        "ts", "event_type = 'error'", "event_type = 'signup'", "value * 100"
+    )
+    late.run_health(stream.json(f"{base}/events"), measures, base, f"{base}/checkpoint")
+    return late.corrected_windows(spark, base, events.schema, measures)
+
+
 def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The day partitions of all zones, taking a day of events for a run."""
     events = sample.table(configure(spark), sf_dir, "events")
@@ -334,6 +349,7 @@ def queries() -> dict[str, Query]:
         "replay_from_raw": _replay_from_raw,
         "missing_slots": _on_curated(operations.missing_slots),
         "health_windows": _health,
+        "health_windows_late": _health_by_day,
         "expired_partitions": _on(
             _zones, lambda zones: operations.expired_partitions(zones, AS_OF)
         ),

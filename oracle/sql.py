@@ -727,4 +727,6 @@ QUERIES |= {
     "rollup_null_profile": QUERIES["dq_null_profile"],
     "rollup_scorecard": QUERIES["dq_scorecard"],
     "rollup_report": QUERIES["dq_report"],
+    # Windows and late rows together are the input, whatever order it came in.
+    "health_windows_late": QUERIES["health_windows"],
 }

@@ -15,7 +15,8 @@ EXCHANGE_ZONE = "America/New_York"
 FIRST_SLOT_MINUTE = 9 * 60 + 30
 LAST_SLOT_MINUTE = 16 * 60
 SLOT_MINUTES = 5
-HEALTH_WINDOW = "5 minutes"
+HEALTH_MINUTES = 5
+HEALTH_WINDOW = f"{HEALTH_MINUTES} minutes"
 MAX_ERRORS = 1
 MAX_THROTTLES = 1
 MAX_DURATION_MS = 25_000
@@ -79,13 +80,17 @@ def missing_slots(
     return expected.join(observed_slots(quotes), ["symbol", "slot"], "left_anti")
 
 
-def health_windows(
-    measures: DataFrame, time: str, errors: Column, throttles: Column, duration_ms: Column
+def window_measures(
+    measures: DataFrame,
+    time: str,
+    errors: Column,
+    throttles: Column,
+    duration_ms: Column,
+    *others: Column,
 ) -> DataFrame:
-    """Errors, throttles and longest duration per five minutes, with alarms.
+    """Errors, throttles and longest duration per five minutes, and other named aggregates.
 
-    Works on a batch and, with a watermark on ``time``, on a stream. A window
-    without data has no row and so no alarm.
+    Rows without a time are in no window.
     """
     return (
         measures.groupBy(F.window(time, HEALTH_WINDOW).alias("_window"))
@@ -93,22 +98,46 @@ def health_windows(
             F.sum(errors.cast("bigint")).alias("errors"),
             F.sum(throttles.cast("bigint")).alias("throttles"),
             F.max(duration_ms).alias("max_duration_ms"),
+            *others,
         )
-        .select(
-            c("_window.start").alias("window_start"),
-            c("_window.end").alias("window_end"),
-            "errors",
-            "throttles",
-            "max_duration_ms",
-            F.coalesce(c("errors") >= MAX_ERRORS, F.lit(False)).alias("error_alarm"),
-            F.coalesce(c("throttles") >= MAX_THROTTLES, F.lit(False)).alias("throttle_alarm"),
-            F.coalesce(c("max_duration_ms") >= MAX_DURATION_MS, F.lit(False)).alias(
-                "duration_alarm"
-            ),
-        )
+        .withColumns({"window_start": c("_window.start"), "window_end": c("_window.end")})
+        .drop("_window")
+    )
+
+
+def merged_windows(parts: DataFrame) -> DataFrame:
+    """One row per window from any number of parts of it."""
+    return parts.groupBy("window_start", "window_end").agg(
+        F.sum("errors").alias("errors"),
+        F.sum("throttles").alias("throttles"),
+        F.max("max_duration_ms").alias("max_duration_ms"),
+    )
+
+
+def with_alarms(windows: DataFrame) -> DataFrame:
+    """Windows with an alarm for each measure; an unknown measure gives none."""
+    limits = {
+        "error_alarm": c("errors") >= MAX_ERRORS,
+        "throttle_alarm": c("throttles") >= MAX_THROTTLES,
+        "duration_alarm": c("max_duration_ms") >= MAX_DURATION_MS,
+    }
+    alarms = (F.coalesce(over, F.lit(False)).alias(name) for name, over in limits.items())
+    return windows.select(
+        "window_start", "window_end", "errors", "throttles", "max_duration_ms", *alarms
     )
 
 
+def health_windows(
+    measures: DataFrame, time: str, errors: Column, throttles: Column, duration_ms: Column
+) -> DataFrame:
+    """Errors, throttles and longest duration per five minutes, with alarms.
+
+    Works on a batch and, with a watermark on ``time``, on a stream. A window
+    without data has no row and so no alarm.
+    """
+    return with_alarms(window_measures(measures, time, errors, throttles, duration_ms))
+
+
 def zone_partitions(rows: DataFrame, zone: str) -> DataFrame:
     """The day partitions of a zone's table."""
     days = rows.select(*PARTITION_COLUMNS).distinct()
