@@ -14,11 +14,23 @@ from pyspark.sql import functions as F
 
 from oracle.sql import QUERIES as ORACLE
 from quotewright.functions.times import run_id
-from quotewright.operators import analytics, check_states, operations, rollups, standardize
+from quotewright.operators import (
+    analytics,
+    check_states,
+    operations,
+    rollups,
+    standardize,
+    symbol_sets,
+)
 from quotewright.operators.curate import assess, rejected_quotes, split_quotes, typed_quotes
 from quotewright.plans.jobs import replay
 from quotewright.plans.reports import CHECKS, REPORTS
-from quotewright.plans.rollups import refresh, scan_rollup
+from quotewright.plans.rollups import (
+    refresh,
+    refresh_symbol_sets,
+    scan_rollup,
+    scan_symbol_sets,
+)
 from quotewright.schemas import PARTITION_COLUMNS, QUOTE_COLUMNS, REJECTED, REJECTED_BRANCH
 from quotewright.session import configure, shared_dir
 from quotewright.sources import files
@@ -256,6 +268,31 @@ def _report_of_states(quotes: DataFrame) -> DataFrame:
     return check_states.report_of(states, strays, quotes)
 
 
+def _from_symbol_sets(report: Operator) -> Query:
+    """A report from symbol sets of the days' first half, then of the other days."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _folder(spark, sf_dir, f"rollups-{uuid4().hex}")
+        quotes = sample.curated_from_events(configure(spark), sf_dir)
+        early = F.col("day") <= "15"
+        refresh_symbol_sets(quotes.filter(early), path)
+        seen = quotes.filter(~early).select(*PARTITION_COLUMNS).distinct().collect()
+        days = [date(*(int(part) for part in row)) for row in seen]
+        refresh_symbol_sets(quotes, path, days)
+        return report(scan_symbol_sets(spark, path))
+
+    return query
+
+
+def _moving_avg_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moving averages of some days, from their quotes and the tails of the days before."""
+    path = _folder(spark, sf_dir, f"rollups-{uuid4().hex}")
+    quotes = sample.curated_from_events(configure(spark), sf_dir)
+    refresh(quotes, path, names=["tails"])
+    tails = scan_rollup(spark, path, "tails")
+    return rollups.moving_avg_between(quotes, tails, FIRST, LAST)
+
+
 def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operations.health_windows(
         sample.table(configure(spark), sf_dir, "events"),
@@ -342,6 +379,14 @@ def queries() -> dict[str, Query]:
             lambda quotes: check_states.scorecard_of(check_states.check_states(quotes))
         ),
         "rollup_report": _on_faulty(_report_of_states),
+        "rollup_exchange_summary": _from_symbol_sets(symbol_sets.exchange_summary_of),
+        "rollup_exchange_summary_between": _from_symbol_sets(
+            lambda sets: symbol_sets.exchange_summary_of(
+                analytics.quotes_between(sets, FIRST, LAST)
+            )
+        ),
+        "rollup_partition_summary": _from_symbol_sets(symbol_sets.partition_summary_of),
+        "rollup_moving_avg_between": _moving_avg_between,
         # operations
         "incremental_curated": _incremental,
         "incremental_open": _incremental_open,

@@ -412,6 +412,21 @@ def _volatility(table: str) -> str:
             FROM {table} GROUP BY 1, 2 HAVING count(*) > 1"""
 
 
+_SEVEN = f"""SELECT symbol, market_timestamp, price,
+      {_round("avg(price) OVER w", 2)} AS seven_observation_moving_average
+    FROM curated_quotes
+    WINDOW w AS (PARTITION BY symbol ORDER BY market_timestamp
+                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+
+
+def _exchanges(table: str) -> str:
+    return f"""SELECT exchange, count(DISTINCT symbol) AS symbol_count, count(*) AS quote_count,
+              {_round(_mean("price"), 2)} AS average_stock_price,
+              {_round(_mean("change_percent"), 2)} AS average_change_percent,
+              cast(sum(volume) as bigint) AS total_reported_volume
+            FROM {table} GROUP BY 1"""
+
+
 def _curated(select: str) -> str:
     return _with("curated_quotes", select)
 
@@ -543,13 +558,7 @@ QUERIES: dict[str, str] = {
               max(volume) AS reported_volume, count(*) AS quote_count
             FROM curated_quotes GROUP BY 1, 2"""
     ),
-    "exchange_summary": _curated(
-        f"""SELECT exchange, count(DISTINCT symbol) AS symbol_count, count(*) AS quote_count,
-              {_round(_mean("price"), 2)} AS average_stock_price,
-              {_round(_mean("change_percent"), 2)} AS average_change_percent,
-              cast(sum(volume) as bigint) AS total_reported_volume
-            FROM curated_quotes GROUP BY 1"""
-    ),
+    "exchange_summary": _curated(_exchanges("curated_quotes")),
     "market_breadth": _with(
         "daily_latest",
         f"""SELECT market_date, count(*) AS symbol_count,
@@ -562,13 +571,7 @@ QUERIES: dict[str, str] = {
               {_round(_mean("change_percent"), 2)} AS average_change_percent
             FROM daily_latest GROUP BY 1""",
     ),
-    "moving_avg_7": _curated(
-        f"""SELECT symbol, market_timestamp, price,
-              {_round("avg(price) OVER w", 2)} AS seven_observation_moving_average
-            FROM curated_quotes
-            WINDOW w AS (PARTITION BY symbol ORDER BY market_timestamp
-                         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
-    ),
+    "moving_avg_7": _curated(_SEVEN),
     "day_over_day": _with(
         "daily_latest",
         f"""SELECT symbol, market_date, price, previous_day_price,
@@ -715,8 +718,9 @@ QUERIES: dict[str, str] = {
 }
 
 # What is merged from rollups by day is what the reports give over all quotes.
-_BETWEEN = """(SELECT * FROM curated_quotes WHERE cast(market_timestamp as date)
-    BETWEEN date '2024-01-08' AND date '2024-01-19')"""
+_IN_DATES = """WHERE cast(market_timestamp as date)
+    BETWEEN date '2024-01-08' AND date '2024-01-19'"""
+_BETWEEN = f"(SELECT * FROM curated_quotes {_IN_DATES})"
 QUERIES |= {
     "rollup_volatility": QUERIES["volatility"],
     "rollup_volatility_between": _curated(_volatility(_BETWEEN)),
@@ -727,6 +731,12 @@ QUERIES |= {
     "rollup_null_profile": QUERIES["dq_null_profile"],
     "rollup_scorecard": QUERIES["dq_scorecard"],
     "rollup_report": QUERIES["dq_report"],
+    "rollup_exchange_summary": QUERIES["exchange_summary"],
+    "rollup_exchange_summary_between": _curated(_exchanges(_BETWEEN)),
+    "rollup_partition_summary": QUERIES["partition_summary"],
+    "rollup_moving_avg_between": _curated(
+        f"SELECT * FROM ({_SEVEN}) {_IN_DATES}"
+    ),
     # Windows and late rows together are the input, whatever order it came in.
     "health_windows_late": QUERIES["health_windows"],
 }

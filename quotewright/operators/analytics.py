@@ -192,7 +192,10 @@ _IN_TIME = ("market_timestamp", "ingestion_timestamp", "price")
 
 
 def moving_average(
-    quotes: DataFrame, observations: int = 7, day_rows: int = DAY_ROWS
+    quotes: DataFrame,
+    observations: int = 7,
+    day_rows: int = DAY_ROWS,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Mean price over each quote and the ones before it, per symbol.
 
@@ -202,11 +205,15 @@ def moving_average(
     are counted beforehand: one with too many rows is cut into minutes, whose
     ends meet in the day. There are at most rows / ``day_rows`` such days, so
     they can be broadcast, and a minute is bounded by one quote per
-    microsecond.
+    microsecond. Rows of ``carry`` came before: they count in the means of
+    others and get none themselves.
     """
     before = observations - 1
     day = F.date_trunc("day", "market_timestamp")
     rows = quotes.select("symbol", *_IN_TIME, day.alias("_day"), F.lit(False).alias("_done"))
+    if carry is not None:
+        done = F.lit(True).alias("_done")
+        rows = rows.unionByName(carry.select("symbol", *_IN_TIME, day.alias("_day"), done))
     counts = rows.groupBy("symbol", "_day").agg(F.count("*").alias("_rows"))
     total = counts.agg(F.max("_rows").alias("most"), F.sum("_rows").alias("all")).first()
     parts = []
@@ -227,9 +234,9 @@ def moving_average(
     return result
 
 
-def moving_avg_7(quotes: DataFrame) -> DataFrame:
+def moving_avg_7(quotes: DataFrame, carry: DataFrame | None = None) -> DataFrame:
     """Mean price over seven observations, by symbol and time."""
-    means = moving_average(quotes, 7).select(
+    means = moving_average(quotes, 7, carry=carry).select(
         "symbol",
         "market_timestamp",
         "price",

@@ -1,21 +1,27 @@
 """Rollups by day that reports over any dates are merged from, without reading quotes.
 
 ``daily_moments`` holds counts, means and squared deviations of each symbol and
-day, ``daily_latest`` its newest quote. Both keep the partition columns of the
-quotes, so a day is worked out again alone.
+day, ``daily_latest`` its newest quote, ``daily_tails`` its last prices. All keep
+the partition columns of the quotes, so a day is worked out again alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_form, rounded
+from ..functions.times import day_key
 from ..schemas import PARTITION_COLUMNS, QUOTE_COLUMNS
 from . import analytics
 
 MEASURES = ("price", "change_percent")
 
+# Prices a day leaves behind: what means over seven observations look back to.
+TAIL_ROWS = 6
+
 c = F.col
 
 
@@ -156,3 +162,28 @@ def merged_latest(older: DataFrame, newer: DataFrame) -> DataFrame:
 def freshness_of(latest: DataFrame) -> DataFrame:
     """The freshness report from newest quotes."""
     return analytics.freshness(latest.withColumn("ingestion_timestamp", c("latest_ingestion")))
+
+
+def _last_rows(rows: DataFrame, *keys: str) -> DataFrame:
+    """The last rows in time of each key; a task sends no more than these."""
+    order = [c(n).desc_nulls_last() for n in ("market_timestamp", "ingestion_timestamp", "price")]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("_place", place).filter(c("_place") <= TAIL_ROWS).drop("_place")
+
+
+def daily_tails(quotes: DataFrame) -> DataFrame:
+    """The last prices of each symbol in each day partition."""
+    columns = ("symbol", "market_timestamp", "ingestion_timestamp", "price")
+    return _last_rows(quotes.select(*columns, *PARTITION_COLUMNS), "symbol", *PARTITION_COLUMNS)
+
+
+def moving_avg_between(quotes: DataFrame, tails: DataFrame, first: date, last: date) -> DataFrame:
+    """The seven-observation means of some days, as the whole table would give them.
+
+    Of the days before ``first`` the tails are read and no quotes, however long
+    a symbol had none. Quotes have to lie in the partition of their market date.
+    """
+    before = tails.filter(day_key() < f"{first:%Y%m%d}")
+    return analytics.moving_avg_7(
+        analytics.quotes_between(quotes, first, last), _last_rows(before, "symbol")
+    )

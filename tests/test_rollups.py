@@ -151,3 +151,45 @@ def test_reports_from_rollups_read_no_quotes(spark, curated, tmp_path):
     for report in (rollups.volatility_of(moments), check_states.scorecard_of(states)):
         assert "/curated" not in plan_of(report)
         assert not report.isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_moving_average_of_some_days(spark, seed):
+    """Symbols with gaps of days, ties and days of fewer rows than a tail has."""
+    pick = random.Random(seed)
+    rows = []
+    for symbol, share in (("A", 0.9), ("B", 0.3), ("C", 0.05)):
+        for minute in range(0, 9 * 24 * 60, 97):
+            if pick.random() < share:
+                at = START + timedelta(minutes=minute)
+                price = pick.choice([None, round(pick.uniform(1, 90), 2)])
+                rows.append(quote(symbol, at, price=price))
+    table = quotes(spark, *rows)
+    tails = rollups.daily_tails(table)
+    whole = analytics.moving_avg_7(table)
+    for first, last in ((3, 3), (4, 4), (6, 9), (12, 12), (3, 12)):
+        dates = date(2025, 3, first), date(2025, 3, last)
+        within = whole.filter(F.to_date("market_timestamp").between(*map(F.lit, dates)))
+        same(rollups.moving_avg_between(table, tails, *dates), within)
+
+
+def test_carried_rows_get_no_mean_in_crowded_days(spark):
+    times = [START + timedelta(seconds=7 * i) for i in range(200)]
+    table = quotes(spark, *(quote("A", at, price=float(i)) for i, at in enumerate(times)))
+    old = table.filter("price < 100")
+    carry = rollups.daily_tails(old)
+    assert carry.count() == rollups.TAIL_ROWS
+    found = analytics.moving_average(table.filter("price >= 100"), day_rows=20, carry=carry)
+    whole = analytics.moving_average(table).filter("price >= 100")
+    same(found.select(whole.columns), whole)
+
+
+def test_moving_average_of_a_day_reads_tails_before_it(spark, curated, tmp_path):
+    path = str(tmp_path / "rollups")
+    refresh(curated, path, names=["tails"])
+    day = date(2024, 1, 9)
+    means = rollups.moving_avg_between(curated, scan_rollup(spark, path, "tails"), day, day)
+    plan = plan_of(means)
+    assert plan.count("20240109") >= 3 and "WindowGroupLimit" in plan
+    within = analytics.moving_avg_7(curated).filter(F.to_date("market_timestamp") == F.lit(day))
+    same(means, within)
