@@ -11,6 +11,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oracle.sql import QUERIES as ORACLE
 from quotewright.functions.times import run_id
@@ -31,10 +32,12 @@ from quotewright.plans.rollups import (
     scan_rollup,
     scan_symbol_sets,
 )
-from quotewright.schemas import PARTITION_COLUMNS, QUOTE_COLUMNS, REJECTED, REJECTED_BRANCH
+from quotewright.schemas import CURATED, PARTITION_COLUMNS, QUOTE_COLUMNS, REJECTED, REJECTED_BRANCH
 from quotewright.session import configure, shared_dir
 from quotewright.sources import files
 from quotewright.sources import sample_tables as sample
+from quotewright.sources.catalog import update_table
+from quotewright.sources.scratch import discard
 from quotewright.streaming import late
 from quotewright.streaming.incremental import run_incremental, scan_current
 
@@ -293,6 +296,21 @@ def _moving_avg_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.moving_avg_between(quotes, tails, FIRST, LAST)
 
 
+def _catalog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a table of days up to the 20th is told of a folder of those from the 10th on."""
+    path = _folder(spark, sf_dir, f"catalog-{uuid4().hex}")
+    quotes, table = sample.curated_from_events(spark, sf_dir), f"quotes_{uuid4().hex}"
+    narrow = StructType([f for f in CURATED if f.name != "source"])
+    try:
+        files.write_curated(quotes.filter("day <= '20'"), path)
+        update_table(spark, table, path, narrow)
+        discard(spark, path)
+        files.write_curated(quotes.filter("day >= '10'"), path)
+        return update_table(spark, table, path, CURATED).select("kind", "name")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operations.health_windows(
         sample.table(configure(spark), sf_dir, "events"),
@@ -388,6 +406,7 @@ def queries() -> dict[str, Query]:
         "rollup_partition_summary": _from_symbol_sets(symbol_sets.partition_summary_of),
         "rollup_moving_avg_between": _moving_avg_between,
         # operations
+        "catalog_changes": _catalog_changes,
         "incremental_curated": _incremental,
         "incremental_open": _incremental_open,
         "split_rejected": _split_rejected,

@@ -737,6 +737,13 @@ QUERIES |= {
     "rollup_moving_avg_between": _curated(
         f"SELECT * FROM ({_SEVEN}) {_IN_DATES}"
     ),
+    "catalog_changes": _curated(
+        """SELECT DISTINCT CASE WHEN day > '20' THEN 'added_partition'
+             ELSE 'vanished_partition' END AS kind,
+             'year=' || year || '/month=' || month || '/day=' || day AS name
+           FROM curated_quotes WHERE day > '20' OR day < '10'
+           UNION ALL SELECT 'added_column', 'source'"""
+    ),
     # Windows and late rows together are the input, whatever order it came in.
     "health_windows_late": QUERIES["health_windows"],
 }
