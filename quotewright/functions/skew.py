@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
+from ..sources.scratch import discard_at_exit, store
 
 BROADCAST_ROWS = 200_000
 SLICE_ROWS = 1_000_000
@@ -78,7 +79,13 @@ def join_distinct_keys(
 
 
 def _stored(keys: DataFrame) -> DataFrame:
-    """Keys written to the shared folder, so that they are counted once and held by no cache."""
-    path = shared_dir(keys.sparkSession, "keys", uuid4().hex)
-    keys.write.parquet(path)
-    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+    """Keys written to the shared folder, so that they are counted once and held by no cache.
+
+    The result is lazy and reads them as often as it is run, so they stay
+    until the application ends.
+    """
+    spark = keys.sparkSession
+    path = shared_dir(spark, "keys", uuid4().hex)
+    stored = store(keys, path)
+    discard_at_exit(spark, path)
+    return stored

@@ -17,6 +17,12 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted when the application ends, for tables that a lazy result reads."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
     """A new folder below the shared one, deleted at the end, also after a failure."""
