@@ -23,8 +23,12 @@ def settle(rows: DataFrame, columns: dict[str, Column], keep: Sequence[str] = ()
 def in_order(rows: DataFrame, *keys: str | Column) -> DataFrame:
     """Sort rows that may hold many with equal keys.
 
+    A sort first samples its input for the bounds of its ranges, and so runs
+    all that stands below it twice, back to the last shuffle. A shuffle just
+    below the sort lets the sample read what the sort reads.
+
     A sort places rows by range, and equal rows cannot be parted. The number
     of the partition a row comes from, as a last key, lets them be.
     """
-    placed = rows.withColumn("_from", F.spark_partition_id())
+    placed = rows.hint("rebalance").withColumn("_from", F.spark_partition_id())
     return placed.orderBy(*keys, "_from").drop("_from")

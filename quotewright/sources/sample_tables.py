@@ -170,23 +170,29 @@ def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "volume": F.when(_every(149), "n/a").otherwise(e("cast((k + 1) * 10000 as string)")),
         "datetime": F.date_format(F.date_trunc("hour", "ts"), ISO),
     }
+    # The fields are columns of their own, worked out once for both texts: written
+    # into each text, they make code too long for the JVM to compile.
+    quotes = _clean_quotes(spark, sf_dir).select(
+        F.window("ts", "6 hours")["start"].alias("run_timestamp"),
+        c("event_id").alias("position"),
+        e("'S' || id3").alias("requested_symbol"),
+        "event_id",
+        *(v.alias(f"_{n}") for n, v in fields.items()),
+    )
     keep_null = {"ignoreNullFields": "false"}
-    full = F.to_json(F.struct(*(v.alias(n) for n, v in fields.items())), keep_null)
+    full = F.to_json(F.struct(*(c(f"_{n}").alias(n) for n in fields)), keep_null)
     no_close = F.to_json(
-        F.struct(*(v.alias(n) for n, v in fields.items() if n != "close")), keep_null
+        F.struct(*(c(f"_{n}").alias(n) for n in fields if n != "close")), keep_null
     )
     response = (
         F.when(_every(131), '{"status":"error","message":"API limit reached"}')
         .when(_every(137), no_close)
         .when(_every(139), "not json")
-        .when(_every(83), F.replace(full, F.lit(',"'), F.lit(',\r\n  "')))
-        .otherwise(full)
+        .when(_every(83), F.replace(c("_full"), F.lit(',"'), F.lit(',\r\n  "')))
+        .otherwise(c("_full"))
     )
-    return _clean_quotes(spark, sf_dir).select(
-        F.window("ts", "6 hours")["start"].alias("run_timestamp"),
-        c("event_id").alias("position"),
-        e("'S' || id3").alias("requested_symbol"),
-        response.alias("response"),
+    return quotes.withColumn("_full", full).select(
+        "run_timestamp", "position", "requested_symbol", response.alias("response")
     )
 
 

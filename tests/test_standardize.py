@@ -1,13 +1,15 @@
 """Responses to standardized quotes: cases by hand."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quotewright.operators import standardize as st
 from quotewright.schemas import QUOTE_COLUMNS
-from tests.builders import RESPONSE, response, responses
+from quotewright.sources.sample_tables import responses_from_events
+from tests.builders import RESPONSE, RUN_TIME, response, responses
 
 
 def classified(spark, text):
@@ -215,3 +217,34 @@ def test_parsing_is_done_once_per_row(spark):
     plan = plan_of(rows)
     # One for the response and one for keys that the fast reader misses.
     assert plan.count("from_json") == 2
+
+
+def test_failed_symbols_parse_each_response_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = responses(spark, *MIXED).withColumn("response", seen("response"))
+    failed = [r["requested_symbol"] for r in st.failed_symbols(st.ingest(rows)).collect()]
+    assert failed == ["AMZN", "JPM", "WMT", "XOM"]
+    assert read.value == len(MIXED)
+
+
+def test_sample_responses_are_compiled(spark, tmp_path):
+    rows = [(i, RUN_TIME, i % 7, float(i), '{"k": 3}') for i in (1, 83, 131, 137, 139, 149, 151, 157)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    found = responses_from_events(spark, str(tmp_path))
+    texts = {r["position"]: r["response"] for r in found.collect()}
+    assert set(texts) == {row[0] for row in rows}
+    assert list(json.loads(texts[1])) == list(RESPONSE)
+    assert list(json.loads(texts[137])) == [n for n in RESPONSE if n != "close"]
+    assert json.loads(texts[83])["close"] and ',\r\n  "' in texts[83]
+    assert json.loads(texts[131])["status"] == "error" and texts[139] == "not json"
+    assert json.loads(texts[149])["volume"] == "n/a" and json.loads(texts[157])["symbol"] is None
+    code = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "codegen")
+    # Longer methods are interpreted by the JVM and never compiled.
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
