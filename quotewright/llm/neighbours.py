@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import FloatType
 
-from quotewright.llm.common import map_batches, settle
+from quotewright.llm.common import forget, map_batches, settle
 
 NEIGHBOURS = 20
 # The tree: vectors it is grown on, children of a node, rows of the table a leaf should hold.
@@ -20,9 +22,13 @@ ITERATIONS, SEED = 8, 5
 # Calibration: queries searched exactly, and the share of their neighbours to be found.
 TRIALS, RECALL = 128, 0.95
 # Leaves a query sees in the first round, and by how much each round widens them.
-FIRST_LEAVES, WIDEN = 4, 4
-# Rows of a leaf, and queries to it, that one step compares.
-BLOCK_ROWS, PACK_ROWS = 512, 256
+FIRST_LEAVES, WIDEN = 4, 8
+# Leaves are searched by blocks of whole ones: rows of a block and their bytes, at most,
+# and blocks of a table that does not fill so many.
+BLOCK_ROWS, BLOCK_BYTES, LEAST_BLOCK_ROWS, BLOCKS = 32_768, 2**24, 512, 32
+# Queries and rows of a leaf that one step compares, and candidates held before the best are taken.
+PACK_ROWS, STEP_ROWS, HELD = 1024, 1024, 2**16
+MOST_TASKS = 2000  # to which blocks are dealt by hash, two a block
 SLACK = 1e-9
 
 
@@ -54,27 +60,50 @@ class Tree:
             waiting += [(child, own[nearest == i]) for i, child in enumerate(children)]
         return out
 
-    def visits(
+    @cached_property
+    def _paths(self) -> np.ndarray:
+        """The nodes from below the root to each leaf, the leaf itself repeated at the end."""
+        paths, waiting = {}, [(0, [])]
+        while waiting:
+            node, path = waiting.pop()
+            if self.leaf[node] >= 0:
+                paths[self.leaf[node]] = path or [node]
+            waiting += [(child, [*path, child]) for child in self.children[node]]
+        depth = max(map(len, paths.values()))
+        return np.array([path + path[-1:] * (depth - len(path)) for _, path in sorted(paths.items())])
+
+    def orders(self, queries: np.ndarray) -> Iterator[np.ndarray]:
+        """All leaves for each query, the node of the best center first.
+
+        It is the order of a priority queue that holds the nodes seen but not
+        opened, of all levels, so that the search goes back to wherever the best
+        one is. Such a queue gives a leaf once the worst node of its path is the
+        best one left, and leaves behind the same node by the rest of their paths.
+        """
+        numbers = np.arange(len(self.centers), dtype=np.min_scalar_type(len(self.centers)))
+        places = np.empty_like(numbers)
+        for start in range(0, len(queries), 64):
+            for scores in queries[start : start + 64] @ self.centers.T:
+                places[np.argsort(-scores, kind="stable")] = numbers
+                yield np.lexsort(np.maximum.accumulate(places[self._paths][:, ::-1], axis=1).T)
+
+    def searches(
         self, queries: np.ndarray, count: int, held: dict[int, int] | None = None, wanted: int = 0
-    ) -> list[list[int]]:
-        """Each query's first ``count`` leaves, the node of the best center first.
+    ) -> Iterator[np.ndarray]:
+        """Each query's first ``count`` leaves.
 
-        A priority queue holds the nodes seen but not opened, of all levels, so
-        the search goes back to wherever the best one is. With what each leaf
-        holds it goes on until ``wanted`` are held or there are no more leaves.
+        With what each leaf holds they go on until ``wanted`` are held or there
+        are no more leaves.
         """
-        out = []
-        for scores in queries @ self.centers.T:
-            queue, found, seen = [(-scores[0], 0)], [], 0 if held is not None else wanted
-            while queue and (len(found) < count or seen < wanted):
-                _, node = heapq.heappop(queue)
-                if self.leaf[node] >= 0:
-                    found.append(self.leaf[node])
-                    seen += held.get(self.leaf[node], 0) if held is not None else 0
-                for child in self.children[node]:
-                    heapq.heappush(queue, (-scores[child], child))
-            out.append(found)
-        return out
+        holds = np.array([held.get(leaf, 0) for leaf in range(self.leaves)]) if held is not None else None
+        for order in self.orders(queries):
+            enough = 0 if holds is None else int(np.searchsorted(holds[order].cumsum(), wanted)) + 1
+            yield order[: max(count, enough)]
+
+    def visits(
+        self, queries: np.ndarray, count: int, held: dict[int, int] | None = None, wanted: int = 0
+    ) -> list[list[int]]:
+        return [found.tolist() for found in self.searches(queries, count, held, wanted)]
 
 
 def _nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -114,36 +143,67 @@ def grow_tree(sample: np.ndarray, leaf_size: int, seed: int = SEED) -> Tree:
     return Tree(np.stack(centers), children, leaf)
 
 
-def _vectors(column: pa.Array, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(-1, size)
+def _vectors(column: pa.Array, size: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, size).astype(float)
 
 
-def best(
-    queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, count: int, floors: np.ndarray | None = None
-) -> Iterator[tuple[int, int, float]]:
-    """(query, id, score) of the best rows of each query, none below its floor.
+class Leaders:
+    """The ``count`` best candidates of each query, none below its floor.
 
-    Candidates come from one matrix product; their scores are summed again
-    row by row, so equal vectors score equally wherever they stand.
+    Candidates come from matrix products; their scores are summed again row by
+    row, so equal vectors score equally wherever they stand. Whenever ``HELD``
+    are held all but the best are dropped, and floors rise to the last of these.
     """
-    products = queries @ rows.T
-    for query, scores in enumerate(products):
-        least = -np.inf if floors is None else floors[query]
-        if len(scores) > count:
-            least = max(least, np.partition(scores, len(scores) - count)[len(scores) - count])
-        chosen = np.flatnonzero(scores >= least - SLACK * max(1.0, abs(least))) if least > -np.inf else np.arange(len(scores))
-        exact = (rows[chosen] * queries[query]).sum(axis=1)
-        for i in np.lexsort((ids[chosen], -exact))[:count]:
-            yield query, int(ids[chosen[i]]), float(exact[i])
 
-
-def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """vec_id, klass (equal for equal vectors) and the vector as bytes, and its size.
+    def __init__(self, queries: np.ndarray, count: int, floors: np.ndarray | None = None):
+        self.queries, self.count = queries, count
+        self.floors = np.full(len(queries), -np.inf) if floors is None else floors.copy()
+        self.found = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        self.held, self.limit = 0, max(HELD, 4 * count * len(queries))
+
+    def offer(self, asking: np.ndarray, rows: np.ndarray, ids: np.ndarray, leaves: np.ndarray) -> None:
+        """Rows as candidates for some of the queries."""
+        for start in range(0, len(rows), STEP_ROWS):
+            step = slice(start, start + STEP_ROWS)
+            self._offer(asking, rows[step], ids[step], leaves[step])
+
+    def _offer(self, asking: np.ndarray, rows: np.ndarray, ids: np.ndarray, leaves: np.ndarray) -> None:
+        products, least = self.queries[asking] @ rows.T, self.floors[asking]
+        if len(rows) > self.count and not np.isfinite(least).all():
+            least = np.maximum(least, np.partition(products, -self.count, axis=1)[:, -self.count])
+        below = products < (least - SLACK * np.maximum(1.0, np.abs(least)))[:, None]
+        query, row = np.nonzero(~below)
+        most = max(1, BLOCK_BYTES // (8 * rows.shape[1]))
+        for start in range(0, len(query), most):
+            some = slice(start, start + most)
+            own, at = asking[query[some]], row[some]
+            self.found.append((own, -(rows[at] * self.queries[own]).sum(axis=1), ids[at], leaves[at]))
+            self.held += len(own)
+            if self.held > self.limit:
+                self.best()
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Query, id, score and leaf of the best so far; ties go to the smaller id."""
+        query, rank, ids, leaves = (np.concatenate(column) for column in zip(*self.found))
+        order = np.lexsort((ids, rank, query))
+        place = np.arange(len(order)) - np.searchsorted(query[order], query[order])
+        order, place = order[place < self.count], place[place < self.count]
+        query, rank, ids, leaves = query[order], rank[order], ids[order], leaves[order]
+        last = place == self.count - 1
+        self.floors[query[last]] = np.maximum(self.floors[query[last]], -rank[last])
+        self.found, self.held = [(query, rank, ids, leaves)], len(query)
+        return query, ids, -rank, leaves
+
+
+def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int, str]:
+    """vec_id, klass (equal for equal vectors) and the vector as bytes; its size and the type of its numbers.
 
     Null, zero and partly null or non-finite vectors, null ids, and vectors of
     another size than the most frequent one (of two, the smaller) are left out.
     """
     values = F.col("vector")
+    elements = table.select(vector_col).schema[0].dataType.elementType
+    kind = "<f4" if isinstance(elements, FloatType) else "<f8"
     finite = F.forall(
         values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     )
@@ -163,7 +223,7 @@ def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataF
 
     def start():
         def to_bytes(batch: pa.RecordBatch) -> dict:
-            flat = batch["vector"].flatten().to_numpy().astype("<f8").reshape(-1, size)
+            flat = batch["vector"].flatten().to_numpy().astype(kind).reshape(-1, size)
             return {
                 "vec_id": batch["vec_id"],
                 "klass": batch["klass"],
@@ -172,78 +232,174 @@ def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataF
 
         return to_bytes
 
-    return map_batches(rows, start, "vec_id long, klass string, vector binary"), size
-
-
-def _parts(spark: SparkSession, counts: dict[int, int], limit: int) -> DataFrame:
-    """The number of parts of each leaf, of which there are at most as many as sampled vectors."""
-    parts = [(leaf, -(-count // limit)) for leaf, count in counts.items()]
-    return spark.createDataFrame(parts or [(0, 1)], "leaf long, parts int")
+    return map_batches(rows, start, "vec_id long, klass string, vector binary"), size, kind
 
 
-def _packs(rows: DataFrame, counts: dict[int, int], limit: int, names: tuple[str, str]) -> DataFrame:
-    """Rows of a leaf in packs of about ``limit``: one row with all keys and one matrix."""
-    key, kind = names
-    sizes = _parts(rows.sparkSession, counts, limit)
+@dataclass
+class Blocks:
+    """Leaves in blocks: the first block of each leaf and how many it fills; of each block the first and last leaf."""
+
+    first: np.ndarray
+    parts: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
+def deal_blocks(counts: dict[int, int], leaves: int, limit: int) -> Blocks:
+    """Neighbouring leaves share a block of at most ``limit`` rows; a crowded leaf is cut into blocks of its own."""
+    first, parts, low, high, room = [], [], [], [], 0
+    for leaf in range(leaves):
+        rows = max(1, counts.get(leaf, 0))
+        parts.append(-(-rows // limit))
+        if rows > room:
+            low += [leaf] * parts[-1]
+            high += [leaf] * parts[-1]
+            room = limit if rows <= limit else 0
+        high[-1] = leaf
+        first.append(len(low) - parts[-1])
+        room -= min(rows, room)
+    return Blocks(*(np.array(column, np.int64) for column in (first, parts, low, high)))
+
+
+ROUNDS = "asker long, round int, vector binary, bits binary"
+MEETINGS = pa.schema(
+    {
+        "block": pa.int64(),
+        "asks": pa.int32(),
+        "leaf": pa.int64(),
+        "id": pa.int64(),
+        "vector": pa.binary(),
+        "floor": pa.float64(),
+        "mask": pa.binary(),
+    }
+)
+FOUND = pa.schema({"asker": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()})
+TRUE_LEAVES = pa.schema({"query": pa.int32(), "rank": pa.float64(), "vec_id": pa.int64(), "leaf": pa.int64()})
+
+
+def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    arrays = [
+        column if isinstance(column, pa.Array) else pa.array(column, kind) for column, kind in zip(columns, schema.types)
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def ask_blocks(batches: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.RecordBatch]:
+    """A row for each query and block that holds leaves of its round, which ``mask`` marks."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, PACK_ROWS):
+            batch = whole.slice(start, PACK_ROWS)
+            bits = np.frombuffer(b"".join(batch["bits"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            marks = np.unpackbits(bits, axis=1, count=len(blocks.first)).astype(bool)
+            touched = np.flatnonzero(marks.any(axis=0))
+            spans = zip(blocks.first[touched], blocks.first[touched] + blocks.parts[touched])
+            for block in np.unique(np.concatenate([np.arange(*span) for span in spans])):
+                own = marks[:, blocks.low[block] : blocks.high[block] + 1]
+                asking = np.flatnonzero(own.any(axis=1))
+                own, chosen = own[asking], pa.array(asking)
+                yield _batch(
+                    MEETINGS,
+                    np.full(len(asking), block),
+                    np.ones(len(asking), np.int32),
+                    blocks.low[block] + own.argmax(axis=1),
+                    batch["asker"].take(chosen),
+                    batch["vector"].take(chosen),
+                    batch["floor"].take(chosen),
+                    [row.tobytes() for row in np.packbits(own, axis=1)],
+                )
 
-    def gather(table: pa.Table) -> pa.Table:
-        return pa.table(
-            {
-                "leaf": table["leaf"][:1],
-                "part": table["part"][:1],
-                "floors": pa.array([table["floor"].to_pylist()], pa.list_(pa.float64())),
-                "keys": pa.array([table[key].to_pylist()], pa.list_(pa.int64() if kind == "long" else pa.string())),
-                "matrix": pa.array([b"".join(table["vector"].to_pylist())], pa.binary()),
-            }
-        )
 
-    dealt = rows.join(F.broadcast(sizes), "leaf").withColumn("part", F.pmod(F.xxhash64(key), F.col("parts")))
-    return (
-        dealt.select("leaf", "part", key, "vector", "floor")
-        .groupBy("leaf", "part")
-        .applyInArrow(gather, f"leaf long, part long, floors array<double>, keys array<{kind}>, matrix binary")
-    )
+def meet(
+    batches: Iterator[pa.RecordBatch], blocks: Blocks, size: int, kind: str, wanted: int
+) -> Iterator[pa.RecordBatch]:
+    """The best rows of each block for each query that asks it; a block's rows come before its queries."""
+    current, waiting, rows = -1, [], None
+    for whole in batches:
+        number, asks = whole["block"].to_numpy(), whole["asks"].to_numpy()
+        ends = [*(np.flatnonzero((np.diff(number) != 0) | (np.diff(asks) != 0)) + 1), whole.num_rows]
+        for start, end in zip([0, *ends], ends):
+            if start == end:
+                continue
+            if number[start] != current:
+                current, waiting, rows = number[start], [], None
+            low = blocks.low[current]
+            if not asks[start]:
+                batch = whole.slice(start, end - start)
+                own = _vectors(batch["vector"], size, kind)
+                waiting.append((own, batch["id"].to_numpy(), batch["leaf"].to_numpy()))
+                continue
+            if waiting:
+                rows, ids, leaves = (np.concatenate(column) for column in zip(*waiting))
+                waiting = []
+                starts = np.searchsorted(leaves, np.arange(low, blocks.high[current] + 2))
+            if rows is None:
+                continue
+            for first in range(start, end, PACK_ROWS):
+                batch = whole.slice(first, min(PACK_ROWS, end - first))
+                floors = batch["floor"].to_numpy()
+                leaders = Leaders(_vectors(batch["vector"], size, kind), wanted, floors)
+                mask = np.frombuffer(b"".join(batch["mask"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                marks = np.unpackbits(mask, axis=1, count=len(starts) - 1).astype(bool)
+                for place in np.flatnonzero(marks.any(axis=0)):
+                    held = slice(starts[place], starts[place + 1])
+                    leaders.offer(np.flatnonzero(marks[:, place]), rows[held], ids[held], leaves[held])
+                query, found, scores, _ = leaders.best()
+                yield _batch(FOUND, batch["id"].take(pa.array(query)), found, scores)
 
 
 def _leaf_counts(rows: DataFrame) -> dict[int, int]:
     return {row["leaf"]: row["count"] for row in rows.groupBy("leaf").count().collect()}
 
 
-def _calibrated_visits(index: DataFrame, trials: list[bytes], tree: Tree, size: int, count: int, recall: float) -> int:
+def _calibrated_visits(
+    index: DataFrame, queries: np.ndarray, tree: Tree, kind: str, count: int, recall: float
+) -> int:
     """Leaves to visit so that the trial queries find ``recall`` of their true neighbours."""
-    queries = np.frombuffer(b"".join(trials), dtype="<f8").reshape(-1, size)
+    size = queries.shape[1]
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top: list[list[tuple[float, int, int]]] = [[] for _ in queries]
+        leaders, everyone = Leaders(queries, count), np.arange(len(queries))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            leaf = dict(zip(batch["vec_id"].to_pylist(), batch["leaf"].to_pylist()))
-            ids = batch["vec_id"].to_numpy()
-            for query, id_, score in best(queries, ids, _vectors(batch["vector"], size), count):
-                top[query].append((-score, id_, leaf[id_]))
-            top = [sorted(each)[:count] for each in top]
-        flat = [(query, *entry) for query, each in enumerate(top) for entry in each]
-        columns = list(zip(*flat)) if flat else [[], [], [], []]
-        kinds = (("query", pa.int32()), ("rank", pa.float64()), ("vec_id", pa.int64()), ("leaf", pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(column), kind) for column, (_, kind) in zip(columns, kinds)], schema=pa.schema(kinds)
-        )
+            if batch.num_rows:
+                own = _vectors(batch["vector"], size, kind)
+                leaders.offer(everyone, own, batch["vec_id"].to_numpy(), batch["leaf"].to_numpy())
+        query, ids, scores, leaves = leaders.best()
+        yield _batch(TRUE_LEAVES, query, -scores, ids, leaves)
 
     nearest = Window.partitionBy("query").orderBy("rank", "vec_id")
     found = (
         index.select("vec_id", "leaf", "vector")
-        .mapInArrow(exact, "query int, rank double, vec_id long, leaf long")
+        .mapInArrow(exact, from_arrow_schema(TRUE_LEAVES))
         .withColumn("place", F.row_number().over(nearest))
         .filter(F.col("place") <= count)
         .select("query", "leaf")
         .collect()
     )
-    orders = [{leaf: i for i, leaf in enumerate(order)} for order in tree.visits(queries, tree.leaves)]
-    needed = np.sort([orders[row["query"]][row["leaf"]] + 1 for row in found])
+    places = [np.argsort(order) for order in tree.orders(queries)]
+    needed = np.sort([places[row["query"]][row["leaf"]] + 1 for row in found])
     return int(needed[max(0, int(np.ceil(recall * len(needed))) - 1)]) if len(needed) else 1
 
 
+def _numbers(rows: list[Row], size: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(row["vector"]) for row in rows), dtype=kind).reshape(-1, size).astype(float)
+
+
+def _sampled(kept: DataFrame, rows: int) -> list[Row]:
+    """The ``SAMPLE`` vectors of the least hashes.
+
+    Each task of a limited sort sends the driver as many rows as the limit, so
+    hashes that are surely too large are left out before it.
+    """
+    number = F.xxhash64("vec_id", "klass")
+    some = kept.filter(number <= int(2**64 * min(1.0, 1.25 * SAMPLE / rows)) - 2**63 - 1)
+
+    def least(frame: DataFrame) -> list[Row]:
+        return frame.orderBy(number, "vec_id").limit(SAMPLE).select("vector").collect()
+
+    found = least(some)
+    return found if len(found) == min(SAMPLE, rows) else least(kept)
+
+
 def nearest_neighbours(
     table: DataFrame,
     *,
@@ -267,10 +423,11 @@ def nearest_neighbours(
     smallest ids of it at most, and equal queries are searched once. ``TRIALS``
     queries are compared with all rows, and the visits are widened until they
     would find ``recall`` of their neighbours; all queries visit as many leaves,
-    and more where these hold fewer than ``count`` + 1 ids. A crowded leaf is cut
-    into blocks.
+    and more where these hold fewer than ``count`` + 1 ids. Leaves are searched by
+    blocks, to each of which go its rows and a row for each query that has leaves
+    in it; a crowded leaf is cut into several.
     """
-    vectors, size = valid_vectors(table, id_col, vector_col)
+    vectors, size, kind = valid_vectors(table, id_col, vector_col)
     wanted = count + 1
     first = Window.partitionBy("klass").orderBy("vec_id")
     kept = settle(
@@ -284,75 +441,82 @@ def nearest_neighbours(
     schema = "query_id long, rank int, vec_id long, score double"
     if not rows:
         return table.sparkSession.createDataFrame([], schema)
-    sample = kept.orderBy(F.xxhash64("vec_id", "klass"), "vec_id").limit(SAMPLE).select("vector").collect()
-    sample = np.frombuffer(b"".join(bytes(row["vector"]) for row in sample), dtype="<f8").reshape(-1, size)
+    sample = _numbers(_sampled(kept, rows), size, kind)
     tree = grow_tree(sample, max(LEAST_SAMPLED, LEAF_ROWS * len(sample) // rows))
     given = table.sparkSession.sparkContext.broadcast(tree)
 
     def placing():
         def place(batch: pa.RecordBatch) -> dict:
-            leaf = given.value.place(_vectors(batch["vector"], size))
-            return {name: batch[name] for name in ("vec_id", "klass", "vector")} | {"leaf": leaf.tolist()}
+            leaf = given.value.place(_vectors(batch["vector"], size, kind))
+            return {"vec_id": batch["vec_id"], "vector": batch["vector"], "leaf": leaf.tolist()}
 
         return place
 
-    index = settle(map_batches(kept, placing, "vec_id long, klass string, vector binary, leaf long"), "index")
+    index = settle(map_batches(kept, placing, "vec_id long, vector binary, leaf long"), "index")
+    forget(kept)
     is_query = F.pmod("vec_id", F.lit(every)) == 0
     queries = vectors.filter(is_query).select(F.col("vec_id").alias("query_id"), "klass", "vector")
-    classes = queries.select("klass", "vector").dropDuplicates(["klass"])
+    classes = settle(
+        queries.select("klass", "vector").dropDuplicates(["klass"]).withColumn("asker", F.monotonically_increasing_id()),
+        "classes",
+    )
     trials = classes.orderBy(F.xxhash64("klass"), "klass").limit(TRIALS).select("vector").collect()
-    leaves = _calibrated_visits(index, [bytes(row["vector"]) for row in trials], tree, size, wanted, recall)
+    leaves = _calibrated_visits(index, _numbers(trials, size, kind), tree, kind, wanted, recall)
 
     # An id with vectors in several leaves counts in one of them only.
     ids = _leaf_counts(index.groupBy("vec_id").agg(F.min("leaf").alias("leaf")))
 
+    # A round's leaves are marked by a bit each: a query and a leaf never make a row of their own.
     def visiting():
         def visit(batch: pa.RecordBatch) -> dict:
-            found = given.value.visits(_vectors(batch["vector"], size), leaves, ids, wanted)
-            places = pa.array([i for i, own in enumerate(found) for _ in own], pa.int64())
+            asking, rounds, bits = [], [], []
+            searches = given.value.searches(_vectors(batch["vector"], size, kind), leaves, ids, wanted)
+            for query, order in enumerate(searches):
+                number, start, reach = 0, 0, FIRST_LEAVES
+                while start < len(order):
+                    marks = np.zeros(given.value.leaves, bool)
+                    marks[order[start:reach]] = True
+                    asking.append(query)
+                    rounds.append(number)
+                    bits.append(np.packbits(marks).tobytes())
+                    number, start, reach = number + 1, reach, reach * WIDEN
+            places = pa.array(asking, pa.int64())
             return {
-                "leaf": [leaf for own in found for leaf in own],
-                "place": [place for own in found for place in range(len(own))],
-                "klass": batch["klass"].take(places),
+                "asker": batch["asker"].take(places),
+                "round": rounds,
                 "vector": batch["vector"].take(places),
+                "bits": bits,
             }
 
         return visit
 
-    schema_of_visits = "leaf long, place int, klass string, vector binary"
-    visits = settle(map_batches(classes, visiting, schema_of_visits), "visits")
-    index = index.withColumn("floor", F.lit(0.0))
-    sizes = _leaf_counts(index)
-    blocks = settle(_packs(index, sizes, BLOCK_ROWS, ("vec_id", "long")).drop("floors"), "blocks")
-    sizes = _parts(table.sparkSession, sizes, BLOCK_ROWS)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.schema([("klass", pa.string()), ("vec_id", pa.int64()), ("score", pa.float64())])
-        for batch in batches:
-            for place in range(batch.num_rows):
-                klasses, ids = batch["klasses"][place].as_py(), np.array(batch["keys"][place].as_py())
-                asking = _vectors(batch["asked"].slice(place, 1), size)
-                own = _vectors(batch["matrix"].slice(place, 1), size)
-                floors = np.array(batch["floors"][place].as_py())
-                found = list(zip(*best(asking, ids, own, wanted, floors))) or [[], [], []]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([klasses[i] for i in found[0]], pa.string()),
-                        pa.array(found[1], pa.int64()),
-                        pa.array(found[2], pa.float64()),
-                    ],
-                    schema=kinds,
-                )
+    visits = settle(map_batches(classes.select("asker", "vector"), visiting, ROUNDS), "visits")
+    limit = min(BLOCK_ROWS, BLOCK_BYTES // (8 * size), max(LEAST_BLOCK_ROWS, rows // BLOCKS))
+    blocks = deal_blocks(_leaf_counts(index), tree.leaves, max(1, limit))
+    dealt = table.sparkSession.createDataFrame(
+        [(leaf, int(blocks.first[leaf]), int(blocks.parts[leaf])) for leaf in range(tree.leaves)],
+        "leaf long, first long, parts long",
+    )
+    nothing = {name: F.lit(None).cast(kind_) for name, kind_ in (("floor", "double"), ("mask", "binary"))}
+    held = (
+        index.join(F.broadcast(dealt), "leaf")
+        .withColumn("block", F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+        .select("block", F.lit(0).alias("asks"), "leaf", F.col("vec_id").alias("id"), "vector")
+        .withColumns(nothing)
+    )
+    shared = table.sparkSession.sparkContext.broadcast(blocks)
 
-    nearest = Window.partitionBy("klass").orderBy(F.desc("score"), "vec_id")
+    def search(asked: DataFrame) -> DataFrame:
+        # Rows and queries of a block go to its task one by one, the rows first.
+        asked = asked.mapInArrow(lambda batches: ask_blocks(batches, shared.value), from_arrow_schema(MEETINGS))
+        return (
+            held.unionByName(asked)
+            .repartition(min(2 * len(blocks.low), MOST_TASKS), "block")
+            .sortWithinPartitions("block", "asks", "leaf")
+            .mapInArrow(lambda batches: meet(batches, shared.value, size, kind, wanted), from_arrow_schema(FOUND))
+        )
 
-    def search(visits: DataFrame) -> DataFrame:
-        asked = _packs(visits, _leaf_counts(visits), PACK_ROWS, ("klass", "string"))
-        asked = asked.drop("part").withColumnsRenamed({"keys": "klasses", "matrix": "asked"})
-        # A pack goes to each block of its leaf by itself, so a crowded leaf is many tasks' work.
-        part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part")
-        asked = asked.join(F.broadcast(sizes), "leaf").select(*asked.columns, part)
-        return asked.join(blocks, ["leaf", "part"]).mapInArrow(compare, "klass string, vec_id long, score double")
+    nearest = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
 
     def leading(found: DataFrame) -> DataFrame:
         return (
@@ -364,23 +528,22 @@ def nearest_neighbours(
     # What a round finds has to beat the end of the list so far. A round sees a few times
     # the leaves seen before it, so it returns about as many rows as the first one.
     full = F.when(F.count("*") >= wanted, F.min("score")).otherwise(float("-inf"))
-    top, seen, reach = None, 0, FIRST_LEAVES
-    furthest = visits.agg(F.max("place")).first()[0]
-    furthest = leaves if furthest is None else furthest + 1
-    while seen < furthest:
-        part = visits.filter((F.col("place") >= seen) & (F.col("place") < reach))
+    last = visits.agg(F.max("round")).first()[0] or 0
+    top = None
+    for number in range(last + 1):
+        asked = visits.filter(F.col("round") == number)
         if top is None:
-            top = search(part.withColumn("floor", F.lit(float("-inf"))))
+            top = search(asked.withColumn("floor", F.lit(float("-inf"))))
         else:
-            part = settle(part.join(top.groupBy("klass").agg(full.alias("floor")), "klass"), "part")
-            top = top.unionByName(search(part))
+            asked = asked.join(top.groupBy("asker").agg(full.alias("floor")), "asker", "left")
+            asked = asked.withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+            top = top.unionByName(search(asked))
         top = settle(leading(top), "leading")
-        seen, reach = reach, reach * WIDEN
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         queries.select("query_id", "klass")
         .distinct()
-        .join(top, "klass")
+        .join(top.join(classes.select("asker", "klass"), "asker"), "klass")
         .filter(F.col("vec_id") != F.col("query_id"))
         .groupBy("query_id", "vec_id")
         .agg(F.max("score").alias("score"))

@@ -1,6 +1,9 @@
+import heapq
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from quotewright.llm import neighbours
 from quotewright.llm.common import table
@@ -108,3 +111,123 @@ def test_visits_go_on_until_enough_is_held():
     held = dict(enumerate(np.bincount(tree.place(rows), minlength=tree.leaves).tolist()))
     for short, order in zip(tree.visits(rows[:50], 1), tree.visits(rows[:50], 1, held, 60)):
         assert order[:1] == short and sum(held[leaf] for leaf in order) >= 60 > sum(held[leaf] for leaf in order[:-1])
+
+
+def test_no_row_for_each_query_and_leaf(spark, monkeypatch):
+    """Vectors without clusters need most leaves: what is stored grows with queries and rows, not with their visits."""
+    rows = np.random.default_rng(4).normal(0, 1, (2000, 16))
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rows)], "vec_id long, embedding array<double>")
+    held, settle = defaultdict(int), neighbours.settle
+
+    def counted(frame, name):
+        out = settle(frame, name)
+        held[name] = max(held[name], out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "settle", counted)
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 8)
+    found = defaultdict(set)
+    for row in neighbours.nearest_neighbours(frame).collect():
+        found[row["query_id"]].add(row["vec_id"])
+    expected = by_rule(list(range(2000)), rows)
+    assert set(found) == set(expected)
+    assert sum(len(found[q] & {v for v, _ in own}) for q, own in expected.items()) >= 0.9 * 20 * len(expected)
+    assert max(held.values()) <= max(2000, 21 * len(expected))
+
+
+def met(rows, ids, leaves, queries, blocks, kind="<f8"):
+    """Rows and queries through ``ask_blocks`` and ``meet``, all leaves visited; the largest batches of both."""
+    bits = np.packbits(np.ones((len(queries), leaves.max() + 1), bool), axis=1)
+    asking = pa.RecordBatch.from_pydict(
+        {
+            "asker": pa.array(np.arange(len(queries))),
+            "vector": [q.astype(kind).tobytes() for q in queries],
+            "bits": [b.tobytes() for b in bits],
+            "floor": pa.array(np.full(len(queries), -np.inf)),
+        }
+    )
+    asked = list(neighbours.ask_blocks(iter([asking]), blocks))
+    at = blocks.first[leaves] + ids % blocks.parts[leaves]
+    held = neighbours._batch(
+        neighbours.MEETINGS, at, np.zeros(len(ids), np.int32), leaves, ids, [r.astype(kind).tobytes() for r in rows],
+        pa.nulls(len(ids), pa.float64()), pa.nulls(len(ids), pa.binary()),
+    )
+    table = pa.Table.from_batches([held, *asked]).sort_by([("block", "ascending"), ("asks", "ascending"), ("leaf", "ascending")])
+    out = list(neighbours.meet(iter(table.combine_chunks().to_batches(max_chunksize=100)), blocks, rows.shape[1], kind, 21))
+    best = defaultdict(list)
+    for row in pa.Table.from_batches(out).to_pylist():
+        best[row["asker"]].append((-row["score"], row["vec_id"]))
+    return {q: [i for _, i in sorted(own)[:21]] for q, own in best.items()}, max(b.num_rows for b in asked), max(b.num_rows for b in out)
+
+
+def test_rows_and_queries_meet_in_small_batches(monkeypatch):
+    monkeypatch.setattr(neighbours, "PACK_ROWS", 16)
+    rng = np.random.default_rng(6)
+    rows, queries = rng.normal(0, 1, (400, 5)), rng.normal(0, 1, (90, 5))
+    leaves = np.sort(np.concatenate([rng.integers(0, 40, 200), np.full(200, 17)]))  # one leaf is crowded
+    leaves[-1] = 39
+    blocks = neighbours.deal_blocks(dict(enumerate(np.bincount(leaves).tolist())), 40, 32)
+    found, asked, out = met(rows, np.arange(400), leaves, queries, blocks)
+    assert found == {q: np.argsort(-(rows @ own), kind="stable")[:21].tolist() for q, own in enumerate(queries)}
+    assert asked <= 16 and out <= 16 * 21
+
+
+def test_blocks_hold_neighbouring_leaves():
+    counts = {0: 5, 1: 4, 3: 50, 4: 9, 5: 2}
+    blocks = neighbours.deal_blocks(counts, 7, 10)
+    assert blocks.parts.tolist() == [1, 1, 1, 5, 1, 1, 1]
+    assert blocks.first.tolist() == [0, 0, 0, 1, 6, 7, 7]
+    assert blocks.low.tolist() == [0, 3, 3, 3, 3, 3, 4, 5]
+    assert blocks.high.tolist() == [2, 3, 3, 3, 3, 3, 4, 6]
+
+
+def test_orders_are_those_of_a_priority_queue():
+    rng = np.random.default_rng(9)
+    for rows in (rng.normal(0, 1, (600, 6)), rng.integers(-1, 2, (600, 3)).astype(float)):  # many equal scores
+        tree = neighbours.grow_tree(rows, 4)
+        for query, order in zip(rows[:40], tree.orders(rows[:40])):
+            scores = query @ tree.centers.T
+            queue, found = [(-scores[0], 0)], []
+            while queue:
+                _, node = heapq.heappop(queue)
+                found += [tree.leaf[node]] if tree.leaf[node] >= 0 else []
+                for child in tree.children[node]:
+                    heapq.heappush(queue, (-scores[child], child))
+            if rows.shape[1] == 6:
+                assert order.tolist() == found
+            assert sorted(order.tolist()) == list(range(tree.leaves))
+
+
+def test_candidates_of_equal_score_are_dropped_as_they_come(monkeypatch):
+    monkeypatch.setattr(neighbours, "HELD", 64)
+    queries, rows = np.ones((3, 2)), np.column_stack([np.arange(5000.0), 1 - np.arange(5000.0)])  # all score 1
+    leaders, ids = neighbours.Leaders(queries, 4), np.random.default_rng(2).permutation(5000)
+    for start in range(0, 5000, 50):
+        leaders.offer(np.arange(3), rows[start : start + 50], ids[start : start + 50], ids[start : start + 50])
+        assert leaders.held <= 64 + 150
+    query, found, scores, _ = leaders.best()
+    assert query.tolist() == [0] * 4 + [1] * 4 + [2] * 4
+    assert found.tolist() == [0, 1, 2, 3] * 3 and set(scores) == {1.0}
+
+
+def test_sample_is_that_of_the_least_hashes(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SAMPLE", 60)
+    kept = spark.range(3000).select(
+        F.col("id").alias("vec_id"), F.lit("k").alias("klass"), F.col("id").cast("string").cast("binary").alias("vector")
+    )
+    expected = kept.orderBy(F.xxhash64("vec_id", "klass"), "vec_id").limit(60).collect()
+    assert [bytes(r["vector"]) for r in neighbours._sampled(kept, 3000)] == [bytes(r["vector"]) for r in expected]
+    assert len(neighbours._sampled(kept.limit(20), 3000)) == 20
+    assert len(neighbours._sampled(kept.limit(20), 20)) == 20
+
+
+def test_floats_are_held_as_such(spark):
+    """Vectors of floats take 4 bytes a number where they are held; scores are those of doubles."""
+    rows = np.random.default_rng(3).normal(0, 1, (300, 4)).astype("f4")
+    data = [(i, [float(x) for x in row]) for i, row in enumerate(rows)]
+    out = []
+    for element, kind in (("float", "<f4"), ("double", "<f8")):
+        frame = spark.createDataFrame(data, f"vec_id long, embedding array<{element}>")
+        assert neighbours.valid_vectors(frame, "vec_id", "embedding")[1:] == (4, kind)
+        out.append(neighbours.nearest_neighbours(frame, recall=1.0).orderBy("query_id", "rank").collect())
+    assert out[0] == out[1] and len(out[0]) == 300
