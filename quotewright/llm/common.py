@@ -38,9 +38,14 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid4().hex}")
     frame.write.parquet(path)
+    sweep(spark)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files that nothing refers to; a frame's own stay while a caller holds it."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(frame.schema).parquet(path)
 
 
 def forget(frame: DataFrame) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import FloatType
 
-from quotewright.llm.common import forget, map_batches, settle
+from quotewright.llm.common import forget, map_batches, settle, sweep
 
 NEIGHBOURS = 20
 # The tree: vectors it is grown on, children of a node, rows of the table a leaf should hold.
@@ -437,6 +437,7 @@ def nearest_neighbours(
         .drop("place"),
         "vectors",
     )
+    sweep(table.sparkSession)
     rows = kept.count()
     schema = "query_id long, rank int, vec_id long, score double"
     if not rows:
@@ -539,6 +540,7 @@ def nearest_neighbours(
             asked = asked.withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
             top = top.unionByName(search(asked))
         top = settle(leading(top), "leading")
+        sweep(table.sparkSession)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         queries.select("query_id", "klass")
